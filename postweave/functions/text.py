@@ -13,10 +13,9 @@ from postweave import settings
 # Unicode variant leaves out U+001C..U+001F, so the set is written out.
 WHITESPACE = r"\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
-# What is not text. A web address up to the next white space, the escaped ampersand,
-# and everything but digits and Latin or Russian letters, in one left-to-right pass. ``&`` has its
-# own alternative so that a run of punctuation never swallows the start of ``&amp;``.
-NOT_TEXT = rf"(?:http|www)[^{WHITESPACE}]+|&amp;|[^0-9a-zа-яё&]+|&"
+# Web addresses, up to the next white space, and the letters and digits of words.
+ADDRESS = rf"(?:http|www)[^{WHITESPACE}]+"
+WORD_CHARACTERS = "0-9a-zа-яё"
 
 
 def strip(c: Column) -> Column:
@@ -24,39 +23,49 @@ def strip(c: Column) -> Column:
     return F.regexp_replace(c, f"^[{WHITESPACE}]+|[{WHITESPACE}]+$", "")
 
 
-def _spaced(c: Column) -> Column:
-    """Lower-cased text with everything that is not a word turned into blanks."""
-    return F.regexp_replace(F.lower(c), NOT_TEXT, " ")
+def _words(column: str, min_length: int = 1) -> str:
+    """SQL for the lower-cased words of a column, without addresses and escaped ampersands.
 
+    Words are pulled out by what they consist of. Blanking what lies between them instead gives the
+    same, but Java matches a negated class of non-ASCII letters about seven times slower.
+    """
+    text = f"replace(regexp_replace(lower(`{column}`), r'{ADDRESS}', ' '), '&amp;', ' ')"
+    return f"regexp_extract_all({text}, r'[{WORD_CHARACTERS}]{{{min_length},}}', 0)"
 
-def clean_text(c: Column) -> Column:
+
+def clean_text(column: str) -> Column:
     """Lower-cased words with single blanks between them; no addresses or punctuation."""
-    return F.trim(F.regexp_replace(_spaced(c), " +", " "))
+    return F.array_join(F.expr(_words(column)), " ")
+
+
+def word_list(listed: Iterable[str]) -> str:
+    """SQL list of words.
+
+    The expressions over word lists are written as SQL: one call builds them, where a column
+    function would make one literal object per word.
+    """
+    quoted = (w.replace("\\", "\\\\").replace("'", "\\'") for w in sorted(set(listed)))
+    return ", ".join(f"'{w}'" for w in quoted)
 
 
 def tokenize(
-    c: Column,
+    column: str,
     stop_words: Iterable[str] | None = None,
     extra_stop_words: Iterable[str] = (),
     min_length: int = settings.MIN_TOKEN_LENGTH,
 ) -> Column:
     """Words of raw text: cleaned, without stop words, short words and plain numbers."""
     stop = settings.default_stop_words() if stop_words is None else frozenset(stop_words)
-    stop = sorted(w for w in stop.union(w.lower() for w in extra_stop_words) if len(w) >= min_length)
-
-    def keep(t: Column) -> Column:
-        # A cleaned word that starts with a letter sorts after the digits, so the pattern only runs
-        # on words that start with a digit.
-        not_number = (t >= ":") | t.rlike("[^0-9]")
-        kept = (F.length(t) >= F.lit(max(min_length, 1))) & not_number
-        return kept & ~t.isin(stop) if stop else kept
-
-    return F.filter(F.split(_spaced(c), " "), keep)
+    stop = word_list(stop.union(w.lower() for w in extra_stop_words))
+    # A cleaned word that starts with a letter sorts after the digits, so the pattern only runs on
+    # words that start with a digit.
+    keep = "(t >= ':' OR t RLIKE '[^0-9]')" + (f" AND t NOT IN ({stop})" if stop else "")
+    return F.expr(f"filter({_words(column, max(min_length, 1))}, t -> {keep})")
 
 
-def normalize_text(c: Column, **options) -> Column:
+def normalize_text(column: str, **options) -> Column:
     """The tokens of raw text joined by one blank."""
-    return F.array_join(tokenize(c, **options), " ")
+    return F.array_join(tokenize(column, **options), " ")
 
 
 def words(posts: DataFrame) -> Column:

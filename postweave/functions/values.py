@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -65,12 +66,29 @@ def unquote(c: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(strip(c), '^"+|"+$', ""), "^'+|'+$", "")
 
 
-def parse_datetime(c: Column, formats: Sequence[str] = DATETIME_FORMATS) -> Column:
-    """Date text as time without zone, by ISO forms and then each declared format; null if none fits."""
-    text = unquote(c.cast("string"))
-    tries = [text.try_cast("timestamp_ntz")]
-    tries += [F.try_to_timestamp(text, F.lit(f)).cast("timestamp_ntz") for f in formats]
-    return in_clock_range(F.coalesce(*tries))
+def _shape(date_format: str) -> str:
+    """Regular expression of the texts that a date format can match, letter run by letter run."""
+
+    def part(run: re.Match) -> str:
+        letter, width = run.group()[0], len(run.group())
+        if not letter.isalpha():
+            return re.escape(run.group())
+        if letter in "MLEa" and (width > 2 or letter in "Ea"):
+            return r"[^\W\d_]+\.?"
+        return rf"\d{{{width}}}" if width > 1 else r"\d{1,2}"
+
+    return "^" + re.sub(r"([A-Za-z])\1*|[^A-Za-z]+", part, date_format) + "$"
+
+
+def _parse_format(text: Column, date_format: str) -> Column:
+    # A failed parse throws inside the JVM, so only texts of the right shape are tried.
+    parsed = F.try_to_timestamp(text, F.lit(date_format)).cast("timestamp_ntz")
+    return F.when(text.rlike(_shape(date_format)), parsed)
+
+
+def parse_datetime(text: Column, formats: Sequence[str] = DATETIME_FORMATS) -> Column:
+    """Unquoted date text as time without zone, by ISO forms and then each declared format."""
+    return F.coalesce(text.try_cast("timestamp_ntz"), *(_parse_format(text, f) for f in formats))
 
 
 def epoch_time(number: Column, per_second: int) -> Column:

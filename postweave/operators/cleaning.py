@@ -14,6 +14,7 @@ from postweave.functions.values import (
     DATETIME_FORMATS,
     column_type,
     epoch_time,
+    in_clock_range,
     is_present,
     parse_datetime,
     parse_number,
@@ -91,17 +92,22 @@ def validate_posts(df: DataFrame, order_by: Sequence[str] | None = None, drop_em
 
 def with_tokens(df: DataFrame, **options) -> DataFrame:
     """Add full_text, tokens and clean_text (the tokens joined by blanks)."""
-    df = df.withColumn("full_text", full_text(df)).withColumn("tokens", tokenize(F.col("full_text"), **options))
+    df = df.withColumn("full_text", full_text(df)).withColumn("tokens", tokenize("full_text", **options))
     return df.withColumn("clean_text", F.array_join("tokens", " "))
 
 
 def with_clean_text(df: DataFrame, column: str = "text") -> DataFrame:
     """Add the cleaned but complete words of one column, stop words included."""
-    return df.withColumn("cleaned", clean_text(F.col(column)))
+    return df.withColumn("cleaned", clean_text(column))
 
 
 def filter_empty_clean(df: DataFrame) -> DataFrame:
-    return df.where(F.size("tokens") > 0)
+    """Drop posts without tokens.
+
+    Written as an explode of none or one token array: a plain filter would be pushed below the
+    projection that makes the tokens, and every text would be tokenised twice.
+    """
+    return df.withColumn("tokens", F.explode(F.filter(F.array("tokens"), lambda t: F.size(t) > 0)))
 
 
 def is_time(data_type: T.DataType) -> bool:
@@ -109,15 +115,18 @@ def is_time(data_type: T.DataType) -> bool:
 
 
 def with_time_readings(df: DataFrame, formats: Sequence[str] = DATETIME_FORMATS) -> DataFrame:
-    """Add the three readings of a textual datetime: by format, as seconds, as milliseconds."""
-    number = parse_number(unquote(F.col("datetime").cast("string")))
-    return df.withColumns(
-        {
-            "_by_format": parse_datetime(F.col("datetime"), formats),
-            "_by_second": epoch_time(number, 1),
-            "_by_milli": epoch_time(number, 1000),
-        }
-    )
+    """Add the three readings of a textual datetime: by format, as seconds, as milliseconds.
+
+    Each step is a column of its own, so that no step's expression is repeated inside the next.
+    """
+    df = df.withColumn("_text", unquote(F.col("datetime").cast("string")))
+    df = df.withColumns({"_parsed": parse_datetime(F.col("_text"), formats), "_number": parse_number(F.col("_text"))})
+    readings = {
+        "_by_format": in_clock_range(F.col("_parsed")),
+        "_by_second": epoch_time(F.col("_number"), 1),
+        "_by_milli": epoch_time(F.col("_number"), 1000),
+    }
+    return df.withColumns(readings).drop("_text", "_parsed", "_number")
 
 
 def reading_counts() -> list[Column]:

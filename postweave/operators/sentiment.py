@@ -8,13 +8,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postweave import settings
-from postweave.functions.text import words
+from postweave.functions.text import word_list, words
 
 
-def count_words(tokens: Column, lexicon: Iterable[str]) -> Column:
-    """How many tokens, repeats included, are in the lexicon."""
-    listed = sorted(set(lexicon))
-    return F.size(F.filter(tokens, lambda t: t.isin(listed))) if listed else F.lit(0)
+def count_words(tokens: str, lexicon: Iterable[str]) -> Column:
+    """How many tokens of an array column, repeats included, are in the lexicon."""
+    listed = word_list(lexicon)
+    return F.expr(f"size(filter(`{tokens}`, t -> t IN ({listed})))") if listed else F.lit(0)
 
 
 def with_sentiment(
@@ -25,15 +25,16 @@ def with_sentiment(
     negative_below: float = settings.NEGATIVE_BELOW,
 ) -> DataFrame:
     """Add word counts, score (positive share minus negative share of the hits) and label."""
-    tokens = words(posts)
+    tokens = "tokens" if "tokens" in posts.columns else "_words"
+    counted = posts if tokens == "tokens" else posts.withColumn(tokens, words(posts))
     pos, neg = F.col("positive_word_count"), F.col("negative_word_count")
     score = F.col("sentiment_score")
     label = (
         F.when(score > positive_above, "positive").when(score < negative_below, "negative").otherwise("neutral")
     )
-    counted = posts.withColumns(
+    counted = counted.withColumns(
         {"positive_word_count": count_words(tokens, positive), "negative_word_count": count_words(tokens, negative)}
-    )
+    ).drop("_words")
     scored = counted.withColumn("sentiment_score", (pos - neg) / F.greatest(pos + neg, F.lit(1)))
     return scored.withColumn("sentiment_label", label)
 

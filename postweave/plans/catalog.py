@@ -21,7 +21,7 @@ from postweave.plans.quality import quality_counts, quality_report
 from postweave.plans.reports import chart_series, run_summary
 from postweave.plans.storage import shared_folder, stored
 from postweave.sources.columns import align_schema, fill_optional, map_columns
-from postweave.sources.files import limit_rows, load_dataset, scan_csv, scan_json
+from postweave.sources.files import limit_rows, load_dataset, scan_csv, scan_json, spread
 from postweave.sources.store import RunStore, attach_run_id, stored_schema
 
 # Frequent words of the test texts, as the default lexicons hardly occur in them.
@@ -35,6 +35,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 def document_posts(spark: SparkSession, folder: str) -> DataFrame:
     d, e, o = (table(spark, folder, t) for t in ("documents", "events", "orders"))
+    d = spread(d, "doc_id")
     joined = d.join(e, d.doc_id == e.event_id).join(o, d.doc_id == o.o_orderkey)
     return joined.select(
         d.doc_id.cast("string").alias("post_id"),

@@ -13,7 +13,7 @@ from postweave.plans.catalog import TEST_NEGATIVE, TEST_POSITIVE
 BUILT_IN_STOP_WORDS = tuple(
     """
     about above after again against all and any are because been before being below between both but
-    can could down during each few for from further had has have her here hers herself him himself his
+    can cannot could down during each few for from further had has have her here hers herself him himself his
     how into its itself more most myself nor not now off once only other our ours ourselves out over
     own same she should some such than that the their them themselves then there these they this those
     through too under until very was were what when where which while who whom why will with would you

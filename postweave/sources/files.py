@@ -146,6 +146,16 @@ def read_posts(
     return limit_rows(df, n_rows)
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """A scan with fewer splits than the session has cores, redistributed over them.
+
+    Text work on a few compressed files would else run in a few tasks. A scan with enough splits,
+    the normal case for large data, stays as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *keys)
+
+
 def limit_rows(df: DataFrame, n_rows: int | None = None) -> DataFrame:
     return df if n_rows is None else df.limit(n_rows)
 

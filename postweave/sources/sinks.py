@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from multiprocessing.pool import ThreadPool
 
 from pyspark.sql import DataFrame
 
@@ -12,12 +13,16 @@ from postweave.plans.reports import quality_lines, summary_lines
 GROWING_TABLES = ("post_topics", "user_features", "user_segments", "processed_posts")
 
 
-def save_tables(tables: Mapping[str, DataFrame], folder: str) -> None:
-    """Each table as CSV with a header under its name; short reports as one file."""
-    for name, table in tables.items():
-        out = table if name in GROWING_TABLES else table.coalesce(1)
+def save_tables(tables: Mapping[str, DataFrame], folder: str, parallelism: int = 4) -> None:
+    """Each table as CSV with a header under its name, several at a time; short reports as one file."""
+
+    def save(name: str) -> None:
+        out = tables[name] if name in GROWING_TABLES else tables[name].coalesce(1)
         out.write.mode("overwrite").option("header", True).csv(f"{folder}/{name}")
 
+    with ThreadPool(parallelism) as pool:
+        pool.map(save, list(tables), chunksize=1)
+
 
 def save_summary(summary: DataFrame, folder: str) -> None:
     summary_lines(summary).coalesce(1).write.mode("overwrite").text(f"{folder}/summary_report")

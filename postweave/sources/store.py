@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from datetime import datetime, timezone
+from multiprocessing.pool import ThreadPool
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -178,9 +179,14 @@ class RunStore:
         text = report.withColumn("metric_value", F.col("metric_value").cast("string"))
         self.write(attach_run_id(text, run_id), QUALITY)
 
-    def save_tables(self, tables: Mapping[str, DataFrame], run_id: int) -> None:
-        for name, table in tables.items():
-            self.write(attach_run_id(table, run_id), STORED_NAMES.get(name, name))
+    def save_tables(self, tables: Mapping[str, DataFrame], run_id: int, parallelism: int = 4) -> None:
+        """Write result tables under their stored names, several at a time."""
+
+        def save(name: str) -> None:
+            self.write(attach_run_id(tables[name], run_id), STORED_NAMES.get(name, name))
+
+        with ThreadPool(parallelism) as pool:
+            pool.map(save, list(tables), chunksize=1)
 
     def record_run(
         self,
