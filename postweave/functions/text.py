@@ -13,14 +13,22 @@ from postweave import settings
 # Unicode variant leaves out U+001C..U+001F, so the set is written out.
 WHITESPACE = r"\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
+# The same characters one by one, for trimming.
+SPACES = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
+
 # Web addresses, up to the next white space, and the letters and digits of words.
 ADDRESS = rf"(?:http|www)[^{WHITESPACE}]+"
 WORD_CHARACTERS = "0-9a-zа-яё"
 
 
 def strip(c: Column) -> Column:
-    """Trim every kind of white space (``F.trim`` knows only the blank)."""
-    return F.regexp_replace(c, f"^[{WHITESPACE}]+|[{WHITESPACE}]+$", "")
+    """Trim every kind of white space (``F.trim`` alone knows only the blank)."""
+    return F.trim(c, F.lit(SPACES))
+
+
+def has_text(c: Column) -> Column:
+    """Whether anything but white space is there; stops at the first such character."""
+    return c.rlike(f"[^{WHITESPACE}]")
 
 
 def _words(column: str, min_length: int = 1) -> str:

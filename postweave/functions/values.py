@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -66,29 +67,63 @@ def unquote(c: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(strip(c), '^"+|"+$', ""), "^'+|'+$", "")
 
 
-def _shape(date_format: str) -> str:
-    """Regular expression of the texts that a date format can match, letter run by letter run."""
+def _by_run(date_format: str, field: Callable[[str, int], str], mark: Callable[[str], str]) -> str:
+    """A date format rewritten run by run: letter fields by ``field(letter, width)``, the rest by ``mark``."""
 
     def part(run: re.Match) -> str:
-        letter, width = run.group()[0], len(run.group())
-        if not letter.isalpha():
-            return re.escape(run.group())
-        if letter in "MLEa" and (width > 2 or letter in "Ea"):
+        return field(run.group()[0], len(run.group())) if run.group()[0].isalpha() else mark(run.group())
+
+    return re.sub(r"([A-Za-z])\1*|[^A-Za-z]+", part, date_format)
+
+
+def _is_name(letter: str, width: int) -> bool:
+    return letter in "Ea" or (letter in "ML" and width > 2)
+
+
+def _shape(date_format: str) -> str:
+    """Regular expression of the texts that a date format can match."""
+
+    def field(letter: str, width: int) -> str:
+        if _is_name(letter, width):
             return r"[^\W\d_]+\.?"
         return rf"\d{{{width}}}" if width > 1 else r"\d{1,2}"
 
-    return "^" + re.sub(r"([A-Za-z])\1*|[^A-Za-z]+", part, date_format) + "$"
+    return f"^{_by_run(date_format, field, re.escape)}$"
+
+
+def _samples(date_format: str) -> list[str]:
+    """Texts of the shape of a date format, with short and with long single-letter numbers."""
+    return [
+        _by_run(date_format, lambda x, w, d=d: "May" if _is_name(x, w) else "1" * max(w, d), str) for d in (1, 2)
+    ]
+
+
+def _layers(formats: Sequence[str]) -> list[list[str]]:
+    """Formats grouped so that no text has the shape of two of a group; order kept between groups."""
+    layers: list[list[str]] = []
+    for new in formats:
+
+        def clashes(old: str, new: str = new) -> bool:
+            pairs = [(new, old), (old, new)]
+            return any(re.match(_shape(a), text) for a, b in pairs for text in _samples(b))
+
+        depth = max((i + 1 for i, layer in enumerate(layers) if any(map(clashes, layer))), default=0)
+        if depth == len(layers):
+            layers.append([])
+        layers[depth].append(new)
+    return layers
 
 
-def _parse_format(text: Column, date_format: str) -> Column:
-    # A failed parse throws inside the JVM, so only texts of the right shape are tried.
-    parsed = F.try_to_timestamp(text, F.lit(date_format)).cast("timestamp_ntz")
-    return F.when(text.rlike(_shape(date_format)), parsed)
+def _parse_layer(text: Column, formats: Sequence[str]) -> Column:
+    # The shape picks the format, so a text is parsed at most once per layer: failed parses throw
+    # inside the JVM, and one parser per format would outgrow the generated code.
+    chosen = reduce(lambda c, f: c.when(text.rlike(_shape(f)), f), formats, F.when(F.lit(False), ""))
+    return F.try_to_timestamp(text, chosen).cast("timestamp_ntz")
 
 
 def parse_datetime(text: Column, formats: Sequence[str] = DATETIME_FORMATS) -> Column:
     """Unquoted date text as time without zone, by ISO forms and then each declared format."""
-    return F.coalesce(text.try_cast("timestamp_ntz"), *(_parse_format(text, f) for f in formats))
+    return F.coalesce(text.try_cast("timestamp_ntz"), *(_parse_layer(text, layer) for layer in _layers(formats)))
 
 
 def epoch_time(number: Column, per_second: int) -> Column:

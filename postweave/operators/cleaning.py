@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from postweave import settings
-from postweave.functions.text import clean_text, strip, tokenize
+from postweave.functions.text import clean_text, has_text, strip, tokenize
 from postweave.functions.values import (
     DATETIME_FORMATS,
     column_type,
@@ -72,14 +72,22 @@ def coerce_numeric(df: DataFrame) -> DataFrame:
     return df.withColumns({c: to_count(F.col(c), column_type(df, c)) for c in present})
 
 
+def _joined_text(df: DataFrame) -> Column:
+    return F.concat_ws(" ", *(F.col(c) for c in settings.TEXT_FIELDS if c in df.columns))
+
+
 def full_text(df: DataFrame) -> Column:
     """Title and text, trimmed; both must be filled."""
-    parts = [F.col(c) for c in settings.TEXT_FIELDS if c in df.columns]
-    return strip(F.concat_ws(" ", *parts))
+    return strip(_joined_text(df))
+
+
+def some_text(df: DataFrame) -> Column:
+    """True where full_text would not be empty."""
+    return has_text(_joined_text(df))
 
 
 def filter_empty_text(df: DataFrame) -> DataFrame:
-    return df.where(full_text(df) != "")
+    return df.where(some_text(df))
 
 
 def validate_posts(df: DataFrame, order_by: Sequence[str] | None = None, drop_empty: bool = True) -> DataFrame:
@@ -91,8 +99,14 @@ def validate_posts(df: DataFrame, order_by: Sequence[str] | None = None, drop_em
 
 
 def with_tokens(df: DataFrame, **options) -> DataFrame:
-    """Add full_text, tokens and clean_text (the tokens joined by blanks)."""
-    df = df.withColumn("full_text", full_text(df)).withColumn("tokens", tokenize("full_text", **options))
+    """Add full_text, tokens and clean_text (the tokens joined by blanks).
+
+    The tokens come out of an explode of a one-element array. That keeps Spark from copying their
+    expression into every later filter on them (also those it infers for an explode), which would
+    tokenise each text once per copy.
+    """
+    df = df.withColumn("full_text", full_text(df))
+    df = df.withColumn("tokens", F.explode(F.array(tokenize("full_text", **options))))
     return df.withColumn("clean_text", F.array_join("tokens", " "))
 
 
@@ -102,25 +116,27 @@ def with_clean_text(df: DataFrame, column: str = "text") -> DataFrame:
 
 
 def filter_empty_clean(df: DataFrame) -> DataFrame:
-    """Drop posts without tokens.
-
-    Written as an explode of none or one token array: a plain filter would be pushed below the
-    projection that makes the tokens, and every text would be tokenised twice.
-    """
-    return df.withColumn("tokens", F.explode(F.filter(F.array("tokens"), lambda t: F.size(t) > 0)))
+    return df.where(F.size("tokens") > 0)
 
 
 def is_time(data_type: T.DataType) -> bool:
     return isinstance(data_type, (T.TimestampType, T.TimestampNTZType, T.DateType))
 
 
+READINGS = ("_by_format", "_by_second", "_by_milli")
+
+
 def with_time_readings(df: DataFrame, formats: Sequence[str] = DATETIME_FORMATS) -> DataFrame:
     """Add the three readings of a textual datetime: by format, as seconds, as milliseconds.
 
-    Each step is a column of its own, so that no step's expression is repeated inside the next.
+    The parsed values come out of an inline of one row, for the reason given at ``with_tokens``: a
+    filter on the result must not carry copies of the parser below the projection.
     """
     df = df.withColumn("_text", unquote(F.col("datetime").cast("string")))
-    df = df.withColumns({"_parsed": parse_datetime(F.col("_text"), formats), "_number": parse_number(F.col("_text"))})
+    parsed = F.struct(
+        parse_datetime(F.col("_text"), formats).alias("_parsed"), parse_number(F.col("_text")).alias("_number")
+    )
+    df = df.select("*", F.inline(F.array(parsed)))
     readings = {
         "_by_format": in_clock_range(F.col("_parsed")),
         "_by_second": epoch_time(F.col("_number"), 1),
@@ -131,7 +147,7 @@ def with_time_readings(df: DataFrame, formats: Sequence[str] = DATETIME_FORMATS)
 
 def reading_counts() -> list[Column]:
     """How many rows each reading of ``with_time_readings`` could parse."""
-    return [F.count(c).alias(c) for c in ("_by_format", "_by_second", "_by_milli")]
+    return [F.count(c).alias(c) for c in READINGS]
 
 
 def choose_reading(by_format: Column, by_second: Column, by_milli: Column) -> Column:
@@ -159,15 +175,12 @@ def parse_datetime_column(
     read = with_time_readings(df, formats)
     if reading == "auto":
         counts = read.agg(*reading_counts())
-        chosen = counts.select(choose_reading(*(F.col(c) for c in counts.columns))).scalar()
-        value = (
-            F.when(chosen == "_by_format", F.col("_by_format"))
-            .when(chosen == "_by_second", F.col("_by_second"))
-            .otherwise(F.col("_by_milli"))
-        )
+        chosen = counts.select(choose_reading(*(F.col(c) for c in READINGS))).scalar()
+        position = F.array_position(F.array(*map(F.lit, READINGS)), chosen) - 1
+        value = F.get(F.array(*READINGS), position.cast("int"))
     else:
         value = F.col(f"_by_{reading}")
-    return read.withColumn("datetime", value).drop("_by_format", "_by_second", "_by_milli")
+    return read.withColumn("datetime", value).drop(*READINGS)
 
 
 def filter_datetime(df: DataFrame) -> DataFrame:

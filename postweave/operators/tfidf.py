@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postweave import settings
-from postweave.functions.text import strip, words
+from postweave.functions.text import has_text, words
 from postweave.operators.terms import top_terms
 
 
@@ -28,8 +28,8 @@ def vector_words(posts: DataFrame) -> Column:
 
 def _documents(posts: DataFrame, *keep: str) -> DataFrame:
     """Posts with text, as the kept columns and ``tokens``."""
-    blank = F.size("tokens") == 0 if "tokens" in posts.columns else strip(F.coalesce("clean_text", F.lit(""))) == ""
-    return posts.where(~blank).select(*keep, vector_words(posts).alias("tokens"))
+    filled = F.size("tokens") > 0 if "tokens" in posts.columns else has_text(F.coalesce("clean_text", F.lit("")))
+    return posts.where(filled).select(*keep, vector_words(posts).alias("tokens"))
 
 
 @dataclass(frozen=True)

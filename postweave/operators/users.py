@@ -24,6 +24,9 @@ FEATURES = (
     "active_months",
 )
 
+# Users that one task of a k-means pass should at least have.
+USERS_PER_TASK = 50_000
+
 
 def _known_users(posts: DataFrame) -> DataFrame:
     return posts.where(F.col("user_id").isNotNull())
@@ -109,7 +112,7 @@ def segment_users(
     k: int = settings.SEGMENTS,
     starts: int = settings.SEGMENT_STARTS,
     seed: int = settings.SEED,
-    parallelism: int = 4,
+    parallelism: int = 10,
     max_iter: int = 100,
 ) -> DataFrame:
     """Users with their rule-based label and k-means cluster, best of several seeded starts.
@@ -119,13 +122,15 @@ def segment_users(
     winning seed.
     """
     labelled = with_activity_label(features)
-    users = features.limit(k + 1).count()
+    users = features.count()
     if users < 2:
         return labelled.withColumn("segment_id", F.lit(0))
     counts = labelled.withColumns({c: F.col(c).cast("double") for c in FEATURES})
     assembled = VectorAssembler(inputCols=list(FEATURES), outputCol="_raw").transform(counts)
     scaler = StandardScaler(withMean=True, withStd=True, inputCol="_raw", outputCol="_scaled").fit(assembled)
-    scaled = scaler.transform(assembled).select(*labelled.columns, "_scaled").persist()
+    # Each start makes many short passes, so few users should not be spread over many tasks.
+    tasks = max(1, users // USERS_PER_TASK)
+    scaled = scaler.transform(assembled).select("_scaled").coalesce(tasks).persist()
     try:
         estimator = KMeans(k=max(1, min(k, users)), featuresCol="_scaled", predictionCol="_cluster", maxIter=max_iter)
 

@@ -12,11 +12,12 @@ from postweave import settings
 from postweave.functions.values import DATETIME_FORMATS
 from postweave.operators import activity, growth, sentiment, terms, tfidf, topics, users
 from postweave.operators.cleaning import (
+    READINGS,
     coerce_numeric,
     dedupe_posts,
     fill_text,
     filter_required,
-    full_text,
+    some_text,
     trim_keys,
     with_engagement,
     with_input_order,
@@ -24,7 +25,7 @@ from postweave.operators.cleaning import (
     with_text_length,
     with_tokens,
 )
-from postweave.plans.quality import READINGS, report_frame, stage_counts, stage_flags
+from postweave.plans.quality import report_frame, stage_counts, stage_flags
 from postweave.plans.reports import run_summary
 from postweave.plans.storage import stored
 from postweave.sources.columns import ColumnMatch, check_fields, fill_optional, map_columns
@@ -77,7 +78,7 @@ def clean_posts(raw: DataFrame, options: Options) -> tuple[DataFrame, dict]:
 
 def with_token_options(df: DataFrame, options: Options) -> DataFrame:
     df = fill_text(df)
-    df = df.withColumn("_has_text", full_text(df) != "")
+    df = df.withColumn("_has_text", some_text(df))
     return with_tokens(df, extra_stop_words=options.extra_stop_words)
 
 

@@ -70,6 +70,7 @@ def event_posts(spark: SparkSession, folder: str) -> DataFrame:
 
 def untidy_posts(spark: SparkSession, folder: str) -> DataFrame:
     e, d, o = (table(spark, folder, t) for t in ("events", "documents", "orders"))
+    e = spread(e, "event_id")
     joined = e.join(d, e.event_id == d.doc_id, "left").join(o, e.event_id == o.o_orderkey, "left")
     kind = e.event_type
     key = F.coalesce(d.doc_id.cast("string"), F.concat(F.lit("u"), e.user_id))

@@ -11,12 +11,13 @@ from postweave.functions.values import column_type
 from postweave.operators.cleaning import (
     DATETIME_FORMATS,
     ORDER,
+    READINGS,
     choose_reading,
     fill_text,
-    full_text,
     is_time,
     reading_counts,
     required_present,
+    some_text,
     trim_keys,
     with_input_order,
     with_time_readings,
@@ -37,13 +38,10 @@ METRICS = (
 )
 
 
-READINGS = ("_by_format", "_by_second", "_by_milli")
-
-
 def stage_flags(df: DataFrame, formats=DATETIME_FORMATS) -> DataFrame:
     """Add the tests of all later stages as columns: raw text, tokens, readable dates."""
     df = fill_text(df)
-    df = df.withColumn("_has_text", full_text(df) != "") if "_has_text" not in df.columns else df
+    df = df.withColumn("_has_text", some_text(df)) if "_has_text" not in df.columns else df
     df = df if "tokens" in df.columns else with_tokens(df)
     if is_time(column_type(df, "datetime")):
         present = F.col("datetime").cast("timestamp_ntz")
