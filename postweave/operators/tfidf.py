@@ -43,6 +43,10 @@ class TfidfSpace:
     idf: tuple[float, ...]
     documents: int
 
+    def leading(self, max_features: int) -> TfidfSpace:
+        """The space of the most frequent words only; a word's weight does not depend on the others."""
+        return TfidfSpace(self.vocabulary[:max_features], self.idf[:max_features], self.documents)
+
     def vectors(self, posts: DataFrame, *keep: str) -> DataFrame:
         """The kept columns and ``features``: weights scaled to length 1 within the vocabulary."""
         counted = self._counts(_documents(posts, *keep))

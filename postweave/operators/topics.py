@@ -134,8 +134,13 @@ def topic_vectors(posts: DataFrame, space: TfidfSpace) -> DataFrame:
 
 
 def inner_products(vectors: DataFrame) -> np.ndarray:
-    """X'X: vocabulary by vocabulary, added up in a tree on the cluster."""
-    old_style = MLUtils.convertVectorColumnsFromML(vectors.select("features"), "features")
+    """X'X: vocabulary by vocabulary, added up in a tree on the cluster.
+
+    Each task holds a partial sum of a fixed size (9 MB for 1500 words), so their number is kept to
+    a few per core, however many splits the table has.
+    """
+    tasks = 4 * vectors.sparkSession.sparkContext.defaultParallelism
+    old_style = MLUtils.convertVectorColumnsFromML(vectors.select("features").coalesce(tasks), "features")
     return RowMatrix(old_style).computeGramianMatrix().toArray()
 
 
@@ -265,14 +270,15 @@ def topic_tables(
     max_features: int = settings.TOPIC_VOCABULARY,
     max_iter: int = 50,
     tol: float = 1e-4,
-    vocabulary: list[str] | None = None,
+    space: TfidfSpace | None = None,
 ) -> tuple[dict[str, DataFrame], TopicModel | None]:
     """The four topic tables and the fitted model; empty tables for fewer than two posts or words.
 
-    The posts are read three times before the vectors are stored; pass a stored frame.
+    Without a fitted ``space`` the posts are read three times before the vectors are stored; pass a
+    stored frame.
     """
     spark = posts.sparkSession
-    space = fit_tfidf(posts, max_features, vocabulary)
+    space = fit_tfidf(posts, max_features) if space is None else space
     if space.documents < 2 or len(space.vocabulary) < 2:
         return {name: spark.createDataFrame([], schema) for name, schema in TOPIC_TABLES.items()}, None
     vectors = topic_vectors(posts, space)

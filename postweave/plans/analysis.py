@@ -17,6 +17,7 @@ from postweave.operators.cleaning import (
     dedupe_posts,
     fill_text,
     filter_required,
+    full_text,
     some_text,
     trim_keys,
     with_engagement,
@@ -59,36 +60,48 @@ class AnalysisResult:
     match: ColumnMatch | None = field(default=None)
 
 
-def clean_posts(raw: DataFrame, options: Options) -> tuple[DataFrame, dict]:
-    """Validated and preprocessed posts, stored once, and the counts of every stage.
+# Columns of the stage table that later stages test, and those that are derived again when read.
+STAGE_COLUMNS = ("_has_text", "_has_words", *READINGS)
+DERIVED_TEXTS = ("full_text", "clean_text")
+
 
-    One heavy pass dedupes, tokenises and stores the rows with their stage tests as columns. The
-    counts and the reading of the dates then come from narrow scans of that table, and the posts are
-    a filter on it: nothing is tokenised or shuffled twice, and a repeated task cannot count a row
-    twice.
+def stage_posts(raw: DataFrame, options: Options) -> DataFrame:
+    """Required, unique posts with tokens, sentiment and the tests of all later stages; stored once.
+
+    This is the one heavy pass: it reads the input, shuffles it for the dedupe, tokenises and
+    scores. Texts that follow from the others are not stored.
     """
     ordered = with_input_order(raw, options.order_by)
-    unique = dedupe_posts(trim_keys(filter_required(ordered)))
-    staged = stored(stage_flags(with_token_options(unique, options), options.formats), "staged", options.snapshots)
-    counts = stage_counts(raw, staged)
-    posts = staged.where("_has_words").withColumn("datetime", F.col(counts["reading"]))
-    posts = posts.where(F.col("datetime").isNotNull()).drop("_has_text", "_has_words", *READINGS)
-    return with_text_length(with_engagement(coerce_numeric(with_periods(posts)))), counts
+    posts = fill_text(dedupe_posts(trim_keys(filter_required(ordered))))
+    posts = with_tokens(posts.withColumn("_has_text", some_text(posts)), extra_stop_words=options.extra_stop_words)
+    flagged = stage_flags(coerce_numeric(posts), options.formats)
+    scored = sentiment.with_sentiment(flagged, options.positive_words, options.negative_words)
+    return stored(scored.drop(*DERIVED_TEXTS), "staged", options.snapshots)
 
 
-def with_token_options(df: DataFrame, options: Options) -> DataFrame:
-    df = fill_text(df)
-    df = df.withColumn("_has_text", some_text(df))
-    return with_tokens(df, extra_stop_words=options.extra_stop_words)
+def clean_posts(raw: DataFrame, options: Options) -> tuple[DataFrame, dict]:
+    """Validated and preprocessed posts as a lazy filter on the stage table, and all stage counts.
+
+    The counts and the reading of the dates come from narrow scans of the stage table, so nothing is
+    tokenised or shuffled twice and a repeated task cannot count a row twice.
+    """
+    staged = stage_posts(raw, options)
+    counts = stage_counts(raw, staged)
+    dated = staged.where("_has_words").withColumn("datetime", F.col(counts["reading"]))
+    posts = dated.where(F.col("datetime").isNotNull()).drop(*STAGE_COLUMNS)
+    posts = with_text_length(with_engagement(with_periods(posts)))
+    posts = posts.withColumns({"full_text": full_text(posts), "clean_text": F.array_join("tokens", " ")})
+    if options.snapshots:
+        stored(staged.where("_has_text").drop("tokens", *STAGE_COLUMNS), "validated", options.snapshots)
+        posts = stored(posts, "cleaned", options.snapshots)
+    return posts, counts
 
 
 def analyze_posts(raw: DataFrame, options: Options | None = None, match: ColumnMatch | None = None) -> AnalysisResult:
     """Analyse posts that already have the canonical columns."""
     options = options or Options()
     spark = raw.sparkSession
-    cleaned, counts = clean_posts(fill_optional(raw), options)
-    scored = sentiment.with_sentiment(cleaned, options.positive_words, options.negative_words)
-    posts = stored(scored, "cleaned", options.snapshots)
+    posts, counts = clean_posts(fill_optional(raw), options)
 
     # One word count serves every vocabulary: all of them are its first rows.
     most = max(settings.TOPIC_VOCABULARY, settings.TFIDF_VOCABULARY, settings.TREND_TERMS, settings.TOP_WORDS)
@@ -97,10 +110,10 @@ def analyze_posts(raw: DataFrame, options: Options | None = None, match: ColumnM
     counted = spark.createDataFrame(ranked, "word string, count bigint")
     trend = spark.createDataFrame([(t,) for t in vocabulary[: settings.TREND_TERMS]], "term string")
 
+    space = tfidf.fit_tfidf(posts, most, vocabulary)
     topic_frames, _ = topics.topic_tables(
-        posts, options.topics, max_iter=options.topic_iterations, vocabulary=vocabulary
+        posts, options.topics, max_iter=options.topic_iterations, space=space.leading(settings.TOPIC_VOCABULARY)
     )
-    space = tfidf.fit_tfidf(posts, vocabulary=vocabulary[: settings.TFIDF_VOCABULARY])
     features = stored(users.user_features(posts), "user-features")
     segments = users.segment_users(features, options.segments)
 
@@ -108,7 +121,7 @@ def analyze_posts(raw: DataFrame, options: Options | None = None, match: ColumnM
         "top_words": counted.orderBy(F.desc("count"), "word").limit(settings.TOP_WORDS),
         "top_bigrams": terms.top_bigrams(posts),
         "top_trigrams": terms.top_trigrams(posts),
-        "tfidf_terms": tfidf.top_tfidf_terms(posts, space=space),
+        "tfidf_terms": tfidf.top_tfidf_terms(posts, space=space.leading(settings.TFIDF_VOCABULARY)),
         "posts_by_date": activity.posts_by_date(posts),
         "posts_by_month": activity.posts_by_month(posts),
         "top_sources": activity.top_field_values(posts, "source"),
