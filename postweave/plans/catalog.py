@@ -19,7 +19,7 @@ from postweave.operators import activity, cleaning, growth, sentiment, terms, tf
 from postweave.plans.analysis import analyze_posts
 from postweave.plans.quality import quality_counts, quality_report
 from postweave.plans.reports import chart_series, run_summary
-from postweave.plans.storage import shared_folder, stored
+from postweave.plans.storage import new_path, stored
 from postweave.sources.columns import align_schema, fill_optional, map_columns
 from postweave.sources.files import limit_rows, load_dataset, scan_csv, scan_json, spread
 from postweave.sources.store import RunStore, attach_run_id, stored_schema
@@ -123,15 +123,15 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _csv_round_trip(spark: SparkSession, folder: str) -> DataFrame:
-    path = f"{shared_folder(spark)}/documents-as.csv"
+    path = new_path(spark, "documents") + ".csv"
     docs = table(spark, folder, "documents").select("doc_id", "text", "lang", "source")
-    docs.write.mode("overwrite").csv(path, header=True, sep=";", quote='"', escape='"')
+    docs.write.csv(path, header=True, sep=";", quote='"', escape='"')
     return scan_csv(spark, path)
 
 
 def _json_round_trip(spark: SparkSession, folder: str) -> DataFrame:
-    path = f"{shared_folder(spark)}/conversations-as.json"
-    table(spark, folder, "conversations").write.mode("overwrite").json(path)
+    path = new_path(spark, "conversations") + ".json"
+    table(spark, folder, "conversations").write.json(path)
     return scan_json(spark, path).select("conv_id", "turn", "role", "text")
 
 
@@ -142,7 +142,7 @@ def _load_documents(spark: SparkSession, folder: str) -> DataFrame:
 
 def _stored_table(spark: SparkSession, folder: str) -> DataFrame:
     """Two runs saved, the second read back."""
-    store = RunStore(spark, f"{shared_folder(spark)}/run-store")
+    store = RunStore(spark, new_path(spark, "run-store"))
     months = activity.posts_by_month(event_posts(spark, folder))
     for run_id in (1, 2):
         store.write(attach_run_id(months, run_id), "trend_posts_by_month")

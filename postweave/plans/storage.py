@@ -26,6 +26,11 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_folders.setdefault(context.applicationId, tempfile.mkdtemp(prefix="postweave-"))
 
 
+def new_path(spark: SparkSession, name: str, folder: str | None = None) -> str:
+    """A path in the shared folder (or the given one) that nothing else uses."""
+    return f"{folder or shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 def stored(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
     """Write a frame once as Parquet and return it as a scan of what was written.
 
@@ -33,6 +38,6 @@ def stored(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
     here, and a lost executor costs no recomputation.
     """
     spark = df.sparkSession
-    path = f"{folder or shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    path = new_path(spark, name, folder)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -170,10 +170,11 @@ def load_dataset(
 ) -> tuple[DataFrame, ColumnMatch]:
     """Read, map to the canonical fields and fill absent optional ones.
 
-    With ``snapshots`` the raw and the mapped table are also written there.
+    With ``snapshots`` the raw and the mapped table are also written there. A row limit is stored
+    too: which rows it takes may differ each time it is evaluated.
     """
     raw = read_posts(spark, path, n_rows, **options)
-    if snapshots:
+    if snapshots or n_rows is not None:
         raw = stored(raw, "raw", snapshots)
     mapped, match = map_columns(raw, mapping)
     mapped = fill_optional(mapped)

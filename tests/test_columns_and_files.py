@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from postweave import settings
-from postweave.plans.analysis import analyze
+from postweave.plans.analysis import Options, analyze
 from postweave.sources import columns as C
 from postweave.sources.files import find_separator, inspect_csv, load_dataset, read_posts, scan_csv, scan_json
 
@@ -168,6 +168,17 @@ def test_snapshots(spark, tmp_path):
     assert names == ["mapped", "raw"]
 
 
+def test_analysis_snapshots_and_row_limit(spark, tmp_path):
+    folder = tmp_path / "snapshots"
+    result = analyze(spark, write(tmp_path / "posts.csv"), n_rows=3, options=Options(snapshots=str(folder)))
+    assert result.quality["loaded_rows"] == 3 and result.summary["total_rows"] == 3
+    kinds = {p.name.split("-")[0]: spark.read.parquet(str(p)) for p in folder.iterdir()}
+    assert set(kinds) == {"raw", "mapped", "staged", "validated", "cleaned"}
+    assert {name: frame.count() for name, frame in kinds.items()} == dict.fromkeys(kinds, 3)
+    assert kinds["raw"].columns == HEADER and "clean_text" in kinds["cleaned"].columns
+    assert "_has_text" not in kinds["validated"].columns
+
+
 def test_align_schema(spark):
     df = spark.createDataFrame([(1, "x", 2)], "b int, extra string, a int")
     schema = spark.createDataFrame([], "a bigint, b int, c string").schema

@@ -141,6 +141,31 @@ def test_segments(spark):
     assert [r[:2] for r in distribution] == [("high_activity", 1), ("low_activity", 1), ("medium_activity", 1)]
 
 
+def test_features_of_one_hot_user(spark):
+    """A user with a third of all posts, against sums by hand."""
+    n = 9000
+    df = spark.range(n).select(
+        F.col("id").cast("string").alias("post_id"),
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("u"), F.col("id") % 50)).alias("user_id"),
+        (F.col("id") % 5).cast("double").alias("likes_count"), F.lit(1.0).alias("comments_count"),
+        (F.col("id") % 5 + 1).cast("double").alias("engagement_score"),
+        (F.col("id") % 7).cast("string").alias("source"), (F.col("id") % 11).cast("string").alias("category"),
+        F.concat(F.lit("2024-0"), F.col("id") % 9 + 1).alias("month"),
+    )
+    hot = users.user_features(df.repartition(8)).where("user_id = 'hot'").first()
+    ids = range(0, n, 3)
+    assert hot.posts_count == len(ids) and hot.total_engagement == sum(i % 5 + 1 for i in ids)
+    assert (hot.unique_sources, hot.unique_categories, hot.active_months) == (7, 11, len({i % 9 for i in ids}))
+    months = {r.month: r for r in users.user_activity_by_month(df).collect()}
+    close = {r.month: r for r in users.user_activity_by_month(df, approximate=True).collect()}
+    for m in range(9):
+        inside = [i for i in range(n) if i % 9 == m]
+        expected = len({"hot" if i % 3 == 0 else i % 50 for i in inside})
+        row = months[f"2024-0{m + 1}"]
+        assert (row.unique_users, row.total_posts) == (expected, len(inside))
+        assert close[row.month].unique_users == pytest.approx(expected, rel=0.15)
+
+
 def test_single_user_and_no_user(spark):
     df = spark.createDataFrame(SEGMENTED, SEGMENT_SCHEMA)
     assert [r.segment_id for r in users.segment_users(users.user_features(df.where("user_id = 'u2'"))).collect()] == [0]
