@@ -3,7 +3,6 @@
 import json
 
 import pytest
-from pyspark.sql import functions as F
 
 from postweave import settings
 from postweave.plans.analysis import Options, analyze
