@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from postweave.llm import sharding, token_files
+from postweave.llm import decontaminate, line_rules, mixing, odd_sketch, sharding, token_files
 
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -29,9 +29,29 @@ def op2_feistel_shards(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard_rows(table(spark, folder, "documents"), shards=24)
 
 
+def op4_mixed_sources(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mix_report(table(spark, folder, "documents"))
+
+
+def op7_line_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return line_rules.line_report(table(spark, folder, "documents"))
+
+
+def op8_odd_sketches(spark: SparkSession, folder: str) -> DataFrame:
+    return odd_sketch.near_duplicates(table(spark, folder, "documents"), width=3, threshold=0.85).drop("node")
+
+
+def op9_benchmark_leaks(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_files": op1_token_files,
     "op2_feistel_shards": op2_feistel_shards,
+    "op4_mixed_sources": op4_mixed_sources,
+    "op7_line_rules": op7_line_rules,
+    "op8_odd_sketches": op8_odd_sketches,
+    "op9_benchmark_leaks": op9_benchmark_leaks,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op7_line_rules": line_rules.LINE_REPORT_SQL}
