@@ -82,14 +82,10 @@ def slabs(batches, text: str = "text", limit: int = SLAB_BYTES) -> Iterator[pa.R
             at = stop
 
 
-def hash_words(data: np.ndarray, bounds: np.ndarray, separators: np.ndarray = SPACES) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words in order, and where each row's words begin.
-
-    A word is a run of bytes that are no separators; A-Z count as a-z.
-    """
-    rows = len(bounds) - 1
+def word_spans(data: np.ndarray, bounds: np.ndarray, separators: np.ndarray = SPACES) -> tuple[np.ndarray, np.ndarray]:
+    """First byte and end of every word; a word is a run of bytes of one row that are no separators."""
     if not len(data):
-        return np.zeros(0, np.uint64), np.zeros(rows + 1, np.int64)
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
     inside = ~separators[data]
     edge = np.zeros(len(data) + 1, bool)
     edge[bounds] = True
@@ -98,7 +94,14 @@ def hash_words(data: np.ndarray, bounds: np.ndarray, separators: np.ndarray = SP
     starts = np.flatnonzero(inside & (~before | edge[:-1]))
     after = np.empty(len(data), bool)
     after[-1], after[:-1] = False, inside[1:]
-    ends = np.flatnonzero(inside & (~after | edge[1:])) + 1
+    return starts, np.flatnonzero(inside & (~after | edge[1:])) + 1
+
+
+def hash_words(data: np.ndarray, bounds: np.ndarray, separators: np.ndarray = SPACES) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words in order, A-Z counting as a-z, and where each row's words begin."""
+    starts, ends = word_spans(data, bounds, separators)
+    if not len(starts):
+        return np.zeros(0, np.uint64), np.zeros(len(bounds), np.int64)
     return hash_spans(LOWER[data], starts, ends), np.searchsorted(starts, bounds)
 
 

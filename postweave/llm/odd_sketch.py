@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from postweave.llm.batches import hash_words, mix, slabs, text_bytes, window_hashes
 from postweave.llm.components import components
+from postweave.llm.line_rules import WORD
 from postweave.plans.storage import stored
 
 SAMPLES, BITS = 120, 512
@@ -105,7 +106,7 @@ def _lists(values: np.ndarray) -> pa.Array:
 
 
 def sketch_documents(docs: DataFrame, width: int, threshold: float, samples: int = SAMPLES) -> DataFrame:
-    """doc_id and SKETCHED of (doc_id, text) rows; texts without words have a null node."""
+    """doc_id, text_key and SKETCHED of (doc_id, text, text_key) rows; texts without words have a null node."""
     rows_of_band = band_rows(threshold, samples)
     bands = samples // rows_of_band
 
@@ -120,16 +121,17 @@ def sketch_documents(docs: DataFrame, width: int, threshold: float, samples: int
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
+                    batch.column("text_key"),
                     pa.array([len(own) for own in sets], pa.int64()),
                     pa.array([_digest(own) for own in sets], pa.binary()),
                     _lists(keys),
                     _lists(odd_sketches(signatures)),
                 ],
-                names=["doc_id", "n_shingles", "node", "bands", "sketch"],
+                names=["doc_id", "text_key", "n_shingles", "node", "bands", "sketch"],
             )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.mapInArrow(sketch, f"doc_id {kind}, {SKETCHED}")
+    return docs.mapInArrow(sketch, f"doc_id {kind}, text_key long, {SKETCHED}")
 
 
 def _ones(a: str, b: str) -> Column:
@@ -261,13 +263,13 @@ def _pairs_of_run(run: pa.Table, most: int) -> Iterator[pa.RecordBatch]:
 def near_duplicates(
     docs: DataFrame, width: int = 5, threshold: float = 0.8, samples: int = SAMPLES, doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
-    """Per row: doc_id, n_shingles, component_id (smallest doc_id reachable over links), kept, node.
+    """Per row: doc_id, n_shingles, component_id (smallest doc_id reachable over links), kept, group, text_key.
 
     Words are runs of anything but ASCII white space, A-Z lower-cased. Rows without words are linked with nothing, their
     component is their own doc_id. Rows with null doc_id are linked as others, but no component is named
     by null unless all its ids are. Rows with equal id and text are equal in everything. No rows: no rows.
     """
-    plain = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    plain = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.xxhash64(text).alias("text_key"))
     rows = stored(sketch_documents(plain, width, threshold, samples), "sketches")
     with_words = rows.where(F.col("node").isNotNull())
     nodes = with_words.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
@@ -284,11 +286,38 @@ def near_duplicates(
     if more.take(1):
         near = stored(components(links.union(more)), "components")
 
-    named = nodes.select("node", "doc_id").join(near, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    least = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    # Only nodes of components with several nodes or documents differ from their own row's id.
-    of_node = named.join(least, "component").select("node", "component_id")
-    out = rows.select("doc_id", "n_shingles", "node").join(of_node, "node", "left")
+    named = nodes.select("node", "doc_id").join(near, "node", "left").withColumn("group", F.coalesce("component", "node"))
+    least = named.groupBy("group").agg(F.min("doc_id").alias("component_id"))
+    of_node = named.select("node", "group").join(least, "group")
+    out = rows.select("doc_id", "text_key", "n_shingles", "node").join(of_node, "node", "left")
     component_id = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    out = out.select("doc_id", "n_shingles", component_id.alias("component_id"), "node")
+    out = out.select("doc_id", "n_shingles", component_id.alias("component_id"), "group", "text_key")
     return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+def deduplicated(
+    docs: DataFrame, width: int = 5, threshold: float = 0.8, samples: int = SAMPLES, doc_id: str = "doc_id", text: str = "text"
+) -> DataFrame:
+    """One row of ``docs`` for each group of near-duplicates: of the smallest doc_id (null last), the text with the smallest hash.
+
+    Rows without words are in no group and all stay.
+    """
+    report = near_duplicates(docs, width, threshold, samples, doc_id, text).where(F.col("group").isNotNull())
+    rank = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_key")
+    best = report.groupBy("group").agg(F.min(rank).alias("best"))
+    best = best.select(_id_text(F.col("best.doc_id")).alias("id"), F.col("best.text_key").alias("key"))
+    whole = docs.select(
+        F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("whole"),
+        _id_text(F.col(doc_id)).alias("id"),
+        F.xxhash64(text).alias("key"),
+        F.coalesce(F.col(text).rlike(WORD), F.lit(False)).alias("has_words"),
+    )
+    # Copies of a row meet for the join, and the next step needs no other shuffle.
+    one = whole.where("has_words").join(best, ["id", "key"], "left_semi").dropDuplicates(["id", "key"])
+    columns = ["id", "key", "whole"]
+    return one.select(columns).union(whole.where("not has_words").select(columns)).select("whole.*")
+
+
+def _id_text(doc_id: Column) -> Column:
+    """A text for each id, which is not null and tells null from all others."""
+    return F.coalesce(F.concat(F.lit("="), doc_id.cast("string")), F.lit(""))

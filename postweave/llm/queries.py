@@ -6,7 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from postweave.llm import decontaminate, line_rules, mixing, odd_sketch, sharding, token_files
+from postweave.llm import (
+    decontaminate,
+    line_rules,
+    mixing,
+    odd_sketch,
+    pitman_yor,
+    quality,
+    sharding,
+    token_files,
+    transcripts,
+    warc,
+)
 
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -29,29 +40,49 @@ def op2_feistel_shards(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard_rows(table(spark, folder, "documents"), shards=24)
 
 
+def op3_quality_scores(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.quality_scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op4_mixed_sources(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix_report(table(spark, folder, "documents"))
 
 
+def op5_language_scores(spark: SparkSession, folder: str) -> DataFrame:
+    return pitman_yor.language_scores(table(spark, folder, "documents"))
+
+
+def op6_warc_derivatives(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.derivative_report(table(spark, folder, "pages"))
+
+
 def op7_line_rules(spark: SparkSession, folder: str) -> DataFrame:
     return line_rules.line_report(table(spark, folder, "documents"))
 
 
 def op8_odd_sketches(spark: SparkSession, folder: str) -> DataFrame:
-    return odd_sketch.near_duplicates(table(spark, folder, "documents"), width=3, threshold=0.85).drop("node")
+    return odd_sketch.near_duplicates(table(spark, folder, "documents"), width=3, threshold=0.85).drop("group", "text_key")
 
 
 def op9_benchmark_leaks(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def op10_transcript_roles(spark: SparkSession, folder: str) -> DataFrame:
+    return transcripts.role_report(table(spark, folder, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_files": op1_token_files,
     "op2_feistel_shards": op2_feistel_shards,
+    "op3_quality_scores": op3_quality_scores,
     "op4_mixed_sources": op4_mixed_sources,
+    "op5_language_scores": op5_language_scores,
+    "op6_warc_derivatives": op6_warc_derivatives,
     "op7_line_rules": op7_line_rules,
     "op8_odd_sketches": op8_odd_sketches,
     "op9_benchmark_leaks": op9_benchmark_leaks,
+    "op10_transcript_roles": op10_transcript_roles,
 }
 
 ORACLES: dict[str, str] = {"op7_line_rules": line_rules.LINE_REPORT_SQL}
