@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from postweave.llm import token_files
+from postweave.llm import decontaminate, line_rules, mixing, odd_sketch, token_files
 from postweave.llm.queries import table, tokenizer_path
 from postweave.plans.storage import stored
 
@@ -14,11 +14,36 @@ from postweave.plans.storage import stored
 ORACLE_SQL = None
 
 
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Lines that fail a rule go, and documents that are rejected."""
+    return line_rules.clean_documents(docs)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group stays that shares 80 % of its shingles of five words."""
+    return odd_sketch.deduplicated(docs, width=5, threshold=0.8)
+
+
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item go."""
+    return decontaminate.clean_documents(docs, table(spark, sf_dir, "benchmark"))
+
+
+def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A row for each copy that the sources' target weights ask for."""
+    return mixing.mixed_documents(docs)
+
+
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Ids of all rows in files, and what these hold of each."""
     return token_files.tokenized(docs, tokenizer_path())
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality_rules", quality_rules),
+    ("near_dedup", near_dedup),
+    ("benchmark_decontamination", benchmark_decontamination),
+    ("source_mixing", source_mixing),
     ("token_ids", token_ids),
 ]
 
