@@ -5,8 +5,10 @@
    XOR of two bitmaps has about as many ones as samples differ. Documents with equal digests are one node.
 2. Nodes that share a band key are candidates. Every node is first compared with the least node of its
    groups only; the odd sketch estimates the similarity, and what may reach the threshold is confirmed on the full sets.
-3. Groups that are still in more than one component then have all their pairs between different components
-   compared by sketch, in blocks of members, without leaving any out; what may link is confirmed as before.
+3. Groups that are still in more than one component have all their pairs between different components compared by sketch, in
+   blocks of members, and what may link by full sets, within the task: sets are sent to the groups of
+   those members that may have a link, and only confirmed links between what is not yet connected come back. So a group
+   of m members makes at most m rows, and no pair is left out.
 4. Components follow from the confirmed links. Links between documents of one component need not be looked for, as they
    change nothing.
 """
@@ -31,8 +33,8 @@ SAMPLES, BITS = 120, 512
 MISS = 1e-6
 # A pair is confirmed on full sets if its estimate is no lower than the threshold less this many deviations of the samples.
 DEVIATIONS = 6.0
-# Members of a band group that one task compares with each other or with as many others.
-BLOCK = 2048
+# Members of a band group, and shingles of theirs, that one task compares with each other or with as many others.
+BLOCK, BLOCK_SHINGLES = 1024, 1 << 20
 
 SKETCHED = "n_shingles long, node binary, bands array<long>, sketch array<long>"
 
@@ -148,7 +150,7 @@ def _node_sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
         for batch in slabs(batches):
             found = [own for own in shingle_sets(*hash_words(*text_bytes(batch.column("text"))), width) if len(own)]
             ends = np.cumsum([0, *(len(own) for own in found)]).astype(np.int32)
-            flat = np.concatenate([np.zeros(0, np.uint64), *found]).view(np.int64)
+            flat = np.concatenate([np.zeros(0, np.int64), *(np.sort(own.view(np.int64)) for own in found)])
             yield pa.RecordBatch.from_arrays(
                 [pa.array([_digest(own) for own in found], pa.binary()), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))],
                 names=["node", "shingles"],
@@ -183,81 +185,133 @@ def _first_pairs(nodes: DataFrame, members: DataFrame, most: int) -> DataFrame:
     return best.select(F.col("node").alias("u"), F.col("best.leader").alias("v"))
 
 
-def _second_pairs(nodes: DataFrame, members: DataFrame, links: DataFrame, tested: DataFrame, most: int) -> DataFrame:
-    """All pairs of a band group between different components that the sketch admits and that are not tested yet."""
-    joined = members.join(links, "node", "left")
-    own = joined.select("band", "node", F.coalesce("component", "node").alias("component"))
-    open_ = own.groupBy("band").agg(F.min("component").alias("a"), F.max("component").alias("b"), F.count("*").alias("size"))
-    open_ = open_.where("a <> b").select("band", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
-    rows = own.join(open_, "band").join(nodes.select("node", "sketch"), "node")
+GROUP = "number", "band", "lower", "upper"
+
+
+def _dealt(rows: DataFrame) -> DataFrame:
+    """Rows of a group together and in order: by block and node."""
+    return rows.repartition(*GROUP).sortWithinPartitions(*GROUP, "block", "node")
+
+
+def _open_members(nodes: DataFrame, links: DataFrame) -> DataFrame:
+    """Members of the band groups that are in more than one component, once for each pair of blocks they are compared in."""
+    own = nodes.join(links, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    own = own.select("node", "component", "n_shingles", F.posexplode("bands").alias("number", "band"))
+    open_ = own.groupBy("number", "band").agg(
+        F.min("component").alias("least"),
+        F.max("component").alias("greatest"),
+        F.greatest(F.count("*") / BLOCK, F.sum("n_shingles") / BLOCK_SHINGLES).alias("size"),
+    )
+    open_ = open_.where("least <> greatest").select("number", "band", F.ceil("size").cast("int").alias("blocks"))
+    rows = own.join(open_, ["number", "band"])
     # A member of block k of n meets the blocks of all n pairs that k is in.
     block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     rows = rows.withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rows = rows.select(
-        "band", F.least("block", "other").alias("lower"), F.greatest("block", "other").alias("upper"), "block", "node", "component", "sketch"
-    )
-    dealt = rows.repartition("band", "lower", "upper").sortWithinPartitions("band", "lower", "upper")
-    found = dealt.mapInArrow(lambda batches: _compare(batches, most), "u binary, v binary")
-    return found.distinct().join(tested, ["u", "v"], "left_anti")
+    lower, upper = F.least("block", "other").alias("lower"), F.greatest("block", "other").alias("upper")
+    return rows.select("number", "band", lower, upper, "block", "node", "component")
 
 
-def _compare(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
-    """Pairs from rows that are sorted by (band, lower, upper): one run of rows at a time."""
+def _second_links(nodes: DataFrame, links: DataFrame, docs: DataFrame, width: int, threshold: float, most: int) -> DataFrame:
+    """Confirmed links (u, v) between components of the same band group."""
+    members = _open_members(nodes, links).join(nodes.select("node", "sketch", "bands"), "node")
+    schema = "number int, band long, lower int, upper int, block int, node binary, component binary, sketch array<long>, bands array<long>"
+    near = lambda batches: _each_group(batches, lambda group: _members_with_near(group, most))
+    columns = [field.split()[0] for field in schema.split(", ")]
+    some = stored(_dealt(members.select(columns)).mapInArrow(near, schema), "near-members")
+    wanted = nodes.join(some.select("node").distinct(), "node", "left_semi").select("node", "doc_id")
+    sets = stored(_node_sets(docs, wanted, width), "sets")
+    confirm = lambda batches: _each_group(batches, lambda group: _linked(group, most, round(100 * threshold)))
+    return _dealt(some.join(sets, "node")).mapInArrow(confirm, "u binary, v binary").distinct()
+
+
+def _each_group(batches: Iterator[pa.RecordBatch], use) -> Iterator[pa.RecordBatch]:
+    """What ``use`` makes of each run of rows with equal GROUP columns, one run in memory at a time."""
     held: list[pa.Table] = []
     for batch in batches:
         if not batch.num_rows:
             continue
         table = pa.Table.from_batches([batch])
-        starts = _run_starts(table)
-        if held and _same_run(held[-1], table):
-            first = starts[1] if len(starts) > 1 else table.num_rows
-            held.append(table.slice(0, first))
+        keys = [table.column(c).to_numpy() for c in GROUP]
+        starts = np.flatnonzero(np.concatenate([[True], np.logical_or.reduce([k[1:] != k[:-1] for k in keys])])).tolist()
+        if held and all(held[-1].column(c)[-1].as_py() == k[0] for c, k in zip(GROUP, keys)):
+            end = starts[1] if len(starts) > 1 else table.num_rows
+            held.append(table.slice(0, end))
             starts = starts[1:]
-            if not len(starts):
-                continue
+        if not starts:
+            continue
         if held:
-            yield from _pairs_of_run(pa.concat_tables(held), most)
-        for a, b in zip(starts[:-1].tolist(), starts[1:].tolist()):
+            yield from use(pa.concat_tables(held).combine_chunks())
+        for a, b in zip(starts, starts[1:]):
             if b - a > 1:
-                yield from _pairs_of_run(table.slice(a, b - a), most)
-        held = [table.slice(int(starts[-1]))]
+                yield from use(table.slice(a, b - a).combine_chunks())
+        held = [table.slice(starts[-1])]
     if held:
-        yield from _pairs_of_run(pa.concat_tables(held), most)
-
-
-def _run_starts(table: pa.Table) -> np.ndarray:
-    keys = [table.column(c).to_numpy() for c in ("band", "lower", "upper")]
-    changed = np.logical_or.reduce([k[1:] != k[:-1] for k in keys])
-    return np.concatenate([[0], np.flatnonzero(changed) + 1])
-
-
-def _same_run(a: pa.Table, b: pa.Table) -> bool:
-    return all(a.column(c)[-1].as_py() == b.column(c)[0].as_py() for c in ("band", "lower", "upper"))
-
-
-def _pairs_of_run(run: pa.Table, most: int) -> Iterator[pa.RecordBatch]:
-    run = run.combine_chunks()
-    lower, upper = run.column("lower")[0].as_py(), run.column("upper")[0].as_py()
-    block = run.column("block").to_numpy()
-    sketch = run.column("sketch").combine_chunks().flatten().to_numpy().view(np.uint64).reshape(run.num_rows, -1)
-    _, component = np.unique(np.array(run.column("component").to_pylist(), dtype="S16"), return_inverse=True)
-    left = np.arange(run.num_rows) if lower == upper else np.flatnonzero(block == lower)
+        yield from use(pa.concat_tables(held).combine_chunks())
+
+
+def _near_pairs(group: pa.Table, most: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Places (i, j) and XOR ones of the pairs of a group that the sketch admits, that are in different components, and
+    whose first common band is this one: each pair of nodes is in one group only."""
+    lower, upper, number = (group.column(c)[0].as_py() for c in ("lower", "upper", "number"))
+    matrix = lambda c: group.column(c).combine_chunks().flatten().to_numpy().view(np.uint64).reshape(group.num_rows, -1)
+    sketch, bands = matrix("sketch"), matrix("bands")
+    block = group.column("block").to_numpy()
+    component = np.unique(np.array(group.column("component").to_pylist(), dtype="S16"), return_inverse=True)[1]
+    left = np.arange(group.num_rows) if lower == upper else np.flatnonzero(block == lower)
     right = left if lower == upper else np.flatnonzero(block == upper)
     for k in range(0, len(left), 64):
         some = left[k : k + 64]
-        ones = np.zeros((len(some), len(right)), np.int64)
-        for word in range(sketch.shape[1]):
-            ones += np.bitwise_count(sketch[some, word][:, None] ^ sketch[right, word])
-        near = (ones <= most) & (component[some][:, None] != component[right])
+        near = component[some][:, None] != component[right]
         if lower == upper:
             near &= some[:, None] < right
         i, j = np.nonzero(near)
-        if len(i):
-            nodes = run.column("node").combine_chunks()
-            a, b = nodes.take(pa.array(some[i])).to_pylist(), nodes.take(pa.array(right[j])).to_pylist()
-            yield pa.RecordBatch.from_pydict(
-                {"u": pa.array([max(p) for p in zip(a, b)], pa.binary()), "v": pa.array([min(p) for p in zip(a, b)], pa.binary())}
-            )
+        i, j = some[i], right[j]
+        ones = np.zeros(len(i), np.int64)
+        for word in range(sketch.shape[1]):
+            ones += np.bitwise_count(sketch[i, word] ^ sketch[j, word])
+        close = ones <= most
+        i, j, ones = i[close], j[close], ones[close]
+        first = (bands[i, :number] != bands[j, :number]).all(axis=1)
+        yield i[first], j[first], ones[first]
+
+
+def _members_with_near(group: pa.Table, most: int) -> Iterator[pa.RecordBatch]:
+    found = np.zeros(group.num_rows, bool)
+    for i, j, _ in _near_pairs(group, most):
+        found[i] = found[j] = True
+    if found.any():
+        yield from group.filter(pa.array(found)).to_batches()
+
+
+def _linked(group: pa.Table, most: int, percent: int) -> Iterator[pa.RecordBatch]:
+    """Links of a group whose sets are at hand, most similar first, between what they do not connect yet."""
+    pairs = [np.concatenate(parts) for parts in zip(*_near_pairs(group, most))]
+    if not pairs or not len(pairs[0]):
+        return
+    ends = group.column("shingles").combine_chunks()
+    values, bounds = ends.flatten().to_numpy(), ends.offsets.to_numpy()
+    bounds = bounds - bounds[0]
+    root = np.unique(np.array(group.column("component").to_pylist(), dtype="S16"), return_inverse=True)[1]
+    nodes, out = group.column("node").to_pylist(), []
+    order = np.argsort(pairs[2], kind="stable")
+    for i, j in zip(pairs[0][order].tolist(), pairs[1][order].tolist()):
+        if root[i] == root[j]:
+            continue
+        a, b = values[bounds[i] : bounds[i + 1]], values[bounds[j] : bounds[j + 1]]
+        both = _shared(a, b)
+        if 100 * both >= percent * (len(a) + len(b) - both):
+            root[root == root[j]] = root[i]
+            out.append((max(nodes[i], nodes[j]), min(nodes[i], nodes[j])))
+    if out:
+        u, v = zip(*out)
+        yield pa.RecordBatch.from_pydict({"u": pa.array(u, pa.binary()), "v": pa.array(v, pa.binary())})
+
+
+def _shared(a: np.ndarray, b: np.ndarray) -> int:
+    """Common members of two ascending sets."""
+    small, large = (a, b) if len(a) <= len(b) else (b, a)
+    at = np.searchsorted(large, small)
+    return int((large[np.minimum(at, len(large) - 1)] == small).sum())
 
 
 def near_duplicates(
@@ -272,7 +326,7 @@ def near_duplicates(
     plain = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.xxhash64(text).alias("text_key"))
     rows = stored(sketch_documents(plain, width, threshold, samples), "sketches")
     with_words = rows.where(F.col("node").isNotNull())
-    nodes = with_words.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
+    nodes = with_words.groupBy("node").agg(F.min("doc_id").alias("doc_id"), *(F.first(c).alias(c) for c in ("n_shingles", "bands", "sketch")))
     nodes = stored(nodes, "nodes")
     members = nodes.select("node", F.explode("bands").alias("band"))
     most = most_ones(threshold, samples)
@@ -280,9 +334,7 @@ def near_duplicates(
     first = stored(_first_pairs(nodes, members, most), "first-pairs")
     links = stored(_confirmed(first, nodes, plain, width, threshold), "links")
     near = stored(components(links), "components")
-    tested = first.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    second = _second_pairs(nodes, members, near, tested, most)
-    more = stored(_confirmed(second, nodes, plain, width, threshold), "links")
+    more = stored(_second_links(nodes, near, plain, width, threshold, most), "links")
     if more.take(1):
         near = stored(components(links.union(more)), "components")
 

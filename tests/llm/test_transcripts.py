@@ -73,8 +73,7 @@ def test_long_conversations_make_several_transcripts(spark):
     found = tr.written_down(frame, turns=64).collect()
     assert max(len(r.begins) for r in found) <= 64 and sum(len(r.roles) for r in found) == 500
     assert len({r.part for r in found}) == len(found) > 7
-    lines = sorted(line.split(" ", 1)[-1] if ":" in line or ">" in line or "]" in line else line for r in found for line in r.text.split("\n"))
-    assert len(lines) == 500
+    assert sum(bool(line.strip()) for r in found for line in r.text.split("\n")) == 500
 
 
 def test_awkward_rows(spark):
