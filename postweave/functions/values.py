@@ -18,19 +18,42 @@ NUMBER = r"(?i)^\s*[+-]?(\d+\.?\d*(e[+-]?\d+)?|\.\d+(e[+-]?\d+)?|inf|infinity)\s
 
 # Date formats tried after the ISO forms, in this order (month before day).
 DATETIME_FORMATS = (
-    "yyyy/MM/dd",
-    "yyyy/MM/dd HH:mm",
-    "yyyy/MM/dd HH:mm:ss",
-    "MM/dd/yyyy",
-    "MM/dd/yyyy HH:mm",
-    "MM/dd/yyyy HH:mm:ss",
+    "yyyy/M/d",
+    "yyyy/M/d H:mm",
+    "yyyy/M/d H:mm:ss",
+    "yyyy.M.d",
+    "yyyy.M.d H:mm",
+    "yyyy.M.d H:mm:ss",
+    "M/d/yyyy",
+    "M/d/yyyy H:mm",
+    "M/d/yyyy H:mm:ss",
+    "M/d/yyyy h:mm a",
+    "M/d/yyyy h:mm:ss a",
+    "M.d.yyyy",
+    "M.d.yyyy H:mm",
+    "M.d.yyyy H:mm:ss",
+    "M-d-yyyy",
+    "M-d-yyyy H:mm",
+    "M-d-yyyy H:mm:ss",
+    "d-MMM-yyyy",
     "yyyyMMdd",
+    "yyyyMMdd HHmmss",
     "d MMM yyyy",
+    "d MMM yyyy H:mm",
+    "d MMM yyyy H:mm:ss",
     "d MMMM yyyy",
     "MMM d, yyyy",
+    "MMM d, yyyy h:mm a",
     "MMMM d, yyyy",
+    "MMMM d, yyyy h:mm a",
+    "MMM d H:mm:ss yyyy",
 )
 
+# What may stand around a date without changing it: the weekday, zero offsets, the T of compact times.
+WEEKDAY = r"(?i)^(mon|tues?|wed(nes)?|thu(rs?)?|fri|sat(ur)?|sun)(day)?,?\s+"
+ZERO_OFFSET = r"(?i)\s+(gmt|utc|z|[+-]00:?00)(?=$|\s)"
+COMPACT = r"^(\d{8})T(\d{6})$"
+
 # The span of a 64-bit nanosecond clock around 1970; other times count as unparsed.
 MAX_EPOCH_SECONDS = 9223372036
 FIRST_TIME = "1677-09-21 00:12:44"
@@ -67,6 +90,17 @@ def unquote(c: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(strip(c), '^"+|"+$', ""), "^'+|'+$", "")
 
 
+def day_first(formats: Sequence[str] = DATETIME_FORMATS) -> tuple[str, ...]:
+    """The same formats with day before month where both are numbers."""
+    return tuple(re.sub(r"^(M+)([/.-])(d+)(?=\2)", r"\3\2\1", f) if not f.startswith("MMM") else f for f in formats)
+
+
+def _bare_date(text: Column) -> Column:
+    """Date text without weekday and zero offset; other offsets stay, so such texts do not parse by format."""
+    bare = F.regexp_replace(F.regexp_replace(text, WEEKDAY, ""), ZERO_OFFSET, "")
+    return F.regexp_replace(bare, COMPACT, "$1 $2")
+
+
 def _by_run(date_format: str, field: Callable[[str, int], str], mark: Callable[[str], str]) -> str:
     """A date format rewritten run by run: letter fields by ``field(letter, width)``, the rest by ``mark``."""
 
@@ -84,6 +118,8 @@ def _shape(date_format: str) -> str:
     """Regular expression of the texts that a date format can match."""
 
     def field(letter: str, width: int) -> str:
+        if letter == "a":
+            return "(?i:am|pm)"
         if _is_name(letter, width):
             return r"[^\W\d_]+\.?"
         return rf"\d{{{width}}}" if width > 1 else r"\d{1,2}"
@@ -94,7 +130,8 @@ def _shape(date_format: str) -> str:
 def _samples(date_format: str) -> list[str]:
     """Texts of the shape of a date format, with short and with long single-letter numbers."""
     return [
-        _by_run(date_format, lambda x, w, d=d: "May" if _is_name(x, w) else "1" * max(w, d), str) for d in (1, 2)
+        _by_run(date_format, lambda x, w, d=d: "AM" if x == "a" else "May" if _is_name(x, w) else "1" * max(w, d), str)
+        for d in (1, 2)
     ]
 
 
@@ -118,12 +155,15 @@ def _parse_layer(text: Column, formats: Sequence[str]) -> Column:
     # The shape picks the format, so a text is parsed at most once per layer: failed parses throw
     # inside the JVM, and one parser per format would outgrow the generated code.
     chosen = reduce(lambda c, f: c.when(text.rlike(_shape(f)), f), formats, F.when(F.lit(False), ""))
-    return F.try_to_timestamp(text, chosen).cast("timestamp_ntz")
+    # Names of half-days and months parse in one spelling only.
+    spelled = F.regexp_replace(F.regexp_replace(text, "(?i)\\bam$", "AM"), "(?i)\\bpm$", "PM")
+    return F.try_to_timestamp(spelled, chosen).cast("timestamp_ntz")
 
 
 def parse_datetime(text: Column, formats: Sequence[str] = DATETIME_FORMATS) -> Column:
     """Unquoted date text as time without zone, by ISO forms and then each declared format."""
-    return F.coalesce(text.try_cast("timestamp_ntz"), *(_parse_layer(text, layer) for layer in _layers(formats)))
+    bare = _bare_date(text)
+    return F.coalesce(text.try_cast("timestamp_ntz"), *(_parse_layer(bare, layer) for layer in _layers(formats)))
 
 
 def epoch_time(number: Column, per_second: int) -> Column:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,6 +14,7 @@ from postweave.functions.text import clean_text, has_text, strip, tokenize
 from postweave.functions.values import (
     DATETIME_FORMATS,
     column_type,
+    day_first,
     epoch_time,
     in_clock_range,
     is_present,
@@ -23,7 +25,7 @@ from postweave.functions.values import (
 )
 
 # Column that holds the input order between the scan and the dedupe.
-ORDER = "_input_order"
+ORDER = "scan_position"
 
 
 def required_present() -> Column:
@@ -41,10 +43,23 @@ def trim_keys(df: DataFrame) -> DataFrame:
 
 
 def with_input_order(df: DataFrame, order_by: Sequence[str] | None = None) -> DataFrame:
-    """Add the input order: the given columns, or the position in the scan. Nulls come last."""
-    if not order_by:
-        return df.withColumn(ORDER, F.monotonically_increasing_id())
-    return df.withColumn(ORDER, F.col(order_by[0]) if len(order_by) == 1 else F.struct(*order_by))
+    """Add the input order: the given columns, or the position in the files. Nulls come last.
+
+    Without columns the frame must be a scan of files, projected or filtered only: rows are ordered by file
+    path, place of the split in the file and place in the split, so it does not matter which
+    task reads a split. For other frames there is no order to guess, and an error is raised.
+    """
+    if ORDER in df.columns:
+        return df
+    if order_by:
+        return df.withColumn(ORDER, F.col(order_by[0]) if len(order_by) == 1 else F.struct(*order_by))
+    within = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    for place in (F.col("_metadata.row_index"), within):
+        try:
+            return df.withColumn(ORDER, F.struct("_metadata.file_path", "_metadata.file_block_start", place.alias("row")))
+        except AnalysisException:
+            continue
+    raise ValueError("which copy of a post comes first? Name the columns that order the rows (order_by)")
 
 
 def dedupe_posts(df: DataFrame, order_by: Sequence[str] | None = None) -> DataFrame:
@@ -160,7 +175,7 @@ def choose_reading(by_format: Column, by_second: Column, by_milli: Column) -> Co
 
 
 def parse_datetime_column(
-    df: DataFrame, reading: str = "auto", formats: Sequence[str] = DATETIME_FORMATS
+    df: DataFrame, reading: str = "auto", formats: Sequence[str] = DATETIME_FORMATS, dayfirst: bool = False
 ) -> DataFrame:
     """Replace ``datetime`` by its parsed value, null where it does not parse.
 
@@ -172,7 +187,7 @@ def parse_datetime_column(
         return df.withColumn("datetime", F.col("datetime").cast("timestamp_ntz"))
     if reading not in ("auto", "format", "second", "milli"):
         raise ValueError(f"unknown reading of datetime: {reading}")
-    read = with_time_readings(df, formats)
+    read = with_time_readings(df, day_first(formats) if dayfirst else formats)
     if reading == "auto":
         counts = read.agg(*reading_counts())
         chosen = counts.select(choose_reading(*(F.col(c) for c in READINGS))).scalar()

@@ -14,7 +14,8 @@ from postweave.functions.text import word_list, words
 def count_words(tokens: str, lexicon: Iterable[str]) -> Column:
     """How many tokens of an array column, repeats included, are in the lexicon."""
     listed = word_list(lexicon)
-    return F.expr(f"size(filter(`{tokens}`, t -> t IN ({listed})))") if listed else F.lit(0)
+    some = f"coalesce(`{tokens}`, array())"
+    return F.expr(f"size(filter({some}, t -> t IN ({listed})))") if listed else F.lit(0)
 
 
 def with_sentiment(

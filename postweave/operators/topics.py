@@ -27,6 +27,9 @@ from postweave import settings
 from postweave.operators.tfidf import TfidfSpace, fit_tfidf
 from postweave.plans.storage import stored
 
+# Groups in which the partial sums of tasks are added.
+SUMS = 16
+
 # Sweeps of coordinate descent; the few coupled columns settle long before.
 ROUNDS = 200
 
@@ -79,23 +82,26 @@ class _Block:
 def _summed(vectors: DataFrame, one_batch, size: int) -> np.ndarray:
     """Sum of ``one_batch(block)`` (a flat array of ``size`` numbers) over all batches.
 
-    Each task adds up its own batches; Spark adds the tasks' arrays position by position, so no
-    single reducer or the driver receives them all.
+    Each task adds up its own batches to one row. The rows are added in SUMS groups, and the driver
+    adds the groups, so it holds at most SUMS arrays however many splits there are.
     """
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
         total = np.zeros(size)
         for batch in batches:
             if batch.num_rows:
                 total += one_batch(_Block(batch))
-        yield pa.RecordBatch.from_arrays([pa.array([total], pa.list_(pa.float64()))], ["part"])
+        yield pa.RecordBatch.from_pydict({"part": pa.array([TaskContext.get().partitionId() % SUMS], pa.int32()), "total": [total.tobytes()]})
 
-    parts = vectors.select("features").mapInArrow(partial, "part array<double>")
-    sums = parts.select(F.posexplode("part").alias("i", "v")).groupBy("i").agg(F.sum("v").alias("v"))
-    result = np.zeros(size)
-    for row in sums.toArrow().to_batches():
-        result[np.asarray(row.column("i"))] = np.asarray(row.column("v"))
-    return result
+    def add(rows: pa.Table) -> pa.Table:
+        total = sum(np.frombuffer(t) for t in rows.column("total").to_pylist())
+        return pa.table({"total": pa.array([total.tobytes()], pa.binary())})
+
+    parts = vectors.select("features").mapInArrow(partial, "part int, total binary")
+    sums = parts.groupBy("part").applyInArrow(add, "total binary").collect()
+    return sum((np.frombuffer(r.total) for r in sums), np.zeros(size))
 
 
 @dataclass(frozen=True)
@@ -184,16 +190,17 @@ def fit_topics(
     vectors: DataFrame,
     space: TfidfSpace,
     k: int = settings.TOPICS,
-    max_iter: int = 50,
-    tol: float = 1e-4,
+    max_iter: int = settings.TOPIC_ITERATIONS,
+    tol: float = settings.TOPIC_TOLERANCE,
 ) -> TopicModel:
-    """Factorise the stored vectors; stop when a pass lowers the objective by less than ``tol`` of it."""
+    """Factorise the stored vectors until the projected gradient is at most ``tol`` of the first one."""
     size = len(space.vocabulary)
     k = max(1, min(k, space.documents, size))
     gram = inner_products(vectors)
     h = start_weights(vectors, gram, k, space.documents)
     squares = float(np.trace(gram))
     objective: list[float] = []
+    first = None
     for _ in range(max_iter):
         hh = h @ h.T
 
@@ -203,9 +210,11 @@ def fit_topics(
 
         flat = _summed(vectors, sums, k * k + k * size)
         ww, wx = flat[: k * k].reshape(k, k), flat[k * k :].reshape(k, size)
-        loss = 0.5 * (squares - 2 * float((wx * h).sum()) + float((ww * hh).sum()))
-        objective.append(loss)
-        if len(objective) > 1 and objective[-2] - loss <= tol * max(objective[-2], 1e-12):
+        objective.append(0.5 * (squares - 2 * float((wx * h).sum()) + float((ww * hh).sum())))
+        gradient = ww @ h - wx
+        steepness = float(np.linalg.norm(np.where(h > 0, gradient, np.minimum(gradient, 0.0))))
+        first = steepness if first is None else first
+        if steepness <= tol * first:
             break
         h = nonnegative_solve(ww, wx.T).T
     return TopicModel(space, h, tuple(objective))
@@ -268,8 +277,8 @@ def topic_tables(
     topics: int = settings.TOPICS,
     n_terms: int = settings.TOPIC_TERMS,
     max_features: int = settings.TOPIC_VOCABULARY,
-    max_iter: int = 50,
-    tol: float = 1e-4,
+    max_iter: int = settings.TOPIC_ITERATIONS,
+    tol: float = settings.TOPIC_TOLERANCE,
     space: TfidfSpace | None = None,
 ) -> tuple[dict[str, DataFrame], TopicModel | None]:
     """The four topic tables and the fitted model; empty tables for fewer than two posts or words.

@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from multiprocessing.pool import ThreadPool
+from collections.abc import Iterator
 
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import StandardScaler, VectorAssembler
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from postweave import settings
 from postweave.functions.values import activity_group, activity_label
+from postweave.plans.storage import stored
 
 FEATURES = (
     "posts_count",
@@ -24,10 +25,6 @@ FEATURES = (
     "active_months",
 )
 
-# Users that one task of a k-means pass should at least have.
-USERS_PER_TASK = 50_000
-
-
 def _known_users(posts: DataFrame) -> DataFrame:
     return posts.where(F.col("user_id").isNotNull())
 
@@ -82,20 +79,29 @@ def user_activity_by_month(posts: DataFrame, approximate: bool = False) -> DataF
 def user_features(posts: DataFrame) -> DataFrame:
     """Nine features per user. Distinct counts of absent columns are 0, nulls are 0.
 
-    Spark computes the distinct counts over partial (user, value) groups, so a user with very many
-    posts is reduced on the map side before the shuffle.
+    Posts are first summed per (user, source, category, month), on the map side before the shuffle,
+    so a user with very many posts comes down to as many rows as there are combinations. Only these
+    are expanded for the distinct counts.
     """
+    kinds = [c for c in ("source", "category", "month") if c in posts.columns]
+    sums = {"likes": "likes_count", "comments": "comments_count", "engagement": "engagement_score"}
+    partial = _known_users(posts).groupBy("user_id", *kinds).agg(
+        F.count("post_id").alias("posts"),
+        *(F.sum(c).alias(f"{n}_sum") for n, c in sums.items()),
+        *(F.count(c).alias(f"{n}_rows") for n, c in sums.items()),
+    )
+    mean = lambda n: F.try_divide(F.sum(f"{n}_sum"), F.sum(f"{n}_rows"))
 
     def distinct(column: str):
-        return F.count_distinct(column) if column in posts.columns else F.lit(0).cast("long")
+        return F.count_distinct(column) if column in kinds else F.lit(0).cast("long")
 
-    stats = _known_users(posts).groupBy("user_id").agg(
-        F.count("post_id").alias("posts_count"),
-        F.avg("likes_count").alias("avg_likes"),
-        F.avg("comments_count").alias("avg_comments"),
-        F.sum("comments_count").alias("total_comments"),
-        F.sum("engagement_score").alias("total_engagement"),
-        F.avg("engagement_score").alias("avg_engagement"),
+    stats = partial.groupBy("user_id").agg(
+        F.sum("posts").alias("posts_count"),
+        mean("likes").alias("avg_likes"),
+        mean("comments").alias("avg_comments"),
+        F.sum("comments_sum").alias("total_comments"),
+        F.sum("engagement_sum").alias("total_engagement"),
+        mean("engagement").alias("avg_engagement"),
         distinct("source").alias("unique_sources"),
         distinct("category").alias("unique_categories"),
         distinct("month").alias("active_months"),
@@ -107,49 +113,136 @@ def with_activity_label(features: DataFrame) -> DataFrame:
     return features.withColumn("segment_label", activity_label(F.col("posts_count"), F.col("avg_engagement")))
 
 
+def scaled_features(features: DataFrame, keep: str = "user_id") -> DataFrame:
+    """``keep`` and the features less their mean, in standard deviations; constant ones are 0."""
+    doubles = features.select(keep, *(F.col(c).cast("double").alias(c) for c in FEATURES))
+    moments = doubles.agg(*(f(c).alias(f"{n}_{c}") for c in FEATURES for n, f in (("m", F.avg), ("s", F.stddev_pop)))).first()
+    scaled = [
+        ((F.col(c) - F.lit(moments[f"m_{c}"])) / F.lit(moments[f"s_{c}"]) if moments[f"s_{c}"] else F.lit(0.0)).alias(c)
+        for c in FEATURES
+    ]
+    return doubles.select(keep, *scaled)
+
+
+def _rows(batch: pa.RecordBatch) -> np.ndarray:
+    return np.stack([batch.column(c).to_numpy(zero_copy_only=False) for c in FEATURES], axis=1)
+
+
+def _distances(rows: np.ndarray, centers: np.ndarray) -> np.ndarray:
+    return np.stack([((rows - center) ** 2).sum(axis=1) for center in centers], axis=1)
+
+
+def _start_centers(scaled: DataFrame, k: int, starts: int, seed: int) -> np.ndarray:
+    """k-means++ for all starts at once, one pass for each of the ``k`` centers.
+
+    A user's chance to be the next center is in proportion to the squared distance to the nearest
+    one so far: the user with the least -log(u) / distance is taken, u from a hash of the user.
+    """
+    centers = np.zeros((starts, 0, len(FEATURES)))
+    for number in range(k):
+
+        def draw(batches: Iterator[pa.RecordBatch], number: int = number, centers: np.ndarray = centers) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                rows, hashes = _rows(batch), batch.column("hash").to_numpy().view(np.uint64)
+                for start in range(starts if len(rows) else 0):
+                    salt = np.uint64(((seed + start) * 1000 + number) * 0x9E3779B97F4A7C15 % (1 << 64))
+                    mixed = (hashes ^ salt) * np.uint64(0xD6E8FEB86659FD93)
+                    chance = ((mixed ^ (mixed >> np.uint64(32))) >> np.uint64(11)).astype(np.float64) + 0.5
+                    weight = _distances(rows, centers[start]).min(axis=1) if number else np.ones(len(rows))
+                    key = np.where(weight > 0, -np.log(chance / 2**53) / np.maximum(weight, 1e-300), np.inf)
+                    best = np.lexsort((hashes, key))[0]
+                    yield pa.RecordBatch.from_pydict(
+                        {
+                            "start": pa.array([start], pa.int32()),
+                            "key": [float(key[best])],
+                            "hash": [int(hashes[best].view(np.int64))],
+                            "row": [rows[best].tolist()],
+                        }
+                    )
+
+        drawn = scaled.mapInArrow(draw, "start int, key double, hash long, row array<double>")
+        best = drawn.groupBy("start").agg(F.min_by("row", F.struct("key", "hash")).alias("row")).orderBy("start").collect()
+        centers = np.concatenate([centers, np.array([r.row for r in best]).reshape(starts, 1, -1)], axis=1)
+    return centers
+
+
+def _move_centers(scaled: DataFrame, centers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Means of the users nearest to each center, and the cost of each start, in one pass."""
+
+    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        starts, k, size = centers.shape
+        sums = np.zeros((starts, k, size + 2))
+        for batch in batches:
+            rows = _rows(batch)
+            for start in range(starts if len(rows) else 0):
+                distance = _distances(rows, centers[start])
+                nearest = distance.argmin(axis=1)
+                parts = [*rows.T, np.ones(len(rows)), distance[np.arange(len(rows)), nearest]]
+                sums[start] += np.stack([np.bincount(nearest, part, k) for part in parts], axis=1)
+        start, cluster = np.indices((starts, k)).reshape(2, -1)
+        columns = [pa.array(start, pa.int32()), pa.array(cluster, pa.int32()), *map(pa.array, sums.reshape(-1, size + 2).T)]
+        yield pa.RecordBatch.from_arrays(columns, ["start", "cluster", *FEATURES, "users", "cost"])
+
+    sums = ", ".join(f"{c} double" for c in (*FEATURES, "users", "cost"))
+    parts = scaled.mapInArrow(add_up, f"start int, cluster int, {sums}")
+    # At most starts * k rows from each task, and as many keys.
+    found = parts.groupBy("start", "cluster").agg(*(F.sum(c).alias(c) for c in (*FEATURES, "users", "cost"))).collect()
+    moved, costs = centers.copy(), np.zeros(len(centers))
+    for row in found:
+        costs[row.start] += row.cost
+        if row.users:
+            moved[row.start, row.cluster] = [row[c] / row.users for c in FEATURES]
+    return moved, costs
+
+
+def fit_centers(scaled: DataFrame, k: int, starts: int, seed: int, max_iter: int, tol: float = 1e-4) -> np.ndarray:
+    """The centers of the best of several starts; each pass moves the centers of all starts that still move."""
+    centers = _start_centers(scaled, k, starts, seed)
+    costs, moving = np.full(starts, np.inf), np.arange(starts)
+    for _ in range(max_iter):
+        moved, cost = _move_centers(scaled, centers[moving])
+        shift = ((moved - centers[moving]) ** 2).sum(axis=(1, 2))
+        centers[moving], costs[moving] = moved, cost
+        moving = moving[shift > tol]
+        if not len(moving):
+            break
+    return centers[np.lexsort((np.arange(starts), np.round(costs, 9)))[0]]
+
+
+def assign_segments(scaled: DataFrame, centers: np.ndarray, keep: str = "user_id") -> DataFrame:
+    """(``keep``, segment_id): the number of the nearest center, the first of equally near ones."""
+
+    def nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            number = _distances(_rows(batch), centers).argmin(axis=1)
+            yield pa.RecordBatch.from_arrays([batch.column(keep), pa.array(number, pa.int32())], [keep, "segment_id"])
+
+    return scaled.mapInArrow(nearest, f"{keep} {scaled.schema[keep].dataType.simpleString()}, segment_id int")
+
+
 def segment_users(
     features: DataFrame,
     k: int = settings.SEGMENTS,
     starts: int = settings.SEGMENT_STARTS,
     seed: int = settings.SEED,
-    parallelism: int = 10,
-    max_iter: int = 100,
+    max_iter: int = settings.SEGMENT_ITERATIONS,
 ) -> DataFrame:
     """Users with their rule-based label and k-means cluster, best of several seeded starts.
 
-    The features are read by every start, so pass a stored or persisted frame. Clusters are numbered
-    by their mean total_engagement (then by the other features), so the numbers do not depend on the
-    winning seed.
+    The features are read by every pass, so pass a stored or persisted frame. Nothing depends on how it is
+    partitioned. Clusters are numbered by their mean total_engagement (then by the other features).
     """
     labelled = with_activity_label(features)
-    users = features.count()
-    if users < 2:
+    known = features.count()
+    if known < 2:
         return labelled.withColumn("segment_id", F.lit(0))
-    counts = labelled.withColumns({c: F.col(c).cast("double") for c in FEATURES})
-    assembled = VectorAssembler(inputCols=list(FEATURES), outputCol="_raw").transform(counts)
-    scaler = StandardScaler(withMean=True, withStd=True, inputCol="_raw", outputCol="_scaled").fit(assembled)
-    # Each start makes many short passes, so few users should not be spread over many tasks.
-    tasks = max(1, users // USERS_PER_TASK)
-    scaled = scaler.transform(assembled).select("_scaled").coalesce(tasks).persist()
-    try:
-        estimator = KMeans(k=max(1, min(k, users)), featuresCol="_scaled", predictionCol="_cluster", maxIter=max_iter)
-
-        def fit(number: int):
-            return estimator.copy({estimator.seed: seed + number}).fit(scaled)
-
-        with ThreadPool(max(1, min(parallelism, starts))) as pool:
-            models = pool.map(fit, range(starts))
-    finally:
-        scaled.unpersist()
-    best = min(models, key=lambda m: m.summary.trainingCost)
+    scaled = scaled_features(features).withColumn("hash", F.xxhash64("user_id"))
+    scaled = stored(scaled, "scaled-features")
+    centers = fit_centers(scaled, max(1, min(k, known)), starts, seed, max_iter)
     by = FEATURES.index("total_engagement")
-    centers = [[float(x) for x in center] for center in best.clusterCenters()]
-    order = sorted(range(len(centers)), key=lambda i: (centers[i][by], centers[i]))
-    number_of = F.array(*(F.lit(order.index(i)) for i in range(len(centers))))
-    clustered = best.transform(scaler.transform(assembled))
-    numbered = clustered.withColumn("segment_id", F.get(number_of, F.col("_cluster")))
-    return numbered.select(
-        "user_id", *(F.col(c).cast(features.schema[c].dataType).alias(c) for c in FEATURES), "segment_label", "segment_id"
+    centers = centers[sorted(range(len(centers)), key=lambda i: (centers[i][by], *centers[i]))]
+    return labelled.join(assign_segments(scaled, centers), "user_id").select(
+        "user_id", *FEATURES, "segment_label", "segment_id"
     )
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postweave import settings
-from postweave.functions.values import DATETIME_FORMATS
+from postweave.functions.values import DATETIME_FORMATS, day_first
 from postweave.operators import activity, growth, sentiment, terms, tfidf, topics, users
 from postweave.operators.cleaning import (
     READINGS,
@@ -28,29 +28,53 @@ from postweave.operators.cleaning import (
 )
 from postweave.plans.quality import report_frame, stage_counts, stage_flags
 from postweave.plans.reports import run_summary
-from postweave.plans.storage import stored
+from postweave.plans.storage import delete, stored, work_folder
 from postweave.sources.columns import ColumnMatch, check_fields, fill_optional, map_columns
 from postweave.sources.files import load_dataset
 
 
 @dataclass(frozen=True)
 class Options:
-    """Parameters of an analysis; the defaults are those of the single operators."""
+    """Parameters of an analysis; the defaults are those of the single operators.
+
+    ``order_by`` names the columns that tell which copy of a post comes first; a scan of files needs none. ``reading``
+    says how dates are written (see ``parse_datetime_column``), ``auto`` finds it.
+    """
 
     order_by: Sequence[str] | None = None
     formats: Sequence[str] = DATETIME_FORMATS
+    reading: str = "auto"
+    dayfirst: bool = False
+    drop_empty: bool = True
+    stop_words: Iterable[str] | None = None
     extra_stop_words: Iterable[str] = ()
+    min_token_length: int = settings.MIN_TOKEN_LENGTH
     positive_words: Iterable[str] = settings.POSITIVE_WORDS
     negative_words: Iterable[str] = settings.NEGATIVE_WORDS
+    positive_above: float = settings.POSITIVE_ABOVE
+    negative_below: float = settings.NEGATIVE_BELOW
+    top_words: int = settings.TOP_WORDS
+    top_ngrams: int = settings.TOP_NGRAMS
+    top_users: int = settings.TOP_USERS
+    top_values: int = settings.TOP_FIELD_VALUES
+    trend_terms: int = settings.TREND_TERMS
+    growing_terms: int = settings.GROWING_TERMS
+    tfidf_vocabulary: int = settings.TFIDF_VOCABULARY
     topics: int = settings.TOPICS
-    topic_iterations: int = 50
+    topic_terms: int = settings.TOPIC_TERMS
+    topic_vocabulary: int = settings.TOPIC_VOCABULARY
+    topic_iterations: int = settings.TOPIC_ITERATIONS
     segments: int = settings.SEGMENTS
+    segment_starts: int = settings.SEGMENT_STARTS
     snapshots: str | None = None
 
 
 @dataclass(frozen=True)
 class AnalysisResult:
-    """Tables are lazy scans over stored posts, except the fitted topic and cluster models."""
+    """Tables are lazy scans over stored posts, except the fitted topic and cluster models.
+
+    The stored posts, vectors and features lie in ``work`` until ``close``; what was saved elsewhere stays.
+    """
 
     posts: DataFrame
     tables: dict[str, DataFrame]
@@ -58,6 +82,18 @@ class AnalysisResult:
     quality: dict[str, int]
     quality_report: DataFrame
     match: ColumnMatch | None = field(default=None)
+    work: str | None = field(default=None)
+
+    def close(self) -> None:
+        """Delete the intermediate tables; the lazy tables can't be read afterwards."""
+        if self.work:
+            delete(self.posts.sparkSession, self.work)
+
+    def __enter__(self) -> AnalysisResult:
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.close()
 
 
 # Columns of the stage table that later stages test, and those that are derived again when read.
@@ -73,9 +109,18 @@ def stage_posts(raw: DataFrame, options: Options) -> DataFrame:
     """
     ordered = with_input_order(raw, options.order_by)
     posts = fill_text(dedupe_posts(trim_keys(filter_required(ordered))))
-    posts = with_tokens(posts.withColumn("_has_text", some_text(posts)), extra_stop_words=options.extra_stop_words)
-    flagged = stage_flags(coerce_numeric(posts), options.formats)
-    scored = sentiment.with_sentiment(flagged, options.positive_words, options.negative_words)
+    has_text_ = some_text(posts) if options.drop_empty else F.lit(True)
+    posts = with_tokens(
+        posts.withColumn("_has_text", has_text_),
+        stop_words=options.stop_words,
+        extra_stop_words=options.extra_stop_words,
+        min_length=options.min_token_length,
+    )
+    formats = day_first(options.formats) if options.dayfirst else options.formats
+    flagged = stage_flags(coerce_numeric(posts), formats, options.drop_empty)
+    scored = sentiment.with_sentiment(
+        flagged, options.positive_words, options.negative_words, options.positive_above, options.negative_below
+    )
     return stored(scored.drop(*DERIVED_TEXTS), "staged", options.snapshots)
 
 
@@ -86,7 +131,7 @@ def clean_posts(raw: DataFrame, options: Options) -> tuple[DataFrame, dict]:
     tokenised or shuffled twice and a repeated task cannot count a row twice.
     """
     staged = stage_posts(raw, options)
-    counts = stage_counts(raw, staged)
+    counts = stage_counts(raw, staged, options.reading)
     dated = staged.where("_has_words").withColumn("datetime", F.col(counts["reading"]))
     posts = dated.where(F.col("datetime").isNotNull()).drop(*STAGE_COLUMNS)
     posts = with_text_length(with_engagement(with_periods(posts)))
@@ -98,43 +143,51 @@ def clean_posts(raw: DataFrame, options: Options) -> tuple[DataFrame, dict]:
 
 
 def analyze_posts(raw: DataFrame, options: Options | None = None, match: ColumnMatch | None = None) -> AnalysisResult:
-    """Analyse posts that already have the canonical columns."""
-    options = options or Options()
+    """Analyse posts that already have the canonical columns. The result owns its intermediate tables."""
+    with work_folder(raw.sparkSession, "analysis") as work:
+        return _analyze(raw, options or Options(), match, work)
+
+
+def _analyze(raw: DataFrame, options: Options, match: ColumnMatch | None, work: str) -> AnalysisResult:
     spark = raw.sparkSession
     posts, counts = clean_posts(fill_optional(raw), options)
 
     # One word count serves every vocabulary: all of them are its first rows.
-    most = max(settings.TOPIC_VOCABULARY, settings.TFIDF_VOCABULARY, settings.TREND_TERMS, settings.TOP_WORDS)
+    most = max(options.topic_vocabulary, options.tfidf_vocabulary, options.trend_terms, options.top_words)
     ranked = [(row.term, row["count"]) for row in terms.top_terms(posts, most).collect()]
     vocabulary = [term for term, _ in ranked]
     counted = spark.createDataFrame(ranked, "word string, count bigint")
-    trend = spark.createDataFrame([(t,) for t in vocabulary[: settings.TREND_TERMS]], "term string")
+    trend = spark.createDataFrame([(t,) for t in vocabulary[: options.trend_terms]], "term string")
 
     space = tfidf.fit_tfidf(posts, most, vocabulary)
     topic_frames, _ = topics.topic_tables(
-        posts, options.topics, max_iter=options.topic_iterations, space=space.leading(settings.TOPIC_VOCABULARY)
+        posts,
+        options.topics,
+        options.topic_terms,
+        max_iter=options.topic_iterations,
+        space=space.leading(options.topic_vocabulary),
     )
     features = stored(users.user_features(posts), "user-features")
-    segments = users.segment_users(features, options.segments)
+    segments = users.segment_users(features, options.segments, options.segment_starts)
 
     tables = {
-        "top_words": counted.orderBy(F.desc("count"), "word").limit(settings.TOP_WORDS),
-        "top_bigrams": terms.top_bigrams(posts),
-        "top_trigrams": terms.top_trigrams(posts),
-        "tfidf_terms": tfidf.top_tfidf_terms(posts, space=space.leading(settings.TFIDF_VOCABULARY)),
+        "top_words": counted.orderBy(F.desc("count"), "word").limit(options.top_words),
+        "top_bigrams": terms.top_bigrams(posts, options.top_ngrams),
+        "top_trigrams": terms.top_trigrams(posts, options.top_ngrams),
+        "tfidf_terms": tfidf.top_tfidf_terms(posts, options.top_words, space=space.leading(options.tfidf_vocabulary)),
         "posts_by_date": activity.posts_by_date(posts),
         "posts_by_month": activity.posts_by_month(posts),
-        "top_sources": activity.top_field_values(posts, "source"),
-        "top_companies": activity.top_field_values(posts, "company"),
-        "top_categories": activity.top_field_values(posts, "category"),
+        "top_sources": activity.top_field_values(posts, "source", options.top_values),
+        "top_companies": activity.top_field_values(posts, "company", options.top_values),
+        "top_categories": activity.top_field_values(posts, "category", options.top_values),
         "terms_by_month": growth.terms_by_month(posts, vocabulary=trend),
-        "growing_terms": growth.growing_terms(posts, vocabulary=trend),
+        "growing_terms": growth.growing_terms(posts, top_n=options.growing_terms, vocabulary=trend),
         "sentiment_distribution": sentiment.sentiment_distribution(posts),
         "sentiment_by_month": sentiment.sentiment_by_month(posts),
         "sentiment_by_source": sentiment.sentiment_by_source(posts),
         **topic_frames,
-        "top_users": users.top_users(posts),
-        "top_users_engagement": users.top_users_engagement(posts),
+        "top_users": users.top_users(posts, options.top_users),
+        "top_users_engagement": users.top_users_engagement(posts, options.top_users),
         "user_distribution": users.user_distribution(posts),
         "user_activity_by_month": users.user_activity_by_month(posts),
         "engagement_distribution": activity.engagement_distribution(posts),
@@ -144,7 +197,7 @@ def analyze_posts(raw: DataFrame, options: Options | None = None, match: ColumnM
     }
     summary = run_summary(posts, tables).first().asDict()
     counts = {k: v for k, v in counts.items() if k != "reading"}
-    return AnalysisResult(posts.drop("tokens"), tables, summary, counts, report_frame(spark, counts), match)
+    return AnalysisResult(posts.drop("tokens"), tables, summary, counts, report_frame(spark, counts), match, work)
 
 
 def analyze(
@@ -157,7 +210,8 @@ def analyze(
 ) -> AnalysisResult:
     """Read a file of posts, map its columns, check them and analyse."""
     options = options or Options()
-    mapped, match = load_dataset(spark, path, n_rows, mapping, options.snapshots, **read_options)
+    keep_order = not options.order_by
+    mapped, match = load_dataset(spark, path, n_rows, mapping, options.snapshots, keep_order, **read_options)
     check_fields(mapped, match)
     return analyze_posts(mapped, options, match)
 

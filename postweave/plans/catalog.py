@@ -8,20 +8,24 @@ null texts, numbers and dates as text in several spellings.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
+import numpy as np
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from postweave import settings
 from postweave.functions.text import sanitize_label
 from postweave.functions.values import engagement_bin, is_present
 from postweave.operators import activity, cleaning, growth, sentiment, terms, tfidf, topics, users
-from postweave.plans.analysis import analyze_posts
+from postweave.plans.analysis import AnalysisResult, Options, analyze_posts
 from postweave.plans.quality import quality_counts, quality_report
 from postweave.plans.reports import chart_series, run_summary
 from postweave.plans.storage import new_path, stored
 from postweave.sources.columns import align_schema, fill_optional, map_columns
-from postweave.sources.files import limit_rows, load_dataset, scan_csv, scan_json, spread
+from postweave.sources.files import limit_rows, load_dataset, scan_csv, scan_json
 from postweave.sources.store import RunStore, attach_run_id, stored_schema
 
 # Frequent words of the test texts, as the default lexicons hardly occur in them.
@@ -35,7 +39,8 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 def document_posts(spark: SparkSession, folder: str) -> DataFrame:
     d, e, o = (table(spark, folder, t) for t in ("documents", "events", "orders"))
-    d = spread(d, "doc_id")
+    # Dealt as the joins need it, so that the text work that follows has many tasks.
+    d = d.repartition("doc_id")
     joined = d.join(e, d.doc_id == e.event_id).join(o, d.doc_id == o.o_orderkey)
     return joined.select(
         d.doc_id.cast("string").alias("post_id"),
@@ -70,7 +75,7 @@ def event_posts(spark: SparkSession, folder: str) -> DataFrame:
 
 def untidy_posts(spark: SparkSession, folder: str) -> DataFrame:
     e, d, o = (table(spark, folder, t) for t in ("events", "documents", "orders"))
-    e = spread(e, "event_id")
+    e = e.repartition("event_id")
     joined = e.join(d, e.event_id == d.doc_id, "left").join(o, e.event_id == o.o_orderkey, "left")
     kind = e.event_type
     key = F.coalesce(d.doc_id.cast("string"), F.concat(F.lit("u"), e.user_id))
@@ -124,7 +129,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 def _csv_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     path = new_path(spark, "documents") + ".csv"
-    docs = table(spark, folder, "documents").select("doc_id", "text", "lang", "source")
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang", "source", "n_chars")
     docs.write.csv(path, header=True, sep=";", quote='"', escape='"')
     return scan_csv(spark, path)
 
@@ -155,8 +160,18 @@ def _epoch_text(spark: SparkSession, folder: str) -> DataFrame:
     return e.select("event_id", millis.alias("datetime"))
 
 
+# The fitted topics of a table folder, for the queries that show them; by application.
+_fitted: dict[tuple[str, str], tuple] = {}
+
+
 def _topic_frames(spark: SparkSession, folder: str):
-    return topics.topic_tables(stored(token_posts(spark, folder).select("post_id", "month", "tokens"), "posts"))
+    """The topic tables of one fit, written once for all queries of a session."""
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _fitted:
+        posts = stored(token_posts(spark, folder).select("post_id", "month", "tokens"), "posts")
+        tables, model = topics.topic_tables(posts)
+        _fitted[key] = {name: stored(frame, name) for name, frame in tables.items()}, model
+    return _fitted[key]
 
 
 def _topic_query(name: str) -> Query:
@@ -168,6 +183,68 @@ def _topic_objective(spark: SparkSession, folder: str) -> DataFrame:
     return spark.createDataFrame(list(enumerate(model.objective, 1)), "pass int, objective double")
 
 
+# Spellings in which ``parse_datetime_formats`` writes dates: weekday, half-day and offset names come on top of formats.
+SPELLINGS = (
+    "M/d/yyyy", "M/d/yyyy H:mm", "M/d/yyyy h:mm a", "MM/dd/yyyy hh:mm:ss a", "MM.dd.yyyy", "yyyy.MM.dd", "yyyy/M/d",
+    "d-MMM-yyyy", "MM-dd-yyyy", "MMM d, yyyy h:mm a", "EEE MMM dd HH:mm:ss '+0000' yyyy", "EEE, dd MMM yyyy HH:mm:ss 'GMT'",
+    "yyyyMMdd'T'HHmmss",
+)
+
+
+def _spelled_dates(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders with a time of day, written in one of SPELLINGS by key; half of them in lower case."""
+    o = table(spark, folder, "orders")
+    time = F.timestamp_seconds(F.unix_seconds(o.o_orderdate.cast("timestamp")) + o.o_orderkey * 7919 % 86_400)
+    kind = o.o_orderkey % len(SPELLINGS)
+    text = reduce(lambda c, k: c.when(kind == k, F.date_format(time, SPELLINGS[k])), range(len(SPELLINGS)), F.when(F.lit(False), ""))
+    return o.select("o_orderkey", text.alias("datetime"))
+
+
+def _spelled_vectors(spark: SparkSession, folder: str):
+    posts = stored(token_posts(spark, folder).select("post_id", "tokens"), "posts")
+    space = tfidf.fit_tfidf(posts, settings.TOPIC_VOCABULARY)
+    return space, stored(space.vectors(posts, "post_id"), "vectors")
+
+
+def _tfidf_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    """(post_id, term, weight) of the vectors that topics are fitted to."""
+    space, vectors = _spelled_vectors(spark, folder)
+    names = F.array(*map(F.lit, space.vocabulary))
+    entries = vectors.select("post_id", F.posexplode(vector_to_array("features")).alias("i", "weight")).where("weight > 0")
+    return rounded(entries.select("post_id", F.get(names, "i").alias("term"), "weight"))
+
+
+def _post_topics_of_given(spark: SparkSession, folder: str) -> DataFrame:
+    """Posts under two fixed topics: the even and the odd words by rank, less and less weighty."""
+    space, vectors = _spelled_vectors(spark, folder)
+    rank = np.arange(len(space.vocabulary))
+    weights = np.stack([np.where(rank % 3 != 1, 1 / (rank + 1), 0), np.where(rank % 3 != 0, 1 / (rank + 1), 0)])
+    model = topics.TopicModel(space, weights, ())
+    return rounded(topics.assign_topics(vectors, model).select("post_id", "topic_id", "topic_weight"))
+
+
+def _segments_of_given(spark: SparkSession, folder: str) -> DataFrame:
+    """Users by the nearest of three fixed centers: all features at -1, 0 and 1 deviations."""
+    centers = np.repeat([[-1.0], [0.0], [1.0]], len(users.FEATURES), axis=1)
+    return users.assign_segments(users.scaled_features(stored(_features(spark, folder), "features")), centers)
+
+
+def _two_runs(spark: SparkSession, folder: str) -> RunStore:
+    """Two saved runs: months of all events, then of those before 1997; with a quality report each."""
+    store = RunStore(spark, new_path(spark, "run-store"))
+    posts = event_posts(spark, folder)
+    for run_id, some in ((1, posts), (2, posts.where("month < '1997'"))):
+        months = stored(activity.posts_by_month(some), "months")
+        store.save_tables({"posts_by_month": months}, run_id)
+        total = months.agg(F.sum("post_count").alias("n"))
+        store.save_quality(total.select(F.lit("loaded_rows").alias("metric_name"), F.col("n").alias("metric_value")), run_id)
+        store.record_run(run_id, {"total_rows": total.first().n, "total_users": 0, "top_word": f"run {run_id}"}, "events")
+    return store
+
+
+RUN_COLUMNS = "run_id", "source_name", "status", "total_rows", "top_word", "top_topic"
+
+
 def _given_topics(spark: SparkSession, folder: str) -> DataFrame:
     """A post_topics table made from columns: the language as topic, the length as weight."""
     d = table(spark, folder, "documents")
@@ -202,12 +279,37 @@ def _summary(spark: SparkSession, folder: str) -> DataFrame:
     return run_summary(posts, tables).drop("top_topic")
 
 
+def _whole_analysis(spark: SparkSession, folder: str) -> AnalysisResult:
+    options = Options(order_by=["event_id"], positive_words=TEST_POSITIVE, negative_words=TEST_NEGATIVE)
+    return analyze_posts(untidy_posts(spark, folder), options)
+
+
 def _analysis(spark: SparkSession, folder: str) -> DataFrame:
-    """The whole analysis; its run row."""
-    result = analyze_posts(untidy_posts(spark, folder).drop("event_id"))
+    """The whole analysis with all tables written; its run row."""
+    result = _whole_analysis(spark, folder)
+    for name, frame in result.tables.items():
+        stored(frame, name)
     return spark.createDataFrame([tuple(result.summary.values())], list(result.summary))
 
 
+def _analysis_summary(spark: SparkSession, folder: str) -> DataFrame:
+    """The cells of the run row that do not come from a fitted model."""
+    return _analysis(spark, folder).drop("top_topic")
+
+
+def _analysis_table_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """(table, rows) of the tables of the analysis, written and read again; without the two
+    whose length depends on which topics the fitted model gives to posts."""
+    tables = dict(_whole_analysis(spark, folder).tables)
+    for fitted in ("topic_summary", "topics_by_month"):
+        stored(tables.pop(fitted), fitted)
+    counts = [
+        stored(frame, name).agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("table"), "rows")
+        for name, frame in tables.items()
+    ]
+    return reduce(DataFrame.union, counts)
+
+
 def _docs(operator: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, folder: rounded(operator(document_posts(spark, folder)))
 
@@ -216,6 +318,11 @@ def _words(operator: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, folder: rounded(operator(token_posts(spark, folder)))
 
 
+def _trend(operator: Callable[[DataFrame], DataFrame]) -> Query:
+    """On stored tokens, which these operators read twice: for the vocabulary and for the months."""
+    return lambda s, f: rounded(operator(stored(token_posts(s, f).select("month", "datetime", "tokens"), "posts")))
+
+
 def _scored(operator: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, folder: rounded(operator(scored_posts(spark, folder)))
 
@@ -249,6 +356,11 @@ QUERIES: dict[str, Query] = {
     "load_dataset": lambda s, f: rounded(_load_documents(s, f)),
     "read_result_table": _stored_table,
     "attach_run_id": lambda s, f: rounded(attach_run_id(table(s, f, "events"), 7)),
+    "recent_runs": lambda s, f: _two_runs(s, f).recent_runs(1).select(*RUN_COLUMNS),
+    "latest_run": lambda s, f: s.createDataFrame([(_two_runs(s, f).latest_run_id(),)], "run_id int"),
+    "table_count": lambda s, f: s.createDataFrame([(_two_runs(s, f).count("trend_posts_by_month", 2),)], "rows long"),
+    "table_preview": lambda s, f: _two_runs(s, f).preview("trend_posts_by_month", 5, 2, ["month"]),
+    "saved_quality": lambda s, f: _two_runs(s, f).read("preprocessing_quality_reports"),
     # column names
     "map_columns": _fields,
     "fill_optional": lambda s, f: rounded(fill_optional(table(s, f, "documents").select("doc_id", "text", "source"))),
@@ -271,6 +383,7 @@ QUERIES: dict[str, Query] = {
         lambda d: cleaning.filter_empty_clean(cleaning.with_tokens(d)).select("post_id", "source")
     ),
     "parse_datetime": _untidy(lambda d: cleaning.parse_datetime_column(d).select("event_id", "datetime")),
+    "parse_datetime_formats": lambda s, f: rounded(cleaning.parse_datetime_column(_spelled_dates(s, f), "format")),
     "parse_datetime_epoch": lambda s, f: rounded(cleaning.parse_datetime_column(_epoch_text(s, f))),
     "filter_datetime": _untidy(
         lambda d: cleaning.filter_datetime(cleaning.parse_datetime_column(d, "format")).select("event_id", "datetime")
@@ -305,9 +418,9 @@ QUERIES: dict[str, Query] = {
     "top_trigrams": _words(terms.top_trigrams),
     "tfidf_terms": lambda s, f: rounded(_tfidf(s, f)),
     "trend_vocabulary": _words(growth.trend_vocabulary),
-    "terms_by_month": _words(growth.terms_by_month),
-    "last_two_months": _words(growth.last_two_months),
-    "growing_terms": _words(growth.growing_terms),
+    "terms_by_month": _trend(growth.terms_by_month),
+    "last_two_months": _trend(growth.last_two_months),
+    "growing_terms": _trend(growth.growing_terms),
     # periods and fields
     "posts_by_date": _events(activity.posts_by_date),
     "posts_by_month": _events(activity.posts_by_month),
@@ -326,6 +439,8 @@ QUERIES: dict[str, Query] = {
     "user_activity_by_month": _events(users.user_activity_by_month),
     "user_features": lambda s, f: rounded(_features(s, f)),
     "user_segments": _segments,
+    "user_segment_labels": lambda s, f: rounded(_segments(s, f).drop("segment_id")),
+    "segment_assignment_of_given": _segments_of_given,
     "user_segment_distribution": lambda s, f: rounded(
         users.user_segment_distribution(users.with_activity_label(_features(s, f)))
     ),
@@ -335,6 +450,8 @@ QUERIES: dict[str, Query] = {
     "post_topics": _topic_query("post_topics"),
     "topic_summary": _topic_query("topic_summary"),
     "topics_by_month": _topic_query("topics_by_month"),
+    "tfidf_vectors": _tfidf_vectors,
+    "post_topics_of_given": _post_topics_of_given,
     "topic_summary_of_given": lambda s, f: rounded(topics.topic_summary(_given_topics(s, f))),
     "topics_by_month_of_given": lambda s, f: rounded(
         topics.topics_by_month(_given_topics(s, f), _dated(document_posts(s, f)))
@@ -342,4 +459,6 @@ QUERIES: dict[str, Query] = {
     # runs
     "run_summary": _summary,
     "analysis": _analysis,
+    "analysis_summary": _analysis_summary,
+    "analysis_table_rows": _analysis_table_rows,
 }

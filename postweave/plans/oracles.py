@@ -1,7 +1,7 @@
 """The registered queries once more, as SQL for DuckDB over the same tables.
 
-Written from the definitions, not from the Spark plans: text cleaning goes through six separate
-steps, top lists through window-free sorts, TF-IDF through explicit sums.
+Written from the definitions, not from the Spark plans: top lists go through window-free sorts, TF-IDF
+through explicit sums, the whole analysis through counts of what each table must hold.
 """
 
 from __future__ import annotations
@@ -76,19 +76,9 @@ valid AS (SELECT * FROM firsts WHERE trim(title || ' ' || text) <> '')"""
 
 
 def _cleaned(c: str) -> str:
-    """Six steps: case, addresses, ampersands, breaks, joiners, other signs; then single blanks."""
-    steps = [
-        (rf"http[^{_SPACE}]+|www[^{_SPACE}]+", " "),
-        ("&amp;", " "),
-        (r"[\r\n\t]+", " "),
-        (r"[_/\\|+-]+", " "),
-        (rf"[^0-9a-zA-Zа-яА-ЯёЁ{_SPACE}]", " "),
-        (rf"[{_SPACE}]+", " "),
-    ]
-    text = f"lower({c})"
-    for pattern, by in steps:
-        text = f"regexp_replace({text}, '{pattern}', '{by}', 'g')"
-    return f"trim({text})"
+    """Lower-cased letters and digits; addresses and escaped ampersands are left out, single blanks between words."""
+    plain = f"replace(regexp_replace(lower({c}), '(http|www)[^{_SPACE}]+', ' ', 'g'), '&amp;', ' ')"
+    return f"array_to_string(regexp_extract_all({plain}, '[0-9a-zа-яё]+'), ' ')"
 
 
 def _tokens(c: str) -> str:
@@ -180,8 +170,87 @@ _WORDED = f"""{_VALID}, worded AS (
     SELECT *, trim(title || ' ' || text) AS full_text, {_tokens("title || ' ' || text")} AS tokens FROM valid)
   WHERE len(tokens) > 0)"""
 
+_FORMATS = ("%-m/%-d/%Y", "%-m/%-d/%Y %-H:%M", "%-m/%-d/%Y %-I:%M %p", "%m/%d/%Y %I:%M:%S %p", "%m.%d.%Y", "%Y.%m.%d", "%Y/%-m/%-d",
+            "%-d-%b-%Y", "%m-%d-%Y", "%b %-d, %Y %-I:%M %p", "%a %b %d %H:%M:%S %Y", "%a, %d %b %Y %H:%M:%S", "%Y%m%d %H%M%S")
+
+
+def _kept_part(time: str) -> str:
+    """What a spelling keeps of a time: the day, the minute, or all of it."""
+    days, minutes = (0, 4, 5, 6, 7, 8), (1, 2, 9)
+    kind = f"o_orderkey % {len(_FORMATS)}"
+    return f"CASE WHEN {kind} IN {days} THEN date_trunc('day', {time}) WHEN {kind} IN {minutes} THEN date_trunc('minute', {time}) ELSE {time} END"
+
+
+_VECTORS = f"""{_WORDS}, vocabulary AS (
+    SELECT term, count(DISTINCT post_id) AS df, row_number() OVER (ORDER BY count(*) DESC, term) - 1 AS rank FROM terms
+    GROUP BY term ORDER BY rank LIMIT 1500),
+  size AS (SELECT count(*) AS n FROM docs),
+  raw AS (
+    SELECT t.post_id, t.term, max(v.rank) AS rank, count(*) * (ln((1 + max(s.n)) / CAST(1 + max(v.df) AS DOUBLE)) + 1) AS w
+    FROM terms t JOIN vocabulary v ON v.term = t.term CROSS JOIN size s GROUP BY t.post_id, t.term),
+  vectors AS (SELECT post_id, term, rank, w / sqrt(sum(w * w) OVER (PARTITION BY post_id)) AS w FROM raw)"""
+
+_SEGMENTED = ("posts_count", "avg_likes", "avg_comments", "total_comments", "total_engagement", "avg_engagement", "unique_sources",
+              "unique_categories", "active_months")
+
+# Posts of the analysis: the cleaned posts with time, words and sentiment.
+_ANALYSED = f"""{_WORDED}, posts AS (
+    SELECT *, strftime(time, '%Y-%m-%d') AS date, strftime(time, '%Y-%m') AS month, likes_count + comments_count + reposts_count AS engagement_score,
+      CAST({_COUNT_OF.format(w=_listed(TEST_POSITIVE))} AS INTEGER) AS pos, CAST({_COUNT_OF.format(w=_listed(TEST_NEGATIVE))} AS INTEGER) AS neg
+    FROM worded WHERE time IS NOT NULL),
+  labelled AS (SELECT *, (pos - neg) / CAST(greatest(pos + neg, 1) AS DOUBLE) AS score FROM posts),
+  scored AS (SELECT *, CASE WHEN score > 0.05 THEN 'positive' WHEN score < -0.05 THEN 'negative' ELSE 'neutral' END AS label FROM labelled),
+  terms AS (SELECT post_id, month, unnest(tokens) AS term FROM posts),
+  ranked AS (SELECT term, count(*) AS n FROM terms GROUP BY term ORDER BY n DESC, term),
+  trend AS (SELECT term FROM ranked LIMIT 30),
+  monthly AS (SELECT t.month, t.term, count(*) AS n FROM terms t JOIN trend v ON v.term = t.term GROUP BY t.month, t.term),
+  months AS (SELECT month, count(*) AS total FROM posts GROUP BY month),
+  complete AS (
+    SELECT DISTINCT month FROM monthly, (SELECT max(time) AS t FROM posts)
+    WHERE month < strftime(t, '%Y-%m') OR (month = strftime(t, '%Y-%m') AND last_day(t) = CAST(t AS DATE))),
+  pair AS (SELECT min(month) AS a, max(month) AS b FROM (SELECT month FROM complete ORDER BY month DESC LIMIT 2) HAVING count(*) = 2),
+  growing AS (
+    SELECT v.term FROM trend v CROSS JOIN pair p
+    WHERE coalesce((SELECT max(n) FROM monthly m WHERE m.term = v.term AND m.month = p.b), 0) / CAST((SELECT max(total) FROM months WHERE month = p.b) AS DOUBLE)
+        > coalesce((SELECT max(n) FROM monthly m WHERE m.term = v.term AND m.month = p.a), 0) / CAST((SELECT max(total) FROM months WHERE month = p.a) AS DOUBLE))"""
+
+
+def _grams(n: int) -> str:
+    joined = " || ' ' || ".join(f"tokens[i + {k}]" for k in range(n))
+    return f"(SELECT count(DISTINCT {joined}) FROM (SELECT tokens, unnest(range(1, len(tokens) - {n - 2})) AS i FROM posts WHERE len(tokens) >= {n}))"
+
+
+_TABLE_ROWS = {
+    "top_words": "(SELECT least(20, count(*)) FROM ranked)",
+    "top_bigrams": f"least(20, {_grams(2)})",
+    "top_trigrams": f"least(20, {_grams(3)})",
+    "tfidf_terms": "(SELECT least(20, count(*)) FROM ranked)",
+    "posts_by_date": "(SELECT count(DISTINCT date) FROM posts)",
+    "posts_by_month": "(SELECT count(DISTINCT month) FROM posts)",
+    "top_sources": "(SELECT least(15, count(DISTINCT coalesce(source, 'unknown'))) FROM posts)",
+    "top_companies": "(SELECT least(15, count(DISTINCT coalesce(company, 'unknown'))) FROM posts)",
+    "top_categories": "(SELECT least(15, count(DISTINCT coalesce(category, 'unknown'))) FROM posts)",
+    "terms_by_month": "(SELECT count(*) FROM monthly)",
+    "growing_terms": "(SELECT least(20, count(*)) FROM growing)",
+    "sentiment_distribution": "(SELECT count(DISTINCT label) FROM scored)",
+    "sentiment_by_month": "(SELECT count(*) FROM (SELECT DISTINCT month, label FROM scored))",
+    "sentiment_by_source": "(SELECT count(*) FROM (SELECT DISTINCT source, label FROM scored WHERE source IS NOT NULL))",
+    "topic_terms": "40",
+    "post_topics": "(SELECT count(*) FROM posts)",
+    "top_users": "(SELECT least(20, count(DISTINCT user_id)) FROM posts)",
+    "top_users_engagement": "(SELECT least(20, count(DISTINCT user_id)) FROM posts)",
+    "user_distribution": """(SELECT count(DISTINCT CASE WHEN n = 1 THEN 1 WHEN n <= 5 THEN 2 WHEN n <= 10 THEN 3 ELSE 4 END)
+      FROM (SELECT count(*) AS n FROM posts GROUP BY user_id))""",
+    "user_activity_by_month": "(SELECT count(DISTINCT month) FROM posts)",
+    "engagement_distribution": "5",
+    "user_features": "(SELECT count(DISTINCT user_id) FROM posts)",
+    "user_segments": "(SELECT count(DISTINCT user_id) FROM posts)",
+    "user_segment_distribution": """(SELECT count(DISTINCT CASE WHEN n <= 1 AND e <= 5 THEN 1 WHEN n >= 5 OR e >= 20 THEN 3 ELSE 2 END)
+      FROM (SELECT count(*) AS n, avg(engagement_score) AS e FROM posts GROUP BY user_id))""",
+}
+
 ORACLES: dict[str, str] = {
-    "scan_csv": "SELECT CAST(doc_id AS VARCHAR) AS doc_id, text, lang, source FROM documents",
+    "scan_csv": "SELECT CAST(doc_id AS VARCHAR) AS doc_id, text, lang, source, CAST(n_chars AS VARCHAR) AS n_chars FROM documents",
     "scan_json": "SELECT CAST(conv_id AS VARCHAR) AS conv_id, CAST(turn AS VARCHAR) AS turn, role, text FROM conversations",
     "limit_rows": "SELECT doc_id, lang, source, n_chars FROM documents ORDER BY doc_id LIMIT 5000",
     "load_dataset": """SELECT doc_id AS post_id, lang AS company, n_chars AS likes_count, text, source, '' AS title,
@@ -307,4 +376,36 @@ ORACLES: dict[str, str] = {
       (SELECT term FROM terms GROUP BY term ORDER BY count(*) DESC, term LIMIT 1) AS top_word,
       (SELECT source FROM docs GROUP BY source ORDER BY count(*) DESC, source LIMIT 1) AS top_source,
       (SELECT label FROM scored GROUP BY label ORDER BY count(*) DESC, label LIMIT 1) AS dominant_sentiment""",
+    "parse_datetime_formats": f"""SELECT o_orderkey, strftime({_kept_part("t")}, '%Y-%m-%d %H:%M:%S.%g') AS datetime FROM (
+      SELECT o_orderkey, CAST(o_orderdate AS TIMESTAMP) + to_seconds(o_orderkey * 7919 % 86400) AS t FROM orders)""",
+    "tfidf_vectors": f"WITH {_VECTORS} SELECT post_id, term, round(w, 6) AS weight FROM vectors WHERE w > 0",
+    "post_topics_of_given": f"""WITH {_VECTORS}, h AS (
+        SELECT rank, CASE WHEN rank % 3 <> 1 THEN 1 / CAST(rank + 1 AS DOUBLE) ELSE 0 END AS h0,
+          CASE WHEN rank % 3 <> 0 THEN 1 / CAST(rank + 1 AS DOUBLE) ELSE 0 END AS h1 FROM vocabulary),
+      g AS (SELECT sum(h0 * h0) AS a, sum(h0 * h1) AS b, sum(h1 * h1) AS c FROM h),
+      t AS (SELECT d.post_id, coalesce(sum(w * h0), 0) AS t0, coalesce(sum(w * h1), 0) AS t1
+        FROM docs d LEFT JOIN vectors v ON v.post_id = d.post_id LEFT JOIN h ON h.rank = v.rank GROUP BY d.post_id),
+      free AS (SELECT *, (c * t0 - b * t1) / (a * c - b * b) AS x, (a * t1 - b * t0) / (a * c - b * b) AS y FROM t CROSS JOIN g),
+      w AS (SELECT post_id, CASE WHEN x >= 0 AND y >= 0 THEN x WHEN t0 * t0 / a >= t1 * t1 / c THEN t0 / a ELSE 0 END AS w0,
+        CASE WHEN x >= 0 AND y >= 0 THEN y WHEN t0 * t0 / a >= t1 * t1 / c THEN 0 ELSE t1 / c END AS w1 FROM free)
+      SELECT post_id, CAST(CASE WHEN w1 > w0 THEN 1 ELSE 0 END AS INTEGER) AS topic_id, round(greatest(w0, w1), 6) AS topic_weight FROM w""",
+    "user_segment_labels": f"WITH {_FEATURES} SELECT {_ROUNDED_FEATURES}, segment_label FROM labelled",
+    "segment_assignment_of_given": f"""WITH {_FEATURES}, z AS (SELECT user_id, {", ".join(
+        f"coalesce(({c} - avg({c}) OVER ()) / nullif(stddev_pop({c}) OVER (), 0), 0) AS {c}" for c in _SEGMENTED)} FROM features),
+      d AS (SELECT user_id, {", ".join(f"{' + '.join(f'({c} - {v}) * ({c} - {v})' for c in _SEGMENTED)} AS d{i}" for i, v in enumerate(("(-1.0)", "0.0", "1.0")))} FROM z)
+      SELECT user_id, CAST(CASE WHEN d0 <= d1 AND d0 <= d2 THEN 0 WHEN d1 <= d2 THEN 1 ELSE 2 END AS INTEGER) AS segment_id FROM d""",
+    "recent_runs": f"""WITH {_EVENTS} SELECT CAST(2 AS INTEGER) AS run_id, 'events' AS source_name, 'finished' AS status,
+      CAST(count(*) AS INTEGER) AS total_rows, 'run 2' AS top_word, 'n/a' AS top_topic FROM posts WHERE month < '1997'""",
+    "latest_run": "SELECT CAST(2 AS INTEGER) AS run_id",
+    "table_count": f"WITH {_EVENTS} SELECT count(DISTINCT month) AS rows FROM posts WHERE month < '1997'",
+    "table_preview": f"""WITH {_EVENTS} SELECT CAST(2 AS INTEGER) AS run_id, month, count(*) AS post_count FROM posts WHERE month < '1997'
+      GROUP BY month ORDER BY month LIMIT 5""",
+    "saved_quality": f"""WITH {_EVENTS} SELECT CAST(1 AS INTEGER) AS run_id, 'loaded_rows' AS metric_name, CAST(count(*) AS VARCHAR) AS metric_value FROM posts
+      UNION ALL SELECT CAST(2 AS INTEGER), 'loaded_rows', CAST(count(*) AS VARCHAR) FROM posts WHERE month < '1997'""",
+    "analysis_summary": f"""WITH {_ANALYSED} SELECT (SELECT count(*) FROM posts) AS total_rows, (SELECT count(DISTINCT user_id) FROM posts) AS total_users,
+      (SELECT term FROM ranked LIMIT 1) AS top_word,
+      (SELECT coalesce(source, 'unknown') AS s FROM posts GROUP BY s ORDER BY count(*) DESC, s LIMIT 1) AS top_source,
+      (SELECT label FROM scored GROUP BY label ORDER BY count(*) DESC, label LIMIT 1) AS dominant_sentiment""",
+    "analysis_table_rows": f"WITH {_ANALYSED} "
+    + " UNION ALL ".join(f"SELECT '{t}' AS \"table\", CAST({n} AS BIGINT) AS rows" for t, n in _TABLE_ROWS.items()),
 }

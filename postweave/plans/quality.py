@@ -38,8 +38,11 @@ METRICS = (
 )
 
 
-def stage_flags(df: DataFrame, formats=DATETIME_FORMATS) -> DataFrame:
-    """Add the tests of all later stages as columns: raw text, tokens, readable dates."""
+def stage_flags(df: DataFrame, formats=DATETIME_FORMATS, drop_empty: bool = True) -> DataFrame:
+    """Add the tests of all later stages as columns: raw text, tokens, readable dates.
+
+    Without ``drop_empty`` posts without words pass the second test, too.
+    """
     df = fill_text(df)
     df = df.withColumn("_has_text", some_text(df)) if "_has_text" not in df.columns else df
     df = df if "tokens" in df.columns else with_tokens(df)
@@ -49,7 +52,7 @@ def stage_flags(df: DataFrame, formats=DATETIME_FORMATS) -> DataFrame:
         df = df.withColumns({"_by_format": present, "_by_second": nothing, "_by_milli": nothing})
     else:
         df = with_time_readings(df, formats)
-    return df.withColumn("_has_words", F.col("_has_text") & (F.size("tokens") > 0))
+    return df.withColumn("_has_words", F.col("_has_text") & (F.size("tokens") > (0 if drop_empty else -1)))
 
 
 def quality_counts(raw: DataFrame, order_by=None, formats=DATETIME_FORMATS) -> DataFrame:
@@ -87,8 +90,8 @@ def quality_counts(raw: DataFrame, order_by=None, formats=DATETIME_FORMATS) -> D
     return _metrics(counted)
 
 
-def _metrics(counted: DataFrame) -> DataFrame:
-    reading = choose_reading(*(F.col(c) for c in READINGS))
+def _metrics(counted: DataFrame, reading: str = "auto") -> DataFrame:
+    reading = choose_reading(*(F.col(c) for c in READINGS)) if reading == "auto" else F.lit(f"_by_{reading}")
     dated = F.when(reading == "_by_format", F.col("_by_format")).when(reading == "_by_second", F.col("_by_second"))
     dated = dated.otherwise(F.col("_by_milli"))
     values = (
@@ -105,7 +108,7 @@ def _metrics(counted: DataFrame) -> DataFrame:
     return counted.select(*(v.cast("long").alias(m) for m, v in zip(METRICS, values, strict=True)), reading.alias("reading"))
 
 
-def stage_counts(raw: DataFrame, staged: DataFrame) -> dict:
+def stage_counts(raw: DataFrame, staged: DataFrame, reading: str = "auto") -> dict:
     """The same metrics for a stored stage table (see ``analysis``): two narrow aggregates."""
     first = raw.agg(F.count(F.lit(1)).alias("loaded"), F.count_if(required_present()).alias("valid")).first()
     kept = F.col("_has_words")
@@ -118,7 +121,7 @@ def stage_counts(raw: DataFrame, staged: DataFrame) -> dict:
         *reading_counts(),
     )
     counted = rest.select(F.lit(first.loaded).alias("loaded"), F.lit(first.valid).alias("valid"), "*")
-    return _metrics(counted).first().asDict()
+    return _metrics(counted, reading).first().asDict()
 
 
 def quality_report(counts: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from postweave.functions.text import sanitize_label
+from postweave.plans.quality import METRICS
 
 # Titles and line labels of the text reports.
 SUMMARY_TITLE = "Краткая сводка по результатам анализа"
@@ -97,5 +98,8 @@ def summary_lines(summary: DataFrame) -> DataFrame:
 def quality_lines(report: DataFrame) -> DataFrame:
     """The quality report as text lines; none for an empty report."""
     entry = F.concat_ws(": ", F.col("metric_name"), F.col("metric_value").cast("string"))
-    entries = report.agg(F.collect_list(entry).alias("entries")).where(F.size("entries") > 0)
+    place = F.array_position(F.array(*map(F.lit, METRICS)), F.col("metric_name"))
+    placed = F.array_sort(F.collect_list(F.struct(place.alias("place"), entry.alias("entry"))))
+    entries = report.agg(placed.alias("entries")).where(F.size("entries") > 0)
+    entries = entries.select(F.col("entries.entry").alias("entries"))
     return entries.select(F.explode(F.concat(F.array(F.lit(QUALITY_TITLE)), F.col("entries"))).alias("line"))

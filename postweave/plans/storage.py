@@ -4,11 +4,16 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 # Folders made for sessions that name none, by application.
 _local_folders: dict[str, str] = {}
+# The folder of the work in progress, see ``work_folder``.
+_work: ContextVar[str | None] = ContextVar("work", default=None)
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -23,12 +28,31 @@ def shared_folder(spark: SparkSession) -> str:
     context = spark.sparkContext
     if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    return _local_folders.setdefault(context.applicationId, tempfile.mkdtemp(prefix="postweave-"))
+    if context.applicationId not in _local_folders:
+        _local_folders[context.applicationId] = tempfile.mkdtemp(prefix="postweave-")
+    return _local_folders[context.applicationId]
 
 
 def new_path(spark: SparkSession, name: str, folder: str | None = None) -> str:
-    """A path in the shared folder (or the given one) that nothing else uses."""
-    return f"{folder or shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    """A path in the given folder, that of the work in progress or the shared one, that nothing else uses."""
+    return f"{folder or _work.get() or shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def work_folder(spark: SparkSession, name: str) -> Iterator[str]:
+    """A new folder for all tables stored within the block. Its owner deletes it, see ``delete``."""
+    path = new_path(spark, name)
+    token = _work.set(path)
+    try:
+        yield path
+    finally:
+        _work.reset(token)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a folder on whatever file system it is."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
 
 
 def stored(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:

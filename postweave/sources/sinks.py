@@ -9,16 +9,16 @@ from pyspark.sql import DataFrame
 
 from postweave.plans.reports import quality_lines, summary_lines
 
-# Result tables that grow with posts or users; all others are short reports.
-GROWING_TABLES = ("post_topics", "user_features", "user_segments", "processed_posts")
-
 
 def save_tables(tables: Mapping[str, DataFrame], folder: str, parallelism: int = 4) -> None:
-    """Each table as CSV with a header under its name, several at a time; short reports as one file."""
+    """Each table as CSV with a header under its name, several at a time.
+
+    A table is written by as many tasks as its plan has: short reports come out of one or a few, open-ended
+    tables out of many.
+    """
 
     def save(name: str) -> None:
-        out = tables[name] if name in GROWING_TABLES else tables[name].coalesce(1)
-        out.write.mode("overwrite").option("header", True).csv(f"{folder}/{name}")
+        tables[name].write.mode("overwrite").option("header", True).csv(f"{folder}/{name}")
 
     with ThreadPool(parallelism) as pool:
         pool.map(save, list(tables), chunksize=1)

@@ -7,7 +7,7 @@ One writer at a time gives out run ids.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from datetime import datetime, timezone
 from multiprocessing.pool import ThreadPool
 
@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from postweave.sources.columns import align_schema
-from postweave.sources.sinks import GROWING_TABLES
 
 RUNS = "analysis_runs"
 POSTS = "processed_posts"
@@ -156,8 +155,10 @@ class RunStore:
     def count(self, table: str, run_id: int | None = None) -> int:
         return self.read(table, run_id=run_id).count()
 
-    def preview(self, table: str, limit: int = 20, run_id: int | None = None) -> DataFrame:
-        return self.read(table, limit, run_id)
+    def preview(self, table: str, limit: int = 20, run_id: int | None = None, order_by: Sequence[str] = ()) -> DataFrame:
+        """Some rows of a table; with ``order_by`` the first ones."""
+        rows = self.read(table, run_id=run_id)
+        return (rows.orderBy(*order_by) if order_by else rows).limit(limit)
 
     def latest_run_id(self) -> int | None:
         if not self.exists(RUNS):
@@ -170,8 +171,7 @@ class RunStore:
     def write(self, df: DataFrame, table: str, replace: bool = False) -> None:
         """Add rows, aligned to the stored schema. Whole run partitions are overwritten, other runs
         stay; ``replace`` drops all runs of the table first."""
-        aligned = align_schema(df, stored_schema(table))
-        out = aligned if table in GROWING_TABLES else aligned.coalesce(1)
+        out = align_schema(df, stored_schema(table))
         mode = "static" if replace else "dynamic"
         out.write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy("run_id").parquet(self._path(table))
 

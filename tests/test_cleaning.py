@@ -153,9 +153,9 @@ RAW = [
 
 def test_required_values(spark):
     raw = fill_optional(spark.createDataFrame(RAW, "post_id string, user_id string, datetime string, title string, text string"))
-    rows = cleaning.validate_posts(raw).collect()
+    rows = cleaning.validate_posts(raw, ["post_id"]).collect()
     assert [r.post_id for r in rows] == ["1"]
-    counts = quality_counts(raw).first()
+    counts = quality_counts(raw, ["post_id"]).first()
     assert counts.missing_required_removed == 3 and counts.duplicates_removed == 0 and counts.rows_after_validation == 1
 
 
@@ -218,3 +218,36 @@ def test_one_hot_post_id(spark):
 def test_empty_filter_tokenises_once(spark):
     df = cleaning.preprocess_posts(untidy(spark), "format").select("tokens")
     assert df._jdf.queryExecution().executedPlan().toString().count("regexp_extract_all") == 1
+
+
+@pytest.mark.parametrize(
+    "text, expected",
+    [
+        ("1/5/2024", "2024-01-05 00:00:00"),
+        ("1/5/2024 13:45", "2024-01-05 13:45:00"),
+        ("1/5/2024 1:45 PM", "2024-01-05 13:45:00"),
+        ("1/5/2024 1:45 pm", "2024-01-05 13:45:00"),
+        ("01/05/2024 01:45:00 PM", "2024-01-05 13:45:00"),
+        ("05.01.2024", "2024-05-01 00:00:00"),
+        ("2024.01.05", "2024-01-05 00:00:00"),
+        ("2024/1/5", "2024-01-05 00:00:00"),
+        ("5-Jan-2024", "2024-01-05 00:00:00"),
+        ("01-05-2024", "2024-01-05 00:00:00"),
+        ("Jan 5, 2024 1:45 PM", "2024-01-05 13:45:00"),
+        ("Wed Oct 10 20:19:24 +0000 2018", "2018-10-10 20:19:24"),
+        ("Wed, 10 Oct 2018 20:19:24 GMT", "2018-10-10 20:19:24"),
+        ("20240105T134500", "2024-01-05 13:45:00"),
+        ("13/45/2024", None),
+        ("Wednesday", None),
+    ],
+)
+def test_spellings_of_dates(spark, text, expected):
+    df = spark.createDataFrame([(text,)], "datetime string")
+    found = cleaning.parse_datetime_column(df, "format").first().datetime
+    assert (str(found) if found else None) == expected
+
+
+def test_day_first(spark):
+    df = spark.createDataFrame([("05.01.2024",), ("5/1/2024 13:45",), ("13-01-2024",), ("2024/1/5",), ("Jan 5, 2024",)], "datetime string")
+    found = [str(r.datetime) for r in cleaning.parse_datetime_column(df, "format", dayfirst=True).collect()]
+    assert found == ["2024-01-05 00:00:00", "2024-01-05 13:45:00", "2024-01-13 00:00:00", "2024-01-05 00:00:00", "2024-01-05 00:00:00"]

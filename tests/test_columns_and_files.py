@@ -5,9 +5,10 @@ import json
 import pytest
 
 from postweave import settings
+from postweave.operators.cleaning import dedupe_posts
 from postweave.plans.analysis import Options, analyze
 from postweave.sources import columns as C
-from postweave.sources.files import find_separator, inspect_csv, load_dataset, read_posts, scan_csv, scan_json
+from postweave.sources.files import inspect_csv, load_dataset, read_posts, scan_csv, scan_json
 
 HEADER = ["id", "author", "created_datetime", "title", "text", "score", "num_comments", "subreddit"]
 ROWS = [
@@ -128,9 +129,64 @@ def test_lines_with_even_quotes_stay_splittable(spark, tmp_path):
     assert not layout.multi_line and scan_csv(spark, str(path)).first().text == 'a, "b"'
 
 
-def test_find_separator_ignores_marks_inside_quotes():
-    assert find_separator(['"a;b";c', '"x;y;z";w']) == ";"
-    assert find_separator(["a b", "c d"]) == ","
+@pytest.mark.parametrize("text, found", [('"a;b";c\n"x;y;z";w\n', ";"), ("a b\nc d\n", ","), ("", ",")])
+def test_separator_ignores_marks_inside_quotes(spark, tmp_path, text, found):
+    path = tmp_path / "posts.csv"
+    path.write_text(text)
+    assert inspect_csv(spark, str(path)).separator == found
+
+
+@pytest.mark.parametrize("ragged", [1, 2, 30])
+def test_ragged_rows_do_no_harm(spark, tmp_path, ragged):
+    lines = ["id\ttext\tauthor"] + [f"{i}\tone, two\tu" for i in range(60)]
+    lines[ragged] = "x\tshort"
+    path = tmp_path / "posts.csv"
+    path.write_text("\n".join(lines))
+    assert inspect_csv(spark, str(path)).separator == "\t"
+
+
+def test_files_with_different_separators_are_refused(spark, tmp_path):
+    folder = tmp_path / "posts.csv"
+    folder.mkdir()
+    (folder / "a.csv").write_text("a;b\n1;2\n")
+    (folder / "b.csv").write_text("a\tb\n1\t2\n")
+    with pytest.raises(ValueError, match="separators"):
+        inspect_csv(spark, str(folder))
+
+
+def test_session_setting_is_required_and_left_alone(spark, tmp_path):
+    path = write(tmp_path / "posts.csv", encoding="cp1251", rows=[["1", "u", "2024-01-01", "t", "Ёлка", "0", "0", "s"]])
+    spark.conf.set("spark.sql.legacy.javaCharsets", "false")
+    try:
+        with pytest.raises(ValueError, match="javaCharsets"):
+            scan_csv(spark, path)
+    finally:
+        spark.conf.set("spark.sql.legacy.javaCharsets", "true")
+
+
+def test_first_copy_by_place_in_files(spark, tmp_path):
+    """Which copy stays follows the files, however the splits are read."""
+    folder = tmp_path / "posts.csv"
+    folder.mkdir()
+    for k, size in ((0, 3), (1, 400), (2, 50)):
+        lines = [f"{i},u,2024-01-0{k + 1},t,file {k} row {n}" for n, i in enumerate([7, *range(100 * k, 100 * k + size)])]
+        (folder / f"part-{k}.csv").write_text("\n".join(["id,author,created_datetime,title,text", *lines]))
+    kept = set()
+    for split in ("128m", "2k"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+        try:
+            mapped, _ = load_dataset(spark, str(folder), keep_order=True, separator=",", encoding="utf-8", multi_line=False)
+            kept.add(tuple(sorted((r.post_id, r.text) for r in dedupe_posts(mapped).collect())))
+            first, _ = load_dataset(spark, str(folder), 5, separator=",", encoding="utf-8", multi_line=False)
+            assert sorted(r.text for r in first.collect()) == ["file 0 row 0", "file 0 row 1", "file 0 row 2", "file 0 row 3", "file 1 row 0"]
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert len(kept) == 1 and dict(kept.pop())["7"] == "file 0 row 0"
+
+
+def test_other_frames_need_an_order(spark):
+    with pytest.raises(ValueError, match="order_by"):
+        dedupe_posts(spark.createDataFrame([("1",)], "post_id string"))
 
 
 def test_json_forms(spark, tmp_path):

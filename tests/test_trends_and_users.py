@@ -2,14 +2,15 @@
 
 import math
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from postweave.operators import activity, growth, sentiment, terms, tfidf, topics, users
-from postweave.plans import reports
-from postweave.plans.analysis import analyze_frame, analyze_posts
+from postweave.plans import catalog, reports
+from postweave.plans.analysis import Options, analyze_frame, analyze_posts
 from postweave.plans.storage import stored
 from postweave.sources import sinks
 from postweave.sources.store import STORED_COLUMNS, RunStore, attach_run_id, stored_schema
@@ -265,7 +266,7 @@ def test_chart_series(spark):
 def result(spark):
     data = [(str(i), f"u{i % 3}", f"2024-0{1 + i % 3}-1{i % 9}", f"title{i % 4}", "market growth story again", i) for i in range(24)]
     raw = spark.createDataFrame(data, ["ID", "author", "created_at", "headline", "body", "likes"])
-    return analyze_frame(raw)
+    return analyze_frame(raw, options=Options(order_by=["post_id"]))
 
 
 def test_analysis_of_a_frame(spark, result):
@@ -283,11 +284,62 @@ def test_analysis_of_a_frame(spark, result):
 
 def test_analysis_of_no_posts(spark):
     raw = spark.createDataFrame([], "post_id string, user_id string, datetime string, text string")
-    empty = analyze_posts(raw)
+    empty = analyze_posts(raw, Options(order_by=["post_id"]))
     assert empty.summary["total_rows"] == 0 and empty.summary["top_word"] == "n/a" and empty.summary["top_topic"] == "n/a"
     assert all(t.count() == 0 and t.columns for t in empty.tables.values())
 
 
+def test_analysis_does_not_depend_on_partitions(spark):
+    folder = "/root/testdata/sf0.001"
+    found = []
+    for parts in (1, 4, 7):
+        raw = catalog.untidy_posts(spark, folder).repartition(parts)
+        with analyze_posts(raw, Options(order_by=["event_id"], topic_iterations=3)) as result:
+            tables = {n: sorted(map(str, rows(catalog.rounded(result.tables[n])))) for n in ("top_words", "user_segments", "posts_by_date")}
+            found.append((result.summary["total_rows"], result.quality, tables))
+    assert found[0] == found[1] == found[2] and found[0][0] > 0
+
+
+def test_closed_analysis_leaves_no_files(spark, tmp_path):
+    shared = spark.conf.get("spark.checkpoint.dir")
+    before = set(Path(shared).iterdir())
+    raw = spark.createDataFrame([("1", "u", "2024-01-01", "some plain words"), ("2", "v", "2024-02-02", "other plain words")], "post_id string, user_id string, datetime string, text string")
+    result = analyze_posts(raw, Options(order_by=["post_id"]))
+    assert result.posts.count() == 2 and set(Path(shared).iterdir()) > before
+    result.close()
+    assert set(Path(shared).iterdir()) == before
+
+
+def test_empty_posts_stay_if_asked(spark):
+    raw = spark.createDataFrame([("1", "u", "01.02.2024", ""), ("2", "v", "13.02.2024", "other plain words")], "post_id string, user_id string, datetime string, text string")
+    with analyze_posts(raw, Options(order_by=["post_id"], drop_empty=False, dayfirst=True)) as result:
+        assert {r.post_id: str(r.date) for r in result.posts.collect()} == {"1": "2024-02-01", "2": "2024-02-13"}
+
+
+def test_wide_tables_are_written_by_several_tasks(spark, tmp_path):
+    posts = spark.range(100_000).selectExpr("cast(id as string) as post_id", "concat('source number ', id) as source", "'neutral' as sentiment_label", "0.0 as sentiment_score")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        sinks.save_tables({"sentiment_by_source": sentiment.sentiment_by_source(posts)}, str(tmp_path))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(list((tmp_path / "sentiment_by_source").glob("part-*"))) > 1
+    assert spark.read.csv(f"{tmp_path}/sentiment_by_source", header=True).count() == 100_000
+
+
+def test_segments_do_not_depend_on_partitions(spark):
+    features = users.user_features(catalog.event_posts(spark, "/root/testdata/sf0.001"))
+    found = {n: sorted(rows(users.segment_users(features.repartition(n)).select("user_id", "segment_id"))) for n in (1, 5)}
+    assert found[1] == found[5] and len({s for _, s in found[1]}) == 3
+
+
+def test_topic_labels_are_those_of_a_finished_fit(spark):
+    posts = stored(catalog.token_posts(spark, "/root/testdata/sf0.001").select("post_id", "tokens"), "posts")
+    space = tfidf.fit_tfidf(posts, 300)
+    vectors = topics.topic_vectors(posts, space)
+    assert topics.fit_topics(vectors, space).labels() == topics.fit_topics(vectors, space, tol=1e-7).labels()
+
+
 def test_run_store(spark, result, tmp_path):
     store = RunStore(spark, str(tmp_path / "store"))
     assert store.latest_run_id() is None and store.table_names() == []
