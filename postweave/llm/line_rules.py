@@ -151,7 +151,8 @@ def clean_lines(docs: DataFrame, text: str = "text") -> DataFrame:
         lost = 100 * x["lost_chars"] > MOST_LOST * x["word_chars"]
         return x.withField("base_failed", base).withField("kept", ~base & ~lost)
 
-    return docs.withColumn("rules", let(let(judged_lines(value), findings), verdict))
+    # Out of an explode of one element the findings are made once, however many filters and columns use them.
+    return docs.withColumn("rules", F.explode(F.array(let(let(judged_lines(value), findings), verdict))))
 
 
 def line_report(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -186,7 +187,7 @@ WITH lines AS (
          (separators > 0 AND 5 * separators >= words)
          OR 100 * marks > {MOST_PUNCTUATION} * chars
          OR (words < {SHORT_LINE} AND NOT regexp_matches(line, '{SENTENCE_END}'))
-         OR (words <= {NOTICE_LINE} AND len(list_filter([{_sql_list(BOILERPLATE)}], p -> contains(lower(line), p))) > 0) AS failed
+         OR (words <= {NOTICE_LINE} AND len(list_filter([{_sql_list(BOILERPLATE)}], lambda p: contains(lower(line), p))) > 0) AS failed
   FROM lines WHERE words > 0
 ), per_doc AS (
   SELECT n, sum(words) AS n_words, sum(chars) AS word_chars, count(*) - count(DISTINCT line) AS n_dup_lines,

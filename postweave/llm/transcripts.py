@@ -140,7 +140,7 @@ def read_rendered(text: str) -> list[tuple[str, str]]:
 def written_down(conversations: DataFrame, turns: int = TURNS, conv_id="conv_id", turn="turn", role="role", text="text") -> DataFrame:
     """Transcripts (conv_id, part, text, roles, begins) of conversation rows, with the truth about their lines.
 
-    The style of a conversation, and which turns go without a marker, are by hash. Equal rows count once; a transcript holds at most
+    The style of a conversation, whether blank lines part its turns, and which turns go without a marker, are by hash. Equal rows count once; a transcript holds at most
     ``turns`` rows. Rows are dealt by conversation and run of turn numbers, sorted, and streamed, so a conversation of any length fills
     many transcripts in several tasks. Unknown or null roles are users, null turns come first, null texts are empty.
     """
@@ -148,7 +148,7 @@ def written_down(conversations: DataFrame, turns: int = TURNS, conv_id="conv_id"
         F.col(conv_id).alias("conv_id"), F.col(turn).alias("turn"), F.col(role).alias("role"), F.col(text).alias("text")
     ).distinct()
     run = F.coalesce(F.floor(F.col("turn") / turns), F.lit(0)).cast("long")
-    rows = rows.withColumn("run", run).withColumn("style", F.pmod(F.xxhash64("conv_id", F.lit("style")), F.lit(len(STYLES))).cast("int"))
+    rows = rows.withColumn("run", run).withColumn("style", F.pmod(F.xxhash64("conv_id", F.lit("style")), F.lit(2 * len(STYLES))).cast("int"))
     hidden = F.pmod(F.xxhash64("conv_id", "turn", "text"), F.lit(UNMARKED)) == 0
     rows = rows.withColumn("hidden", F.coalesce(hidden, F.lit(False)))
     dealt = rows.repartition("conv_id", "run").sortWithinPartitions("conv_id", "run", "turn", "role", "text")
@@ -197,12 +197,13 @@ def _arrow(batch: pa.RecordBatch) -> pa.Schema:
 
 def _transcript(rows: list[dict], part: int) -> dict:
     lines, roles, begins = [], [], []
-    style = STYLES[rows[0]["style"]]
+    parted, style = divmod(rows[0]["style"], len(STYLES))
+    style = STYLES[style]
     for k, row in enumerate(rows):
         role = row["role"] if row["role"] in ROLES else "user"
         own = [line for line in re.split(r"\r\n|\n|\r", row["text"] or "") if line.strip()] or [""]
         own[0] = own[0] if row["hidden"] and k and own[0] else style[role] + own[0]
-        lines += own
+        lines += [""] * (parted and k > 0) + own
         roles += [role] * len(own)
         begins += [n == 0 for n in range(len(own))]
     return {"conv_id": rows[0]["conv_id"], "part": rows[0]["run"] * 1_000_000 + part, "text": "\n".join(lines), "roles": roles, "begins": begins}

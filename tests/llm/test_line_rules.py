@@ -31,7 +31,7 @@ def test_repeated_words(documents, text):
 
 
 def test_lines_that_fail(documents):
-    good = "This is a plain sentence of some words that should simply be kept. " * 3
+    good = " ".join(f"Sentence {k} says w{k}a and w{k}b of some things here." for k in range(8))
     bad = ["Home | About | Contact | Help", "!!! ??? *** ###", "Read more", "All rights reserved by us.", "a*** b### c$$$ d%%% e&&& f!!!"]
     text = "\n".join([good.strip(), *bad, "", good.strip()])
     row = line_rules.clean_lines(documents([(1, text)])).first().rules
