@@ -20,7 +20,7 @@ from postweave import settings
 from postweave.functions.text import sanitize_label
 from postweave.functions.values import engagement_bin, is_present
 from postweave.operators import activity, cleaning, growth, sentiment, terms, tfidf, topics, users
-from postweave.plans.analysis import AnalysisResult, Options, analyze_posts
+from postweave.plans.analysis import Options, analyze_posts
 from postweave.plans.quality import quality_counts, quality_report
 from postweave.plans.reports import chart_series, run_summary
 from postweave.plans.storage import new_path, stored
@@ -279,17 +279,24 @@ def _summary(spark: SparkSession, folder: str) -> DataFrame:
     return run_summary(posts, tables).drop("top_topic")
 
 
-def _whole_analysis(spark: SparkSession, folder: str) -> AnalysisResult:
-    options = Options(order_by=["event_id"], positive_words=TEST_POSITIVE, negative_words=TEST_NEGATIVE)
-    return analyze_posts(untidy_posts(spark, folder), options)
+# Summary and written tables of the whole analysis of a table folder, for the three queries that show them; by application.
+_analysed: dict[tuple[str, str], tuple[dict, dict[str, DataFrame]]] = {}
+
+
+def _whole_analysis(spark: SparkSession, folder: str) -> tuple[dict, dict[str, DataFrame]]:
+    """The whole analysis with all tables written, once for all queries of a session."""
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _analysed:
+        options = Options(order_by=["event_id"], positive_words=TEST_POSITIVE, negative_words=TEST_NEGATIVE)
+        with analyze_posts(untidy_posts(spark, folder), options) as result:
+            _analysed[key] = result.summary, {name: stored(frame, name) for name, frame in result.tables.items()}
+    return _analysed[key]
 
 
 def _analysis(spark: SparkSession, folder: str) -> DataFrame:
-    """The whole analysis with all tables written; its run row."""
-    result = _whole_analysis(spark, folder)
-    for name, frame in result.tables.items():
-        stored(frame, name)
-    return spark.createDataFrame([tuple(result.summary.values())], list(result.summary))
+    """The run row of the analysis."""
+    summary, _ = _whole_analysis(spark, folder)
+    return spark.createDataFrame([tuple(summary.values())], list(summary))
 
 
 def _analysis_summary(spark: SparkSession, folder: str) -> DataFrame:
@@ -298,14 +305,13 @@ def _analysis_summary(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _analysis_table_rows(spark: SparkSession, folder: str) -> DataFrame:
-    """(table, rows) of the tables of the analysis, written and read again; without the two
-    whose length depends on which topics the fitted model gives to posts."""
-    tables = dict(_whole_analysis(spark, folder).tables)
-    for fitted in ("topic_summary", "topics_by_month"):
-        stored(tables.pop(fitted), fitted)
+    """(table, rows) of the tables of the analysis, but the two whose length depends on which topics the
+    fitted model gives to posts."""
+    _, tables = _whole_analysis(spark, folder)
     counts = [
-        stored(frame, name).agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("table"), "rows")
+        frame.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("table"), "rows")
         for name, frame in tables.items()
+        if name not in ("topic_summary", "topics_by_month")
     ]
     return reduce(DataFrame.union, counts)
 
