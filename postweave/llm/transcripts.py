@@ -80,10 +80,16 @@ def line_features(lines: list[str]) -> np.ndarray:
 
 
 class Chances:
-    """Logarithms of initial, transition and emission chances, from counts plus one."""
+    """Logarithms of initial, transition and emission chances.
+
+    A hundredth of each distribution is even, so what training has never shown is as likely in every state.
+    """
 
     def __init__(self, first: np.ndarray, steps: np.ndarray, emitted: list[np.ndarray]):
-        norm = lambda counts: np.log((counts + 1) / (counts + 1).sum(axis=-1, keepdims=True))
+        def norm(counts: np.ndarray) -> np.ndarray:
+            even = (counts.sum(axis=-1, keepdims=True) + 1) / (100 * counts.shape[-1])
+            return np.log((counts + even) / (counts + even).sum(axis=-1, keepdims=True))
+
         possible = np.array([[not (b % 2 and b // 2 != a // 2) for b in range(STATES)] for a in range(STATES)])
         self.first = np.where(np.arange(STATES) % 2 == 0, norm(first), -np.inf)
         self.steps = np.where(possible, norm(steps), -np.inf)
