@@ -2,9 +2,11 @@
 
 The items are indexed (posting lists by blocks of items, greatest impact of a term in each block), and every
 passage of every training text is a query. Impacts are divided by the item's score for its own words, so one
-threshold holds for all items and a whole copy scores 1. A passage is scored against a block of items only if the sums
-of greatest impacts, over all items and then over the block, reach the threshold: nothing above it is lost.
-What is retrieved is verified: word n-grams of the item's question and of its answer must occur in the passage.
+threshold holds for all items and a whole copy scores 1. The common words of an item, up to half the threshold, are not
+sought: no item can reach the threshold by them alone. A passage is scored against a block of items only if the sum of
+greatest impacts of the other words, over all items and then over the block, and the greatest weight of common words reach
+the threshold: nothing above it is lost. What is retrieved is verified: word n-grams of the item's question and of its
+answer must occur in the passage.
 
 Items are grouped by length: for items of U/2 to U words passages have 2U words and begin every U words, so any copy lies
 whole in some passage.
@@ -53,23 +55,27 @@ class LengthClass:
     """Index of the items of ``unit`` / 2 to ``unit`` words."""
 
     def __init__(self, items: list[tuple], unit: int, vocabulary: np.ndarray, idf: np.ndarray, mean: float):
-        self.unit, self.items = unit, items
+        self.unit, self.items, self.terms = unit, items, len(vocabulary)
         blocks = -(-len(items) // ITEM_BLOCK)
         self.greatest = np.zeros((blocks, len(vocabulary)), np.float32)
+        self.common = np.zeros(blocks)
         postings = []
         for k, (_, words, _, _) in enumerate(items):
             terms, counts = np.unique(np.searchsorted(vocabulary, words), return_counts=True)
             impact = idf[terms] * counts * (K1 + 1) / (counts + K1 * (1 - B + B * len(words) / mean))
             impact = (impact / impact.sum()).astype(np.float32)
             block = k // ITEM_BLOCK
-            np.maximum.at(self.greatest[block], terms, impact)
+            by_frequency = np.argsort(idf[terms], kind="stable")
+            taken = np.cumsum(impact[by_frequency]) <= THRESHOLD / 2
+            sought = by_frequency[~taken]
+            np.maximum.at(self.greatest[block], terms[sought], impact[sought])
+            self.common[block] = max(self.common[block], float(impact[by_frequency[taken]].sum()))
             postings.append(np.rec.fromarrays([np.full(len(terms), block), terms, np.full(len(terms), k), impact], names="block,term,item,impact"))
         table = np.concatenate(postings)
         table = table[np.lexsort((table["item"], table["term"], table["block"]))]
         self.item, self.impact = table["item"].astype(np.int64), table["impact"].astype(np.float64)
         keys = table["block"].astype(np.int64) * len(vocabulary) + table["term"]
         self.begins = np.searchsorted(keys, np.arange(blocks * len(vocabulary) + 1)).astype(np.int64)
-        self.terms = len(vocabulary)
         self.over_all = self.greatest.max(axis=0)
 
     def retrieve(self, term: np.ndarray, place: np.ndarray, bounds: np.ndarray, least: float) -> Iterator[tuple[int, int, int, float]]:
@@ -78,25 +84,33 @@ class LengthClass:
         ``term`` are the terms at the word places ``place``; words that no item has are left out.
         """
         halves_before = np.concatenate([[0], np.cumsum(-(-np.diff(bounds) // self.unit))])
+        halves = int(halves_before[-1])
         row = np.searchsorted(bounds, place, "right") - 1
         half = halves_before[row] + (place - bounds[row]) // self.unit
-        key = np.sort(half * self.terms + term)
-        key = key[np.concatenate([[True], key[1:] != key[:-1]])] if len(key) else key
-        half, term = key // self.terms, key % self.terms
-        halves = int(halves_before[-1])
-        bound = np.bincount(half, self.over_all[term], halves + 1)
-        together = np.ones(halves + 1, bool)
-        together[halves_before[1:] - 1] = False
-        together[-1] = False
+        # A passage is a half and the next one of the same row.
+        together = np.ones(halves, bool)
+        together[halves_before[1:][np.diff(halves_before) > 0] - 1] = False
         slack = least - 1e-6
-        for_all = bound[:-1] + np.where(together[:-1], bound[1:], 0)
-        passages = np.flatnonzero(for_all >= slack)
-        begins = np.searchsorted(half, np.arange(halves + 2))
+
+        sought = self.over_all[term] > 0
+        key = np.sort(half[sought] * self.terms + term[sought])
+        key = key[np.concatenate([[True], key[1:] != key[:-1]])] if len(key) else key
+        its_half, its_term = key // self.terms, key % self.terms
+
+        def greatest_sums(weights: np.ndarray) -> np.ndarray:
+            sums = np.bincount(its_half, weights[its_term], halves + 1)
+            return sums[:-1] + np.where(together, sums[1:], 0)
+
+        passages = greatest_sums(self.over_all) + self.common.max() >= slack
+        if not passages.any():
+            return
+        wanted = passages.copy()
+        wanted[1:] |= passages[:-1]
+        its_half, its_term = its_half[wanted[its_half]], its_term[wanted[its_half]]
         for block in range(len(self.greatest)):
-            upper = np.bincount(half, self.greatest[block][term], halves + 1)
-            upper = upper[passages] + np.where(together[passages], upper[passages + 1], 0)
-            for k in passages[upper >= slack].tolist():
-                own = np.unique(term[begins[k] : begins[k + 1 + bool(together[k])]]) + block * self.terms
+            for k in np.flatnonzero(passages & (greatest_sums(self.greatest[block]) + self.common[block] >= slack)).tolist():
+                first, stop = np.searchsorted(half, (k, k + 1 + bool(together[k])))
+                own = np.unique(term[first:stop]) + block * self.terms
                 first, stop = self.begins[own], self.begins[own + 1]
                 lengths = stop - first
                 ends = np.cumsum(lengths)
@@ -113,7 +127,7 @@ class ItemIndex:
     def __init__(self, rows: list[tuple]):
         texts = [text or "" for _, text in rows]
         words, bounds = _words(texts)
-        parts = [_words([part]) [0] for text in texts for part in question_and_answer(text)]
+        parts = [_words([part])[0] for text in texts for part in question_and_answer(text)]
         self.vocabulary = np.unique(words)
         term = np.searchsorted(self.vocabulary, words)
         row = np.repeat(np.arange(len(rows)), np.diff(bounds))
