@@ -31,12 +31,12 @@ def test_repeated_words(documents, text):
 
 
 def test_lines_that_fail(documents):
-    good = " ".join(f"Sentence {k} says w{k}a and w{k}b of some things here." for k in range(8))
-    bad = ["Home | About | Contact | Help", "!!! ??? *** ###", "Read more", "All rights reserved by us.", "a*** b### c$$$ d%%% e&&& f!!!"]
-    text = "\n".join([good.strip(), *bad, "", good.strip()])
-    row = line_rules.clean_lines(documents([(1, text)])).first().rules
-    assert row.clean_text == "\n".join([good.strip()] * 2) and row.kept and row.n_dup_lines == 1
-    lost = line_rules.clean_lines(documents([(1, "\n".join([good.strip(), *bad * 4]))])).first().rules
+    sentences = [f"Sentence {k} says w{k}a and w{k}b of n{k} things here." for k in range(16)]
+    good, other = " ".join(sentences[:8]), " ".join(sentences[8:])
+    bad = ["Home | About | Contact | Help", "!!! ??? *** ###", "Read more", "Read more", "All rights reserved by us.", "a*** b### c$$$ d%%% e&&& f!!!"]
+    row = line_rules.clean_lines(documents([(1, "\n".join([good, *bad, "", other]))])).first().rules
+    assert row.clean_text == f"{good}\n{other}" and row.kept and row.n_dup_lines == 1
+    lost = line_rules.clean_lines(documents([(1, "\n".join([good, *(f"{line} {k} |" for k in range(8) for line in bad)]))])).first().rules
     assert not lost.kept and not lost.base_failed
 
 
