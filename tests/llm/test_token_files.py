@@ -1,4 +1,5 @@
 import zlib
+from functools import lru_cache
 
 import numpy as np
 import public_tokenizers
@@ -14,9 +15,15 @@ from postweave.llm.token_files import FileReader, PieceEncoder
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 
 
-def plain(texts, end=2):
+@lru_cache(maxsize=1)
+def library():
     tokenizer = Tokenizer.from_file(PATH)
     tokenizer.encode_special_tokens = True
+    return tokenizer
+
+
+def plain(texts, end=2):
+    tokenizer = library()
     return [tokenizer.encode(t or "", add_special_tokens=False).ids + [end] for t in texts]
 
 
