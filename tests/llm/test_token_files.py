@@ -15,6 +15,11 @@ from postweave.llm.token_files import FileReader, PieceEncoder
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 
 
+@lru_cache(maxsize=1)
+def piece_encoder():
+    return PieceEncoder(PATH)
+
+
 @lru_cache(maxsize=1)
 def library():
     tokenizer = Tokenizer.from_file(PATH)
@@ -58,8 +63,7 @@ spaced = st.lists(st.sampled_from([" ", "  ", "\n", "\t ", " \n", " ", " ", "
 @settings(max_examples=300, deadline=None)
 @given(st.lists(spaced.map("".join), max_size=4))
 def test_pieces_give_the_ids_of_whole_texts(texts):
-    encoder = test_pieces_give_the_ids_of_whole_texts.__dict__.setdefault("encoder", PieceEncoder(PATH))
-    ids, counts = encoder.encode(pa.array(texts, pa.string()))
+    ids, counts = piece_encoder().encode(pa.array(texts, pa.string()))
     assert [p.tolist() for p in np.split(ids, np.cumsum(counts)[:-1])][: len(texts)] == plain(texts)
 
 
