@@ -6,7 +6,7 @@ threshold holds for all items and a whole copy scores 1. The common words of an
 sought: no item can reach the threshold by them alone. A passage is scored against a block of items only if the sum of
 greatest impacts of the other words, over all items and then over the block, and the greatest weight of common words reach
 the threshold: nothing above it is lost. What is retrieved is verified: word n-grams of the item's question and of its
-answer must occur in the passage.
+answer must occur in the passage, or nearly all of both together. Answers too short for several n-grams are verified by their words.
 
 Items are grouped by length: for items of U/2 to U words passages have 2U words and begin every U words, so any copy lies
 whole in some passage.
@@ -28,6 +28,8 @@ from postweave.llm.batches import PUNCTUATION, hash_words, slabs, text_bytes, wi
 K1, B = 1.2, 0.75
 # Least score of a passage, and least share of n-grams of question and answer.
 THRESHOLD, OVERLAP = 0.6, 0.6
+# Share of the whole item's n-grams that is enough whatever its answer has.
+WHOLE = 0.8
 GRAM, SHORTEST, ITEM_BLOCK = 4, 16, 32
 # Characters of items in one index, which goes to every task; more items make more indexes, each run over all texts.
 INDEX_CHARS = 16 << 20
@@ -46,9 +48,9 @@ def _words(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return hash_words(*text_bytes(pc.utf8_lower(pa.array(texts, pa.string()))), PUNCTUATION)
 
 
-def _grams(words: np.ndarray) -> tuple[int, np.ndarray]:
+def _part(words: np.ndarray) -> tuple[np.ndarray, int, np.ndarray]:
     size = min(GRAM, len(words))
-    return size, np.unique(window_hashes(words, size)) if size else words
+    return words, size, np.unique(window_hashes(words, size)) if size else words
 
 
 class LengthClass:
@@ -60,7 +62,7 @@ class LengthClass:
         self.greatest = np.zeros((blocks, len(vocabulary)), np.float32)
         self.common = np.zeros(blocks)
         postings = []
-        for k, (_, words, _, _) in enumerate(items):
+        for k, (_, (words, _, _), _, _) in enumerate(items):
             terms, counts = np.unique(np.searchsorted(vocabulary, words), return_counts=True)
             impact = idf[terms] * counts * (K1 + 1) / (counts + K1 * (1 - B + B * len(words) / mean))
             impact = (impact / impact.sum()).astype(np.float32)
@@ -139,7 +141,7 @@ class ItemIndex:
             own = words[bounds[k] : bounds[k + 1]]
             if len(own):
                 unit = max(SHORTEST, 1 << (len(own) - 1).bit_length())
-                classes.setdefault(unit, []).append((item_id, own, _grams(parts[2 * k]), _grams(parts[2 * k + 1])))
+                classes.setdefault(unit, []).append((item_id, *map(_part, (own, parts[2 * k], parts[2 * k + 1]))))
         self.classes = [LengthClass(items, unit, self.vocabulary, idf, mean) for unit, items in sorted(classes.items())]
 
     def leaks(self, texts: pa.Array, threshold: float = THRESHOLD, overlap: float = OVERLAP) -> Iterator[tuple]:
@@ -154,16 +156,35 @@ class ItemIndex:
             for row, first, item, score in group.retrieve(term, place, bounds, threshold):
                 start = int(bounds[row]) + first
                 passage = words[start : min(start + 2 * group.unit, int(bounds[row + 1]))]
-                item_id, _, question, answer = group.items[item]
-                shares = [_share(part, passage) for part in (question, answer)]
-                if (shares[0] is None or shares[0] >= overlap) and (shares[1] is None or shares[1] >= overlap):
+                item_id, full, question, answer = group.items[item]
+                shares = [_share(part, passage, overlap) for part in (question, answer)]
+                if all(s is None or s >= overlap for s in shares) or _share(full, passage, WHOLE) >= WHOLE:
                     yield row, item_id, first, score, *shares
 
 
-def _share(part: tuple[int, np.ndarray], passage: np.ndarray) -> float | None:
-    """Share of the part's n-grams in the passage; None for a part without words."""
-    size, grams = part
-    return float(np.isin(grams, window_hashes(passage, size)).mean()) if size else None
+def _share(part: tuple[np.ndarray, int, np.ndarray], passage: np.ndarray, least: float) -> float | None:
+    """Share of the part's n-grams in the passage; None for a part without words.
+
+    Where one changed word can bring that below ``least``, it is at least the share of words that are there in order.
+    """
+    words, size, grams = part
+    if not size:
+        return None
+    share = float(np.isin(grams, window_hashes(passage, size)).mean())
+    short = len(words) < round(GRAM - 1 + GRAM / max(1 - least, 1e-9), 6)
+    return max(share, _in_order(words, passage)) if short and share < least else share
+
+
+def _in_order(words: np.ndarray, passage: np.ndarray) -> float:
+    """Greatest share of ``words`` that is a common subsequence with a run of the passage of one word more."""
+    width = min(len(words) + 1, len(passage))
+    runs = np.lib.stride_tricks.sliding_window_view(passage, width)
+    best = np.zeros((width + 1, len(runs)), np.int64)
+    for word in words:
+        last, best = best, np.zeros_like(best)
+        for k in range(width):
+            best[k + 1] = np.maximum(np.maximum(last[k + 1], best[k]), last[k] + (runs[:, k] == word))
+    return float(best[-1].max()) / len(words)
 
 
 def item_indexes(items: DataFrame, item_id: str = "item_id", text: str = "text", chars: int = INDEX_CHARS) -> list[ItemIndex]:

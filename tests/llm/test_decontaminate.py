@@ -102,6 +102,29 @@ def test_question_without_its_answer_is_no_leak(spark, documents):
     assert [r.doc_id for r in decontaminate.contamination(docs, items).collect()] == [2]
 
 
+@pytest.mark.parametrize("answer", [1, 2, 3, 4, 5, 8])
+def test_one_changed_word_at_any_place(spark, documents, answer):
+    """Copies with one other word, without the answer, and of the answer alone; answers of few words."""
+    rng = random.Random(answer)
+    fresh = lambda n: [f"v{rng.randrange(10**6)}" for _ in range(n)]
+    docs, items, near = [], [], []
+    for length in (8, 40):
+        question, last = fresh(length), fresh(answer)
+        items.append((length, " ".join(question) + ". " + " ".join(last) + "."))
+        full = question + last
+        copies = [full[:k] + fresh(1) + full[k + 1 :] for k in range(len(full))]
+        if length == 40:
+            copies.append(question)
+        for copy in copies:
+            near.append((len(docs), length))
+            docs.append((len(docs), " ".join(fresh(30) + copy + fresh(30))))
+        docs.append((len(docs), " ".join(fresh(30) + last + fresh(30))))
+        docs.append((len(docs), " ".join(question[: len(question) // 2] + fresh(30) + last)))
+    found = decontaminate.contamination(documents(docs), items_of(spark, items))
+    found = {(r.doc_id, r.item_id) for r in found.collect()}
+    assert found == set(near)
+
+
 def test_several_indexes(spark, documents):
     items = items_of(spark, [(k, " ".join(f"i{k}w{j}" for j in range(20))) for k in range(40)])
     docs = documents([(k, f"before i{k}w0 " + " ".join(f"i{k}w{j}" for j in range(20)) + " after") for k in range(40)])
