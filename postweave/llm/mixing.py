@@ -1,7 +1,7 @@
 """Mixing sources to target weights by exact block quotas.
 
 Documents fall into blocks of their source by hash. Whole blocks, in a permuted order, fill a source's
-target; the block where it ends is cut between documents. A tree of multivariate-hypergeometric draws
+target, first those of long documents up to their share; the block where each ends is cut between documents. A tree of multivariate-hypergeometric draws
 splits the sources' block quotas among the output shards: at each node the left half of the shards gets
 its exact share of blocks, drawn without replacement. Shards then take disjoint runs of the permuted blocks and shuffle
 their documents by hash. All of it depends on (rows, weights, seed) only.
@@ -123,34 +123,37 @@ def mixing_plan(
     for r in per_block:
         have.setdefault((r.source, r.long), {})[r.block] = r.words
 
-    chosen, ends = {}, []
-    for r, target in zip(found, goal):
-        passes = min(int(target // r.words), int(MOST_REPEATS)) if r.words else 0
-        rest = target - passes * r.words
-        fraction = rest / r.words if r.words else 0.0
-        for long in (True, False):
+    chosen, rests, cuts = {}, {}, {}
+    for long in (True, False):
+        ends = []
+        for k, (r, target) in enumerate(zip(found, goal)):
+            passes = min(int(target // r.words), int(MOST_REPEATS)) if r.words else 0
+            rest = rests.setdefault(k, target - passes * r.words)
+            fraction = (target - passes * r.words) / r.words if r.words else 0.0
             blocks = have.get((r.source, long), {})
             order = _permuted(blocks, seed, r.source, long)
             words = np.array([blocks[b] for b in order], np.int64)
             if long:
-                middle = np.cumsum(words) - words / 2
-                full = int((middle <= fraction * words.sum()).sum()) if fraction else 0
-                rest -= int(words[:full].sum())
-            else:
-                full = int((np.cumsum(words) <= max(rest, 0)).sum()) if fraction else 0
-                rest -= int(words[:full].sum())
-                if fraction and full < len(order) and rest > 0:
-                    ends.append((r.source, order[full], float(rest)))
+                rest = fraction * words.sum()
+            full = int((np.cumsum(words) <= max(rest, 0)).sum()) if fraction else 0
+            rests[k] -= int(words[:full].sum())
+            rest -= int(words[:full].sum())
+            if fraction and full < len(order) and rest > 0:
+                ends.append((r.source, order[full], float(rest)))
             chosen[r.source, long] = (order, passes, full)
+        found_cuts = _cuts(placed, long, ends)
+        cuts |= {(s, long, b): (cut, extra) for (s, b), (cut, extra, _) in found_cuts.items()}
+        taken = {s: words for (s, _), (_, _, words) in found_cuts.items()}
+        for k, r in enumerate(found):
+            rests[k] -= taken.get(r.source, 0)
 
-    cuts = _cuts(placed, ends)
     quotas, instances = [], []
     for r in found:
         mine = []
         for long in (True, False):
             order, passes, full = chosen[r.source, long]
             mine += [(long, b, k) for k in range(passes) for b in order]
-            mine += [(long, b, passes) for k, b in enumerate(order) if k < full or (not long and (r.source, b) in cuts)]
+            mine += [(long, b, passes) for k, b in enumerate(order) if k < full or (r.source, long, b) in cuts]
         instances.append(sorted(mine, key=lambda x: (x[2], _mixed(seed, r.source, x[0], x[1], x[2]))))
         quotas.append(len(mine))
     counts = split_quotas(np.array(quotas, np.int64), shards, seed)
@@ -161,8 +164,7 @@ def mixing_plan(
         for place, (long, b, copy) in enumerate(instances[k]):
             shards_of.setdefault((long, b), []).append(int(np.searchsorted(ends_at, place, "right")))
         for (long, b), own in shards_of.items():
-            order, passes, full = chosen[r.source, long]
-            cut, extra = cuts.get((r.source, b), (None, None)) if not long and b not in order[:full] else (None, None)
+            cut, extra = cuts.get((r.source, long, b), (None, None))
             partial = cut is not None or extra is not None
             table.append((r.source, long, b, len(own) - partial, cut, extra, own))
     return sources, spark.createDataFrame(table, PLAN)
@@ -187,8 +189,8 @@ def _placed(rows: DataFrame, sources: DataFrame, seed: int) -> DataFrame:
     return joined.withColumn("long", long).withColumn("block", _block(F.col("key"), F.col("blocks"), seed))
 
 
-def _cuts(placed: DataFrame, ends: list[tuple]) -> dict:
-    """Where each source's target ends in its last block: (greatest key taken, one more key).
+def _cuts(placed: DataFrame, long: bool, ends: list[tuple]) -> dict:
+    """Where each source's target ends in its last block of the kind: (greatest key taken, one more key, words of all these).
 
     The block's documents are taken by key while they fit; then the one whose size is nearest to what is missing, if
     that brings the sum nearer. The block is one of up to MAX_BLOCKS of its source.
@@ -197,7 +199,7 @@ def _cuts(placed: DataFrame, ends: list[tuple]) -> dict:
         return {}
     spark = placed.sparkSession
     wanted = spark.createDataFrame(ends, "end_source string, end_block int, rest double")
-    here = placed.source.eqNullSafe(F.col("end_source")) & (placed.block == F.col("end_block")) & ~placed.long
+    here = placed.source.eqNullSafe(F.col("end_source")) & (placed.block == F.col("end_block")) & (placed.long == F.lit(long))
     last = placed.join(F.broadcast(wanted), here).groupBy("end_source", "end_block", "rest", "key").agg(F.sum("size").alias("size"))
     window = Window.partitionBy("end_source").orderBy("key")
     last = last.withColumn("sum", F.sum("size").over(window))
@@ -206,10 +208,15 @@ def _cuts(placed: DataFrame, ends: list[tuple]) -> dict:
     off = F.when((F.col("sum") > F.col("rest")) & (F.col("size") < 2 * missing), F.abs(F.col("size") - missing))
     found = last.groupBy("end_source", "end_block").agg(
         F.max(F.when(F.col("sum") <= F.col("rest"), F.col("key"))).alias("cut"),
-        F.min(F.when(off.isNotNull(), F.struct(off.alias("off"), F.col("key").alias("key")))).alias("extra"),
+        F.min(F.when(off.isNotNull(), F.struct(off.alias("off"), F.col("key").alias("key"), F.col("size").alias("size")))).alias("extra"),
+        F.coalesce(F.max("taken"), F.lit(0)).alias("taken"),
     )
-    rows = [(r.end_source, r.end_block, r.cut, r.extra.key if r.extra else None) for r in found.collect()]
-    return {(s, b): (cut, extra) for s, b, cut, extra in rows if cut is not None or extra is not None}
+    out = {}
+    for r in found.collect():
+        if r.cut is not None or r.extra:
+            extra = (r.extra.key, r.taken + r.extra.size) if r.extra else (None, r.taken)
+            out[r.end_source, r.end_block] = (r.cut, *extra)
+    return out
 
 
 def with_copies(rows: DataFrame, sources: DataFrame, plan: DataFrame, seed: int = 0) -> DataFrame:

@@ -55,6 +55,18 @@ def test_many_sources_and_a_hot_one(spark, documents):
     check(rows, documents(rows), 0.01)
 
 
+@pytest.mark.parametrize("fraction, words_taken", [(0.49, 113_400), (0.75, 213_400)])
+def test_long_documents_of_a_small_source(documents, fraction, words_taken):
+    """3 texts of 100,000 words and 67 of 200; the other source is so large that the target is a fraction of this one."""
+    rows = [(k, "w " * (100_000 if k < 3 else 200), "a") for k in range(70)]
+    rows += [(100 + k, "w " * 10_000, "b") for k in range(200)]
+    weight = fraction * 313_400 / (mixing.SHARE * 2_313_400)
+    rows_ = mixing.mix_report(documents(rows), weights=(weight, 1 - weight), shards=3).collect()
+    mine = [r for r in rows_ if r.doc_id < 70]
+    assert mine[0].target == pytest.approx(fraction * 313_400)
+    assert sum(r.taken for r in mine) == words_taken
+
+
 def test_repeated_documents_land_apart(spark, small):
     docs = small.selectExpr("doc_id", "text", "'x' as source", "lang", "n_chars")
     rows = mixing.mixed_documents(docs, shards=5)
