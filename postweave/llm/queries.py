@@ -14,6 +14,7 @@ from postweave.llm import (
     pitman_yor,
     quality,
     sharding,
+    spelling,
     token_files,
     transcripts,
     warc,
@@ -72,6 +73,10 @@ def op10_transcript_roles(spark: SparkSession, folder: str) -> DataFrame:
     return transcripts.role_report(table(spark, folder, "conversations"))
 
 
+def op12_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, folder, "documents"), noise=31)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_files": op1_token_files,
     "op2_feistel_shards": op2_feistel_shards,
@@ -83,6 +88,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_odd_sketches": op8_odd_sketches,
     "op9_benchmark_leaks": op9_benchmark_leaks,
     "op10_transcript_roles": op10_transcript_roles,
+    "op12_spelling_variants": op12_spelling_variants,
 }
 
 ORACLES: dict[str, str] = {"op7_line_rules": line_rules.LINE_REPORT_SQL}
