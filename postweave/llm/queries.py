@@ -5,17 +5,20 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from postweave.llm import (
     decontaminate,
     line_rules,
     mixing,
     odd_sketch,
+    phrases,
     pitman_yor,
     quality,
     sharding,
     spelling,
     token_files,
+    toxic_spans,
     transcripts,
     warc,
 )
@@ -73,10 +76,19 @@ def op10_transcript_roles(spark: SparkSession, folder: str) -> DataFrame:
     return transcripts.role_report(table(spark, folder, "conversations"))
 
 
+def op11_toxic_spans(spark: SparkSession, folder: str) -> DataFrame:
+    scores = toxic_spans.toxicity_scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
+    return scores.withColumn("n_spans", F.size("spans").cast("long")).drop("spans")
+
+
 def op12_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
     return spelling.spelling_variants(table(spark, folder, "documents"), noise=31)
 
 
+def op13_phrase_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return phrases.collocations(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_files": op1_token_files,
     "op2_feistel_shards": op2_feistel_shards,
@@ -88,7 +100,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_odd_sketches": op8_odd_sketches,
     "op9_benchmark_leaks": op9_benchmark_leaks,
     "op10_transcript_roles": op10_transcript_roles,
+    "op11_toxic_spans": op11_toxic_spans,
     "op12_spelling_variants": op12_spelling_variants,
+    "op13_phrase_collocations": op13_phrase_collocations,
 }
 
-ORACLES: dict[str, str] = {"op7_line_rules": line_rules.LINE_REPORT_SQL}
+ORACLES: dict[str, str] = {
+    "op7_line_rules": line_rules.LINE_REPORT_SQL,
+    "op13_phrase_collocations": phrases.COLLOCATIONS_SQL,
+}
