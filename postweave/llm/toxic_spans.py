@@ -36,6 +36,8 @@ RIDGE, TIE, STEPS, MEMORY, GAIN = 1.0, 5.0, 40, 8, 1e-3
 START = (-7.0, -7.0)
 GREATEST = 25.0
 LANE = 128
+# Bytes of text whose words are in memory at once, with all their features.
+SLAB = 1 << 19
 PARTS, SLICES = 16, 8
 FOLDS, HELD_OUT = 4, 2
 THRESHOLD, SPAN = 0.3, 0.5
@@ -219,7 +221,7 @@ def _stored_words(rows: DataFrame) -> DataFrame:
     """(slots, sizes, toxic, share), a row for each slab of texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slabs(batches):
+        for batch in slabs(batches, limit=SLAB):
             words = Words(batch.column("text"))
             blob = lambda x, kind: pa.array([np.ascontiguousarray(x, kind).tobytes()], pa.binary())
             flags = batch.column("toxic").to_numpy(zero_copy_only=False)
@@ -308,7 +310,7 @@ def toxic_spans(docs: DataFrame, field: Field, span: float = SPAN) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Field(held.value)
-        for batch in slabs(batches):
+        for batch in slabs(batches, limit=SLAB):
             words = Words(batch.column("text"))
             chance, score = model.marginals(words.slots, words.at)
             row = np.repeat(np.arange(batch.num_rows), np.diff(words.at))
