@@ -15,6 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -250,17 +251,38 @@ def _frequent(chunks: DataFrame, length: int, passed: Filter | None, buckets: in
     return found
 
 
-def _exact(chunks: DataFrame, passed: Filter, longest: int) -> DataFrame:
-    """(lang, phrase, length, f) of the phrases that pass the filter."""
+NAMES = ["lang", "length", "phrase"]
+
+
+def _added(tables: list[pa.Table]) -> pa.Table:
+    """Equal phrases of a language once, with the sum of their counts."""
+    return pa.concat_tables(tables).group_by(NAMES).aggregate([("f", "sum")]).select([*NAMES, "f_sum"]).rename_columns([*NAMES, "f"])
+
+
+def _as_bytes(table: pa.Table) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema) as out:
+        out.write_table(table)
+    return sink.getvalue().to_pybytes()
+
+
+def _in_buckets(table: pa.Table, buckets: int) -> Iterator[pa.RecordBatch]:
+    """A row for each bucket with its part of the counts, as a stream of columns."""
+    data, bounds = text_bytes(table.column("phrase"))
+    bucket = hash_spans(data, bounds[:-1], bounds[1:]) % np.uint64(buckets)
+    order = np.argsort(bucket, kind="stable")
+    found, first = np.unique(bucket[order], return_index=True)
+    ordered = table.take(pa.array(order))
+    parts = [_as_bytes(ordered.slice(a, b - a)) for a, b in zip(first, np.append(first[1:], len(order)))]
+    yield pa.RecordBatch.from_arrays([pa.array(found.astype(np.int32)), pa.array(parts, pa.binary())], names=["bucket", "counts"])
+
+
+def _exact(chunks: DataFrame, passed: Filter, longest: int, buckets: int, least: int) -> DataFrame:
+    """(lang, length, phrase, f) of the phrases that pass the filter and occur ``least`` times."""
     held = chunks.sparkSession.sparkContext.broadcast(passed)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["lang", "length", "phrase"]
         tables, size = [], 0
-
-        def added() -> pa.Table:
-            return pa.concat_tables(tables).group_by(names).aggregate([("f", "sum")]).select([*names, "f_sum"]).rename_columns([*names, "f"])
-
         for batch in slabs(batches, "chunk", SENT_BYTES // 4):
             c = Chunks(batch)
             langs = batch.column("lang")
@@ -269,20 +291,26 @@ def _exact(chunks: DataFrame, passed: Filter, longest: int) -> DataFrame:
                 at = at[held.value.has(c.hashes(length)[at])]
                 if not len(at):
                     continue
-                columns = [langs.take(pa.array(c.row[at])), pa.array(np.full(len(at), length, np.int32)), texts_of(c.data, c.starts[at], c.ends[at + length - 1]), pa.array(c.times[c.row[at]])]
-                tables.append(pa.table(columns, names=[*names, "f"]).group_by(names).aggregate([("f", "sum")]).select([*names, "f_sum"]).rename_columns([*names, "f"]))
+                texts, times = texts_of(c.data, c.starts[at], c.ends[at + length - 1]), pa.array(c.times[c.row[at]])
+                columns = [langs.take(pa.array(c.row[at])), pa.array(np.full(len(at), length, np.int32)), texts, times]
+                tables.append(_added([pa.table(columns, names=[*NAMES, "f"])]))
                 size += tables[-1].num_rows
             if size >= HELD_ROWS:
-                tables = [added()]
+                tables = [_added(tables)]
                 size = tables[0].num_rows
                 if size >= HELD_ROWS // 2:
-                    yield from tables[0].combine_chunks().to_batches()
+                    yield from _in_buckets(tables[0], buckets)
                     tables, size = [], 0
         if tables:
-            yield from added().combine_chunks().to_batches()
+            yield from _in_buckets(_added(tables), buckets)
+
+    def gather(group: pa.Table) -> pa.Table:
+        total = _added([pa.ipc.open_stream(part.as_py()).read_all() for part in group.column("counts")])
+        total = total.filter(pc.greater_equal(total.column("f"), least))
+        return total.select(["lang", "length", "phrase", "f"])
 
-    found = chunks.mapInArrow(count, "lang string, length int, phrase string, f long")
-    return found.groupBy("lang", "phrase", "length").agg(F.sum("f").alias("f"))
+    parts = chunks.mapInArrow(count, "bucket int, counts binary")
+    return parts.groupBy("bucket").applyInArrow(gather, "lang string, length int, phrase string, f long")
 
 
 def exact_score(a: str, n: str, l: str, r: str) -> Column:
@@ -312,8 +340,7 @@ def phrase_counts(docs: DataFrame, longest: int = LONGEST, least: int = LEAST, f
         found = _frequent(chunks, length, passed, buckets, least, filter_bits)
         bits |= found
         passed = Filter(found)
-    found = _exact(chunks, Filter(bits), longest).where(F.col("f") >= least)
-    return stored(found, "phrases"), totals
+    return stored(_exact(chunks, Filter(bits), longest, buckets, least), "phrases"), totals
 
 
 def collocations(
