@@ -1,11 +1,7 @@
-"""Value expressions: missing markers, numbers, dates, engagement and activity labels."""
+"""Value expressions: missing markers, numbers, engagement and activity labels."""
 
 from __future__ import annotations
 
-import re
-from collections.abc import Callable, Sequence
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,49 +12,6 @@ from postweave.functions.text import strip
 # How a number may be written. Spark's cast also takes Java suffixes such as ``1d``.
 NUMBER = r"(?i)^\s*[+-]?(\d+\.?\d*(e[+-]?\d+)?|\.\d+(e[+-]?\d+)?|inf|infinity)\s*$"
 
-# Date formats tried after the ISO forms, in this order (month before day).
-DATETIME_FORMATS = (
-    "yyyy/M/d",
-    "yyyy/M/d H:mm",
-    "yyyy/M/d H:mm:ss",
-    "yyyy.M.d",
-    "yyyy.M.d H:mm",
-    "yyyy.M.d H:mm:ss",
-    "M/d/yyyy",
-    "M/d/yyyy H:mm",
-    "M/d/yyyy H:mm:ss",
-    "M/d/yyyy h:mm a",
-    "M/d/yyyy h:mm:ss a",
-    "M.d.yyyy",
-    "M.d.yyyy H:mm",
-    "M.d.yyyy H:mm:ss",
-    "M-d-yyyy",
-    "M-d-yyyy H:mm",
-    "M-d-yyyy H:mm:ss",
-    "d-MMM-yyyy",
-    "yyyyMMdd",
-    "yyyyMMdd HHmmss",
-    "d MMM yyyy",
-    "d MMM yyyy H:mm",
-    "d MMM yyyy H:mm:ss",
-    "d MMMM yyyy",
-    "MMM d, yyyy",
-    "MMM d, yyyy h:mm a",
-    "MMMM d, yyyy",
-    "MMMM d, yyyy h:mm a",
-    "MMM d H:mm:ss yyyy",
-)
-
-# What may stand around a date without changing it: the weekday, zero offsets, the T of compact times.
-WEEKDAY = r"(?i)^(mon|tues?|wed(nes)?|thu(rs?)?|fri|sat(ur)?|sun)(day)?,?\s+"
-ZERO_OFFSET = r"(?i)\s+(gmt|utc|z|[+-]00:?00)(?=$|\s)"
-COMPACT = r"^(\d{8})T(\d{6})$"
-
-# The span of a 64-bit nanosecond clock around 1970; other times count as unparsed.
-MAX_EPOCH_SECONDS = 9223372036
-FIRST_TIME = "1677-09-21 00:12:44"
-LAST_TIME = "2262-04-11 23:47:16"
-
 
 def is_present(c: Column) -> Column:
     """A required value is there: not null and not one of the written forms of nothing."""
@@ -80,99 +33,6 @@ def to_count(c: Column, data_type: T.DataType) -> Column:
     return F.coalesce(F.nanvl(number, F.lit(0.0)), F.lit(0.0))
 
 
-def in_clock_range(c: Column) -> Column:
-    low, high = (F.lit(t).cast("timestamp_ntz") for t in (FIRST_TIME, LAST_TIME))
-    return F.when(c.between(low, high), c)
-
-
-def unquote(c: Column) -> Column:
-    """Date text without white space and surrounding quotes, first double, then single ones."""
-    return F.regexp_replace(F.regexp_replace(strip(c), '^"+|"+$', ""), "^'+|'+$", "")
-
-
-def day_first(formats: Sequence[str] = DATETIME_FORMATS) -> tuple[str, ...]:
-    """The same formats with day before month where both are numbers."""
-    return tuple(re.sub(r"^(M+)([/.-])(d+)(?=\2)", r"\3\2\1", f) if not f.startswith("MMM") else f for f in formats)
-
-
-def _bare_date(text: Column) -> Column:
-    """Date text without weekday and zero offset; other offsets stay, so such texts do not parse by format."""
-    bare = F.regexp_replace(F.regexp_replace(text, WEEKDAY, ""), ZERO_OFFSET, "")
-    return F.regexp_replace(bare, COMPACT, "$1 $2")
-
-
-def _by_run(date_format: str, field: Callable[[str, int], str], mark: Callable[[str], str]) -> str:
-    """A date format rewritten run by run: letter fields by ``field(letter, width)``, the rest by ``mark``."""
-
-    def part(run: re.Match) -> str:
-        return field(run.group()[0], len(run.group())) if run.group()[0].isalpha() else mark(run.group())
-
-    return re.sub(r"([A-Za-z])\1*|[^A-Za-z]+", part, date_format)
-
-
-def _is_name(letter: str, width: int) -> bool:
-    return letter in "Ea" or (letter in "ML" and width > 2)
-
-
-def _shape(date_format: str) -> str:
-    """Regular expression of the texts that a date format can match."""
-
-    def field(letter: str, width: int) -> str:
-        if letter == "a":
-            return "(?i:am|pm)"
-        if _is_name(letter, width):
-            return r"[^\W\d_]+\.?"
-        return rf"\d{{{width}}}" if width > 1 else r"\d{1,2}"
-
-    return f"^{_by_run(date_format, field, re.escape)}$"
-
-
-def _samples(date_format: str) -> list[str]:
-    """Texts of the shape of a date format, with short and with long single-letter numbers."""
-    return [
-        _by_run(date_format, lambda x, w, d=d: "AM" if x == "a" else "May" if _is_name(x, w) else "1" * max(w, d), str)
-        for d in (1, 2)
-    ]
-
-
-def _layers(formats: Sequence[str]) -> list[list[str]]:
-    """Formats grouped so that no text has the shape of two of a group; order kept between groups."""
-    layers: list[list[str]] = []
-    for new in formats:
-
-        def clashes(old: str, new: str = new) -> bool:
-            pairs = [(new, old), (old, new)]
-            return any(re.match(_shape(a), text) for a, b in pairs for text in _samples(b))
-
-        depth = max((i + 1 for i, layer in enumerate(layers) if any(map(clashes, layer))), default=0)
-        if depth == len(layers):
-            layers.append([])
-        layers[depth].append(new)
-    return layers
-
-
-def _parse_layer(text: Column, formats: Sequence[str]) -> Column:
-    # The shape picks the format, so a text is parsed at most once per layer: failed parses throw
-    # inside the JVM, and one parser per format would outgrow the generated code.
-    chosen = reduce(lambda c, f: c.when(text.rlike(_shape(f)), f), formats, F.when(F.lit(False), ""))
-    # Names of half-days and months parse in one spelling only.
-    spelled = F.regexp_replace(F.regexp_replace(text, "(?i)\\bam$", "AM"), "(?i)\\bpm$", "PM")
-    return F.try_to_timestamp(spelled, chosen).cast("timestamp_ntz")
-
-
-def parse_datetime(text: Column, formats: Sequence[str] = DATETIME_FORMATS) -> Column:
-    """Unquoted date text as time without zone, by ISO forms and then each declared format."""
-    bare = _bare_date(text)
-    return F.coalesce(text.try_cast("timestamp_ntz"), *(_parse_layer(bare, layer) for layer in _layers(formats)))
-
-
-def epoch_time(number: Column, per_second: int) -> Column:
-    """Seconds (``per_second=1``) or milliseconds (``1000``) since 1970 as time without zone."""
-    micros = F.round(number * F.lit(1_000_000 // per_second)).cast("long")
-    in_range = F.abs(number) <= F.lit(float(MAX_EPOCH_SECONDS * per_second))
-    return F.when(in_range, F.timestamp_micros(F.when(in_range, micros)).cast("timestamp_ntz"))
-
-
 def engagement_bin(c: Column) -> Column:
     """Label of the right-closed bin that holds the score; null outside all bins."""
     edges, labels = settings.ENGAGEMENT_EDGES, settings.ENGAGEMENT_LABELS

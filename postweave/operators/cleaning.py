@@ -11,18 +11,16 @@ from pyspark.sql import types as T
 
 from postweave import settings
 from postweave.functions.text import clean_text, has_text, strip, tokenize
-from postweave.functions.values import (
+from postweave.functions.dates import (
     DATETIME_FORMATS,
-    column_type,
+    EPOCH_UNITS,
     day_first,
     epoch_time,
     in_clock_range,
-    is_present,
-    parse_datetime,
-    parse_number,
-    to_count,
     unquote,
+    with_parsed_datetime,
 )
+from postweave.functions.values import column_type, is_present, parse_number, to_count
 
 # Column that holds the input order between the scan and the dedupe.
 ORDER = "scan_position"
@@ -141,21 +139,16 @@ def is_time(data_type: T.DataType) -> bool:
 READINGS = ("_by_format", "_by_second", "_by_milli")
 
 
-def with_time_readings(df: DataFrame, formats: Sequence[str] = DATETIME_FORMATS) -> DataFrame:
-    """Add the three readings of a textual datetime: by format, as seconds, as milliseconds.
-
-    The parsed values come out of an inline of one row, for the reason given at ``with_tokens``: a
-    filter on the result must not carry copies of the parser below the projection.
-    """
+def with_time_readings(
+    df: DataFrame, formats: Sequence[str] = DATETIME_FORMATS, units: tuple[str, str] = ("second", "milli")
+) -> DataFrame:
+    """Add the three readings of a textual datetime: by format, and as numbers of two units, seconds and milliseconds."""
     df = df.withColumn("_text", unquote(F.col("datetime").cast("string")))
-    parsed = F.struct(
-        parse_datetime(F.col("_text"), formats).alias("_parsed"), parse_number(F.col("_text")).alias("_number")
-    )
-    df = df.select("*", F.inline(F.array(parsed)))
+    df = with_parsed_datetime(df, "_text", "_parsed", formats).withColumn("_number", parse_number(F.col("_text")))
     readings = {
         "_by_format": in_clock_range(F.col("_parsed")),
-        "_by_second": epoch_time(F.col("_number"), 1),
-        "_by_milli": epoch_time(F.col("_number"), 1000),
+        "_by_second": epoch_time(F.col("_number"), units[0]),
+        "_by_milli": epoch_time(F.col("_number"), units[1]),
     }
     return df.withColumns(readings).drop("_text", "_parsed", "_number")
 
@@ -179,13 +172,15 @@ def parse_datetime_column(
 ) -> DataFrame:
     """Replace ``datetime`` by its parsed value, null where it does not parse.
 
-    ``reading`` is ``format``, ``second``, ``milli`` or ``auto``. ``auto`` decides by the whole
-    column: an aggregate over it, used as a scalar subquery. That reads the input twice, so name the
-    reading where it is known; a column that already holds times is only cast.
+    ``reading`` is ``format``, a unit of EPOCH_UNITS or ``auto``. ``auto`` decides by the whole
+    column between formats, seconds and milliseconds: an aggregate over it, used as a scalar subquery. That reads
+    the input twice, so name the reading where it is known; a column that already holds times is only cast.
     """
     if is_time(column_type(df, "datetime")):
         return df.withColumn("datetime", F.col("datetime").cast("timestamp_ntz"))
-    if reading not in ("auto", "format", "second", "milli"):
+    if reading in EPOCH_UNITS:
+        return df.withColumn("datetime", epoch_time(parse_number(unquote(F.col("datetime").cast("string"))), reading))
+    if reading not in ("auto", "format"):
         raise ValueError(f"unknown reading of datetime: {reading}")
     read = with_time_readings(df, day_first(formats) if dayfirst else formats)
     if reading == "auto":

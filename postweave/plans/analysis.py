@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postweave import settings
-from postweave.functions.values import DATETIME_FORMATS, day_first
+from postweave.functions.dates import DATETIME_FORMATS, EPOCH_UNITS, day_first
 from postweave.operators import activity, growth, sentiment, terms, tfidf, topics, users
 from postweave.operators.cleaning import (
     READINGS,
@@ -117,7 +117,9 @@ def stage_posts(raw: DataFrame, options: Options) -> DataFrame:
         min_length=options.min_token_length,
     )
     formats = day_first(options.formats) if options.dayfirst else options.formats
-    flagged = stage_flags(coerce_numeric(posts), formats, options.drop_empty)
+    # A unit that ``auto`` does not try takes the place of the seconds.
+    units = (options.reading, "milli") if options.reading in EPOCH_UNITS and options.reading != "milli" else ("second", "milli")
+    flagged = stage_flags(coerce_numeric(posts), formats, options.drop_empty, units)
     scored = sentiment.with_sentiment(
         flagged, options.positive_words, options.negative_words, options.positive_above, options.negative_below
     )
@@ -131,7 +133,7 @@ def clean_posts(raw: DataFrame, options: Options) -> tuple[DataFrame, dict]:
     tokenised or shuffled twice and a repeated task cannot count a row twice.
     """
     staged = stage_posts(raw, options)
-    counts = stage_counts(raw, staged, options.reading)
+    counts = stage_counts(raw, staged, "second" if options.reading in EPOCH_UNITS and options.reading != "milli" else options.reading)
     dated = staged.where("_has_words").withColumn("datetime", F.col(counts["reading"]))
     posts = dated.where(F.col("datetime").isNotNull()).drop(*STAGE_COLUMNS)
     posts = with_text_length(with_engagement(with_periods(posts)))

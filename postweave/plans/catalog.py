@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 
 from postweave import settings
 from postweave.functions.text import sanitize_label
+from postweave.functions.dates import EPOCH_UNITS
 from postweave.functions.values import engagement_bin, is_present
 from postweave.operators import activity, cleaning, growth, sentiment, terms, tfidf, topics, users
 from postweave.plans.analysis import Options, analyze_posts
@@ -191,6 +192,31 @@ SPELLINGS = (
 )
 
 
+def _with_offsets(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders with a time of day and an offset in one of four spellings, which does not move the time."""
+    o = table(spark, folder, "orders")
+    time = F.timestamp_seconds(F.unix_seconds(o.o_orderdate.cast("timestamp")) + o.o_orderkey * 7919 % 86_400)
+    kind = o.o_orderkey % 4
+    text = (
+        F.when(kind == 0, F.concat(F.date_format(time, "dd MMM yyyy HH:mm:ss"), F.lit(" +0300")))
+        .when(kind == 1, F.concat(F.date_format(time, "EEEE, d MMM yyyy H:mm:ss"), F.lit(" GMT-05:30")))
+        .when(kind == 2, F.concat(F.date_format(time, "EEE MMM dd HH:mm:ss "), F.lit("-0800 "), F.date_format(time, "yyyy")))
+        .otherwise(F.concat(F.date_format(time, "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+02:00")))
+    )
+    return o.select("o_orderkey", text.alias("datetime"))
+
+
+def _epoch_units(spark: SparkSession, folder: str) -> DataFrame:
+    """Events' times as texts of numbers, read back by unit; units above seconds keep whole ones only."""
+    e = table(spark, folder, "events").select("event_id", F.unix_micros(F.col("ts").cast("timestamp")).alias("micros"))
+    read = []
+    for unit, each in EPOCH_UNITS.items():
+        number = F.col("micros") * int(1 / each) if each < 1 else F.expr(f"micros div {int(each)}")
+        texts = e.select("event_id", F.lit(unit).alias("unit"), number.cast("string").alias("datetime"))
+        read.append(cleaning.parse_datetime_column(texts, unit))
+    return reduce(DataFrame.unionAll, read)
+
+
 def _spelled_dates(spark: SparkSession, folder: str) -> DataFrame:
     """Orders with a time of day, written in one of SPELLINGS by key; half of them in lower case."""
     o = table(spark, folder, "orders")
@@ -391,6 +417,8 @@ QUERIES: dict[str, Query] = {
     "parse_datetime": _untidy(lambda d: cleaning.parse_datetime_column(d).select("event_id", "datetime")),
     "parse_datetime_formats": lambda s, f: rounded(cleaning.parse_datetime_column(_spelled_dates(s, f), "format")),
     "parse_datetime_epoch": lambda s, f: rounded(cleaning.parse_datetime_column(_epoch_text(s, f))),
+    "parse_datetime_offsets": lambda s, f: rounded(cleaning.parse_datetime_column(_with_offsets(s, f), "format")),
+    "parse_datetime_units": lambda s, f: rounded(_epoch_units(s, f)),
     "filter_datetime": _untidy(
         lambda d: cleaning.filter_datetime(cleaning.parse_datetime_column(d, "format")).select("event_id", "datetime")
     ),

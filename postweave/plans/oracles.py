@@ -378,6 +378,11 @@ ORACLES: dict[str, str] = {
       (SELECT label FROM scored GROUP BY label ORDER BY count(*) DESC, label LIMIT 1) AS dominant_sentiment""",
     "parse_datetime_formats": f"""SELECT o_orderkey, strftime({_kept_part("t")}, '%Y-%m-%d %H:%M:%S.%g') AS datetime FROM (
       SELECT o_orderkey, CAST(o_orderdate AS TIMESTAMP) + to_seconds(o_orderkey * 7919 % 86400) AS t FROM orders)""",
+    "parse_datetime_offsets": """SELECT o_orderkey, strftime(CAST(o_orderdate AS TIMESTAMP) + to_seconds(o_orderkey * 7919 % 86400), '%Y-%m-%d %H:%M:%S.%g')
+      AS datetime FROM orders""",
+    "parse_datetime_units": """SELECT event_id, unit, strftime(make_timestamp(epoch_us(ts) // each * each), '%Y-%m-%d %H:%M:%S.%g') AS datetime
+      FROM events, (VALUES ('day', 86400000000), ('hour', 3600000000), ('minute', 60000000), ('second', 1000000), ('milli', 1000),
+        ('micro', 1), ('nano', 1)) units(unit, each)""",
     "tfidf_vectors": f"WITH {_VECTORS} SELECT post_id, term, round(w, 6) AS weight FROM vectors WHERE w > 0",
     "post_topics_of_given": f"""WITH {_VECTORS}, h AS (
         SELECT rank, CASE WHEN rank % 3 <> 1 THEN 1 / CAST(rank + 1 AS DOUBLE) ELSE 0 END AS h0,

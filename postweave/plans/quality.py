@@ -7,9 +7,9 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from postweave.functions.dates import DATETIME_FORMATS
 from postweave.functions.values import column_type
 from postweave.operators.cleaning import (
-    DATETIME_FORMATS,
     ORDER,
     READINGS,
     choose_reading,
@@ -38,10 +38,10 @@ METRICS = (
 )
 
 
-def stage_flags(df: DataFrame, formats=DATETIME_FORMATS, drop_empty: bool = True) -> DataFrame:
+def stage_flags(df: DataFrame, formats=DATETIME_FORMATS, drop_empty: bool = True, units=("second", "milli")) -> DataFrame:
     """Add the tests of all later stages as columns: raw text, tokens, readable dates.
 
-    Without ``drop_empty`` posts without words pass the second test, too.
+    ``units`` are those of the two readings of numbers as dates. Without ``drop_empty`` posts without words pass the second test, too.
     """
     df = fill_text(df)
     df = df.withColumn("_has_text", some_text(df)) if "_has_text" not in df.columns else df
@@ -51,7 +51,7 @@ def stage_flags(df: DataFrame, formats=DATETIME_FORMATS, drop_empty: bool = True
         nothing = F.lit(None).cast("timestamp_ntz")
         df = df.withColumns({"_by_format": present, "_by_second": nothing, "_by_milli": nothing})
     else:
-        df = with_time_readings(df, formats)
+        df = with_time_readings(df, formats, units)
     return df.withColumn("_has_words", F.col("_has_text") & (F.size("tokens") > (0 if drop_empty else -1)))
 
 

@@ -1,6 +1,7 @@
 """Text, numbers, dates, dedupe and the counts of the stages."""
 
 import datetime as dt
+import re
 import random
 
 import pytest
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 
 from postweave import settings
 from postweave.functions import text as X
+from postweave.functions import dates
 from postweave.functions import values as V
 from postweave.operators import cleaning
 from postweave.plans.analysis import Options, clean_posts
@@ -251,3 +253,64 @@ def test_day_first(spark):
     df = spark.createDataFrame([("05.01.2024",), ("5/1/2024 13:45",), ("13-01-2024",), ("2024/1/5",), ("Jan 5, 2024",)], "datetime string")
     found = [str(r.datetime) for r in cleaning.parse_datetime_column(df, "format", dayfirst=True).collect()]
     assert found == ["2024-01-05 00:00:00", "2024-01-05 13:45:00", "2024-01-13 00:00:00", "2024-01-05 00:00:00", "2024-01-05 00:00:00"]
+
+
+def written(moment, date_format):
+    """What a date format makes of a time, by its letters."""
+    month = moment.strftime("%B")
+    fields = {
+        "yyyy": f"{moment.year:04}", "M": str(moment.month), "MM": f"{moment.month:02}", "MMM": month[:3], "MMMM": month,
+        "d": str(moment.day), "dd": f"{moment.day:02}", "H": str(moment.hour), "HH": f"{moment.hour:02}", "mm": f"{moment.minute:02}",
+        "ss": f"{moment.second:02}", "h": str((moment.hour + 11) % 12 + 1), "a": "pm" if moment.hour > 11 else "AM",
+    }
+    return re.sub(r"([A-Za-z])\1*", lambda run: fields[run.group()], date_format)
+
+
+def test_every_declared_format_reads_what_it_writes(spark):
+    rng = random.Random(1)
+    cases = []
+    for date_format in dates.DATETIME_FORMATS:
+        for _ in range(25):
+            moment = dt.datetime(rng.randint(1700, 2200), rng.randint(1, 12), rng.randint(1, 28), rng.randint(0, 23), rng.randint(0, 59), rng.randint(0, 59))
+            kept = {"hour": moment.hour, "minute": moment.minute, "second": moment.second}
+            kept["second"] *= "s" in date_format
+            kept = {k: v * ("m" in date_format) for k, v in kept.items()}
+            cases.append((written(moment, date_format), moment.replace(**kept)))
+    assert parsed(spark, [text for text, _ in cases], "format") == [moment for _, moment in cases]
+
+
+@pytest.mark.parametrize("text", ["5/1/2024 3:4", "31/31/2024", "2024.02.30", "5 Jax 2024", "5 Januar 2024", "Jan 32, 2024", "1/5/2024 13:45 PM",
+                                  "1/5/2024 0:45 am", "1/5/2024 10:60", "1/5/2024 10:10:60", "1/5/24", "20241305", "1700000000", "am", "1/5/2024 pm", "٣/٥/2024", "\x01\x02"])
+def test_texts_that_are_no_dates(spark, text):
+    assert parsed(spark, [text], "format") == [None]
+
+
+def test_custom_formats(spark):
+    moment = dt.datetime(2024, 5, 7, 3, 4, 5)
+    assert parsed(spark, ["07.05.24 03h"], formats=["dd.MM.yy HH'h'".replace("'", "").replace("h", "~")]) == [None]
+    assert parsed(spark, ["07052024-030405"], formats=["ddMMyyyy-HHmmss"]) == [moment]
+    assert parsed(spark, ["07.05.24 3:04"], formats=["dd.MM.yy H:mm"]) == [moment.replace(second=0)]
+    assert parsed(spark, ["2024|5|7 03:04:05.250"], formats=["yyyy|M|d HH:mm:ss.SSS"]) == [moment.replace(microsecond=250000)]
+    assert parsed(spark, ["Tue|7|May|2024"], formats=["E|d|MMM|yyyy"]) == [dt.datetime(2024, 5, 7)]
+    with pytest.raises(ValueError):
+        parsed(spark, ["x"], formats=["yyyy-MM-dd XXX"])
+
+
+def test_offsets_leave_the_time_as_written(spark):
+    texts = ["12 Oct 2018 20:19:24 +0300", "Fri, 12 Oct 2018 20:19:24 GMT+03:00", "2018-10-12T20:19:24-05:00", "Fri Oct 12 20:19:24 -0800 2018"]
+    assert parsed(spark, texts, "format") == [dt.datetime(2018, 10, 12, 20, 19, 24)] * 4
+
+
+@pytest.mark.parametrize("unit, number", [("day", 19675), ("hour", 472222), ("minute", 28333333), ("micro", 1700000000123456), ("nano", 1700000000123456000)])
+def test_epoch_units(spark, unit, number):
+    expected = dt.datetime(1970, 1, 1) + dt.timedelta(microseconds=number * 10**6 * dates.EPOCH_UNITS[unit] / 10**6)
+    found = parsed(spark, [str(number), "x"], unit)
+    assert abs(found[0] - expected) <= dt.timedelta(microseconds=1) and found[1] is None
+
+
+def test_no_date_is_parsed_by_trial(spark):
+    """No format parser in the plan; each step is made once."""
+    df = spark.createDataFrame([("1",)], "datetime string")
+    plan = cleaning.filter_datetime(cleaning.parse_datetime_column(df, "format"))._jdf.queryExecution().executedPlan().toString().lower()
+    assert "gettimestamp" not in plan and "to_timestamp" not in plan
+    assert plan.count("split(") == 2
