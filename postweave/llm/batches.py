@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import os
+import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import SparkSession
 
 SLAB_BYTES = 2 << 20
 
@@ -114,3 +117,23 @@ def window_hashes(words: np.ndarray, width: int) -> np.ndarray:
     for k in range(width):
         total = (total + words[k : k + count]) * np.uint64(BASE)
     return mix(total)
+
+
+# Schemes that file libraries know, by those that Spark reads.
+SCHEMES = {"file": "file", "hdfs": "hdfs", "viewfs": "viewfs", "s3": "s3", "s3a": "s3", "s3n": "s3", "gs": "gs", "abfs": "abfs", "abfss": "abfss"}
+
+
+def file_uri(spark: SparkSession, folder: str) -> str:
+    """The folder as a URI under which tasks can write files by a file library what Spark reads there.
+
+    A folder without a scheme lies on Hadoop's default file system, as it does for Spark. Schemes that such libraries do not
+    know are refused here, before any task starts.
+    """
+    if not re.match("[A-Za-z][A-Za-z0-9+.-]*:", folder):
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        default = spark.sparkContext._jvm.org.apache.hadoop.fs.FileSystem.getDefaultUri(conf).toString().rstrip("/")
+        folder = ("file://" if default in ("file:", "") else default) + (folder if folder.startswith("/") else os.path.abspath(folder))
+    scheme, rest = folder.split(":", 1)
+    if scheme not in SCHEMES:
+        raise ValueError(f"files cannot be written to {scheme}: name a folder on one of {', '.join(sorted(SCHEMES))}")
+    return f"{SCHEMES[scheme]}://{re.sub('^//', '', rest)}"

@@ -124,12 +124,12 @@ def repeated_words(text: Column, window: int = WINDOW) -> Column:
     return let(F.transform(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)), lambda word: F.xxhash64(word)), of_words)
 
 
-def clean_lines(docs: DataFrame, text: str = "text") -> DataFrame:
-    """All columns of ``docs`` and one struct ``rules`` of the findings.
+def clean_lines(docs: DataFrame, text: str = "text", name: str = "rules") -> DataFrame:
+    """All columns of ``docs`` and one struct ``rules`` (or another ``name``) of the findings.
 
     Fields: n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, lost_chars, kept,
     clean_text (the lines that passed). A null text counts as empty: no words, not kept. Equal rows get
-    equal findings. If ``docs`` has a column ``rules``, the new one takes its place.
+    equal findings. If ``docs`` has a column of that name, the new one takes its place.
     """
     value = F.coalesce(F.col(text), F.lit(""))
 
@@ -152,7 +152,7 @@ def clean_lines(docs: DataFrame, text: str = "text") -> DataFrame:
         return x.withField("base_failed", base).withField("kept", ~base & ~lost)
 
     # Out of an explode of one element the findings are made once, however many filters and columns use them.
-    return docs.withColumn("rules", F.explode(F.array(let(let(judged_lines(value), findings), verdict))))
+    return docs.withColumn(name, F.explode(F.array(let(let(judged_lines(value), findings), verdict))))
 
 
 def line_report(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -164,9 +164,12 @@ def line_report(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
 
 def clean_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n_chars: str = "n_chars") -> DataFrame:
     """The documents that are kept, with the columns of ``docs``; their text is what passed, ``n_chars`` its length."""
-    rules = F.col("rules.clean_text")
+    name = "rules"
+    while name in docs.columns:
+        name += "_"
+    rules = F.col(f"{name}.clean_text")
     new = {text: rules} | ({n_chars: F.length(rules).cast(docs.schema[n_chars].dataType)} if n_chars in docs.columns else {})
-    return clean_lines(docs, text).where("rules.kept").select(*(new.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns))
+    return clean_lines(docs, text, name).where(f"{name}.kept").select(*(new.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns))
 
 
 def _sql_list(values) -> str:

@@ -169,10 +169,18 @@ def _confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, width: int,
     both = left.join(sets.select(F.col("node").alias("v"), F.col("shingles").alias("sv")), "v")
     shared = F.size(F.array_intersect("su", "sv"))
     counted = both.select("u", "v", shared.alias("shared"), (F.size("su") + F.size("sv")).alias("sizes"))
-    percent = round(100 * threshold)
+    percent = whole_percent(threshold)
     return counted.where(100 * F.col("shared") >= percent * (F.col("sizes") - F.col("shared"))).select("u", "v")
 
 
+def whole_percent(threshold: float) -> int:
+    """The threshold in whole percent, in which similarities are compared exactly; finer ones are refused."""
+    percent = round(100 * threshold)
+    if abs(100 * threshold - percent) > 1e-9:
+        raise ValueError(f"a threshold is in whole percent: {threshold}")
+    return percent
+
+
 def _first_pairs(nodes: DataFrame, members: DataFrame, most: int) -> DataFrame:
     """For each node the least node of a band group, of those that its sketch admits the one in most of its groups."""
     leaders = members.groupBy("band").agg(F.min("node").alias("leader"), F.count("*").alias("size")).where("size > 1")
@@ -220,7 +228,7 @@ def _second_links(nodes: DataFrame, links: DataFrame, docs: DataFrame, width: in
     some = stored(_dealt(members.select(columns)).mapInArrow(near, schema), "near-members")
     wanted = nodes.join(some.select("node").distinct(), "node", "left_semi").select("node", "doc_id")
     sets = stored(_node_sets(docs, wanted, width), "sets")
-    confirm = lambda batches: _each_group(batches, lambda group: _linked(group, most, round(100 * threshold)))
+    confirm = lambda batches: _each_group(batches, lambda group: _linked(group, most, whole_percent(threshold)))
     return _dealt(some.join(sets, "node")).mapInArrow(confirm, "u binary, v binary").distinct()
 
 

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from postweave.llm import pfor
-from postweave.llm.batches import SPACES, hash_spans, slabs, text_bytes
+from postweave.llm.batches import SPACES, file_uri, hash_spans, slabs, text_bytes
 from postweave.plans.storage import new_path, stored
 
 MAGIC = b"PFORIDS1"
@@ -53,12 +53,12 @@ class PieceEncoder:
     white space after a space are encoded whole. Pieces are looked up by two 64-bit hashes.
     """
 
-    def __init__(self, path: str, end: int = END_ID, memory: int = MEMORY):
+    def __init__(self, path: str, end: int = END_ID, memory: int = MEMORY, special_as_text: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = special_as_text
         names = sorted(self.tokenizer.get_vocab().items(), key=lambda item: item[1])
         self.token_bytes = np.array([len(name) for name, _ in names], np.int64)
         self.end, self.memory = end, memory
@@ -152,14 +152,14 @@ def _before_space(data: np.ndarray, spaces: np.ndarray) -> np.ndarray:
     return found
 
 
-_encoders: dict[tuple[str, int], PieceEncoder] = {}
+_encoders: dict[tuple[str, int, bool], PieceEncoder] = {}
 
 
-def _encoder(path: str, end: int) -> PieceEncoder:
+def _encoder(path: str, end: int, special_as_text: bool = False) -> PieceEncoder:
     """One encoder for each Python worker, which Spark uses again for later tasks."""
-    if (path, end) not in _encoders:
-        _encoders[path, end] = PieceEncoder(path, end)
-    return _encoders[path, end]
+    if (path, end, special_as_text) not in _encoders:
+        _encoders[path, end, special_as_text] = PieceEncoder(path, end, special_as_text=special_as_text)
+    return _encoders[path, end, special_as_text]
 
 
 class FileWriter:
@@ -256,15 +256,16 @@ def write_token_files(
     doc_id: str = "doc_id",
     text: str = "text",
     end_id: int = END_ID,
+    special_as_text: bool = False,
 ) -> DataFrame:
     """Encode every whole text and write the ids; the manifest (file, part, documents, ids).
 
+    A special token's name in a text is that token, as the tokenizer has it by default, or ordinary text on demand.
+
     Null and empty texts hold the end id only. Null ids come first; rows with equal ids are
     dealt by text too, so that one id with very many rows is spread. No rows: no files.
     """
-    folder = folder or new_path(docs.sparkSession, "tokens")
-    if "://" not in folder and not folder.startswith("file:"):
-        folder = f"file://{os.path.abspath(folder)}"
+    folder = file_uri(docs.sparkSession, folder or new_path(docs.sparkSession, "tokens"))
     narrow = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.xxhash64(text).alias("spread"))
     ordered = narrow.repartitionByRange("doc_id", "spread").sortWithinPartitions("doc_id", "spread")
 
@@ -273,7 +274,7 @@ def write_token_files(
 
         writer, path = None, None
         part = TaskContext.get().partitionId()
-        encoder = _encoder(tokenizer, end_id)
+        encoder = _encoder(tokenizer, end_id, special_as_text)
         for batch in slabs(batches):
             if writer is None:
                 path = f"{folder}/part-{part:06d}-{uuid.uuid4().hex}.pfor"

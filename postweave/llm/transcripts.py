@@ -134,13 +134,14 @@ def turns_of(text: str, chances: Chances) -> tuple[list[tuple[str, str]], list[s
 
 
 def rendered(turns: list[tuple[str, str]]) -> str:
-    """Canonical form; tags inside a text are escaped, so that ``read_rendered`` gets the turns back."""
-    return "".join(f"<|{role}|>\n{text.replace('<|', '<\\|')}\n<|end|>\n" for role, text in turns)
+    """Canonical form; tags and backslashes inside a text are escaped, so that ``read_rendered`` gets the turns back."""
+    escaped = lambda text: text.replace("\\", "\\\\").replace("<|", "<\\|")
+    return "".join(f"<|{role}|>\n{escaped(text)}\n<|end|>\n" for role, text in turns)
 
 
 def read_rendered(text: str) -> list[tuple[str, str]]:
     found = re.findall(r"<\|(\w+)\|>\n(.*?)\n<\|end\|>\n", text, re.S)
-    return [(role, part.replace("<\\|", "<|")) for role, part in found]
+    return [(role, re.sub(r"\\(.)", r"\1", part)) for role, part in found]
 
 
 def written_down(conversations: DataFrame, turns: int = TURNS, conv_id="conv_id", turn="turn", role="role", text="text") -> DataFrame:

@@ -14,19 +14,18 @@ from __future__ import annotations
 import base64
 import hashlib
 import html
-import os
 import re
 import uuid
 import zlib
 from collections.abc import Iterator
-from urllib.parse import urljoin
+from urllib.parse import quote, unquote, urljoin
 
 import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postweave.llm.batches import slabs
+from postweave.llm.batches import file_uri, slabs
 from postweave.plans.storage import new_path, stored
 
 VERSION = "WARC/1.1"
@@ -38,12 +37,14 @@ PAGE_ID = "X-Page-ID"
 
 Fields = list[tuple[str, str]]
 
-DROPPED = re.compile(r"<!--.*?-->|<(script|style|noscript|template|svg|iframe)\b[^>]*>.*?</\1\s*>|<!doctype[^>]*>", re.S | re.I)
-TITLE = re.compile(r"<title[^>]*>(.*?)</title\s*>", re.S | re.I)
-LANGUAGE = re.compile(r"<html[^>]*\blang\s*=\s*[\"']?([\w-]+)", re.I)
-LINK = re.compile(r"<a\b[^>]*?\bhref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
-BREAK = re.compile(r"</?(?:p|div|br|li|ul|ol|tr|table|h[1-6]|article|section|header|footer|nav|main|aside|blockquote|pre|head|body|title)\b[^>]*>", re.I)
-TAG = re.compile(r"<[^>]*>")
+# A tag ends before the next one begins, so that a page is scanned once even if its tags never end.
+OPENING = re.compile(r"<!--|<(script|style|noscript|template|svg|iframe)\b[^<>]*>|<!doctype[^<>]*>", re.I)
+CLOSING = {name: re.compile(rf"</{name}\s*>", re.I) for name in ("script", "style", "noscript", "template", "svg", "iframe")}
+TITLE, TITLE_END = re.compile(r"<title[^<>]*>", re.I), re.compile(r"</title\s*>", re.I)
+LANGUAGE = re.compile(r"<html[^<>]*?\blang\s*=\s*[\"']?([\w-]+)", re.I)
+LINK = re.compile(r"<a\b[^<>]*?\bhref\s*=\s*(?:\"([^\"<]*)\"|'([^'<]*)'|([^\s<>]+))", re.I)
+BREAK = re.compile(r"</?(?:p|div|br|li|ul|ol|tr|table|h[1-6]|article|section|header|footer|nav|main|aside|blockquote|pre|head|body|title)\b[^<>]*>", re.I)
+TAG = re.compile(r"<[^<>]*>")
 BLANKS = re.compile(r"[^\S\n]+")
 
 
@@ -63,7 +64,7 @@ def response(page_id, url: str | None, page: str | None) -> tuple[Fields, bytes]
     block = head.encode() + payload
     fields = [("WARC-Type", "response"), ("WARC-Record-ID", record_id("response", str(page_id), url, digest(payload))), ("WARC-Date", DATE)]
     fields += [("WARC-Target-URI", _one_line(url))] if url is not None else []
-    fields += [(PAGE_ID, str(page_id))] if page_id is not None else []
+    fields += [(PAGE_ID, quote(str(page_id), safe=""))] if page_id is not None else []
     fields += [("Content-Type", "application/http; msgtype=response"), ("WARC-Identified-Payload-Type", "text/html")]
     fields += [("WARC-Payload-Digest", digest(payload)), ("WARC-Block-Digest", digest(block)), ("Content-Length", str(len(block)))]
     return fields, block
@@ -79,19 +80,49 @@ def payload_of(block: bytes) -> tuple[bytes, bytes]:
     return head, body
 
 
+def without_hidden(page: str) -> str:
+    """The page with a blank for each comment, script, style and the like; one that never ends stays as it is."""
+    parts, at, endless = [], 0, set()
+    place = 0
+    while found := OPENING.search(page, place):
+        place = found.end()
+        name = (found[1] or "").lower()
+        stop = None
+        if found[0] == "<!--":
+            stop = page.find("-->", place) + 3 if "-->" not in endless else 2
+            if stop == 2:
+                endless.add("-->")
+                continue
+        elif name:
+            end = CLOSING[name].search(page, place) if name not in endless else None
+            if end is None:
+                endless.add(name)
+                continue
+            stop = end.end()
+        parts += [page[at : found.start()], " "]
+        at = place = stop or place
+    return "".join([*parts, page[at:]])
+
+
+def title_of(page: str) -> str | None:
+    first = TITLE.search(page)
+    last = first and TITLE_END.search(page, first.end())
+    return page[first.end() : last.start()] if last else None
+
+
 def plain_text(page: str) -> str:
     """Text of a page: no scripts, styles or comments; block elements begin lines; entities resolved."""
-    text = TAG.sub("", BREAK.sub("\n", DROPPED.sub(" ", page)))
+    text = TAG.sub("", BREAK.sub("\n", without_hidden(page)))
     lines = (BLANKS.sub(" ", line).strip() for line in html.unescape(text).split("\n"))
     return "\n".join(line for line in lines if line)
 
 
 def page_metadata(page: str, url: str | None) -> Fields:
     """Title, language and links in the order of the page."""
-    title, language = TITLE.search(page), LANGUAGE.search(page)
-    out = [("title", _one_line(html.unescape(TAG.sub("", title[1]))))] if title else []
+    title, language = title_of(page), LANGUAGE.search(page)
+    out = [("title", _one_line(html.unescape(TAG.sub("", title))))] if title is not None else []
     out += [("language", language[1].lower())] if language else []
-    for found in LINK.finditer(DROPPED.sub(" ", page)):
+    for found in LINK.finditer(without_hidden(page)):
         target = html.unescape(next(g for g in found.groups() if g is not None)).strip()
         try:
             target = urljoin(url or "", target)
@@ -101,8 +132,14 @@ def page_metadata(page: str, url: str | None) -> Fields:
     return out
 
 
+def http_fields(head: bytes) -> Fields:
+    """The fields of an HTTP head, each in one line, under names that tell them from those of the record."""
+    lines = head.decode("latin-1").split("\r\n")[1:]
+    return [(f"X-HTTP-{name.strip()}", _one_line(value)) for name, mark, value in (line.partition(":") for line in lines) if mark and name.strip()]
+
+
 def derivatives(fields: Fields, block: bytes) -> list[tuple[Fields, bytes]]:
-    """The metadata and the conversion record of a response record."""
+    """The metadata and the conversion record of a response record, both with the fields of its HTTP head."""
     source = dict(fields)
     head, body = payload_of(block)
     page, url = body.decode("utf-8", "replace"), source.get("WARC-Target-URI")
@@ -120,6 +157,7 @@ def derivatives(fields: Fields, block: bytes) -> list[tuple[Fields, bytes]]:
             ("WARC-Refers-To-Date", source["WARC-Date"]),
             ("WARC-Source-Payload-Digest", source["WARC-Payload-Digest"]),
             ("WARC-Source-Content-Type", source["WARC-Identified-Payload-Type"]),
+            *http_fields(head),
             ("Content-Type", content_type),
             ("WARC-Block-Digest", digest(data)),
             ("Content-Length", str(len(data))),
@@ -165,9 +203,7 @@ def read_records(path: str) -> Iterator[bytes]:
 
 def write_derivatives(pages: DataFrame, folder: str | None = None, page_id: str = "page_id", url: str = "url", page: str = "html") -> DataFrame:
     """Write both records of every page; the manifest (file, records). Pages stay with their input splits."""
-    folder = folder or new_path(pages.sparkSession, "derivatives")
-    if "://" not in folder and not folder.startswith("file:"):
-        folder = f"file://{os.path.abspath(folder)}"
+    folder = file_uri(pages.sparkSession, folder or new_path(pages.sparkSession, "derivatives"))
     plain = pages.select(F.col(page_id).alias("page_id"), F.col(url).alias("url"), F.col(page).alias("text"))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -213,6 +249,8 @@ def read_warc(manifest: DataFrame) -> DataFrame:
                 for record in read_records(path):
                     fields, block = parse(record)
                     named = dict(fields)
+                    if PAGE_ID in named:
+                        named[PAGE_ID] = unquote(named[PAGE_ID])
                     rows.append((*map(named.get, names), named["WARC-Block-Digest"], len(block), block))
                     size += len(block)
                     if size >= READ_BYTES:

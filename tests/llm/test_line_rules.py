@@ -60,3 +60,10 @@ def test_no_python_in_the_plan(spark, small, capsys):
     line_rules.line_report(small).explain()
     plan = capsys.readouterr().out
     assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
+
+
+def test_a_column_named_rules_stays(documents):
+    text = "This is a line of plain words that ends well, as it should in any text at all, with more than twenty words in it.\n" * 1
+    frame = documents([(1, text), (2, None)]).selectExpr("*", "'mine' as rules", "'too' as rules_")
+    rows = line_rules.clean_documents(frame).collect()
+    assert [(r.doc_id, r.rules, r["rules_"]) for r in rows] == [(1, "mine", "too")]

@@ -91,3 +91,9 @@ def test_components(spark):
             root[y] = x
     found = {int(bytes(r.node)): int(bytes(r.component)) for r in components(frame).collect()}
     assert found == {x: find(x) for x in root}
+
+
+def test_thresholds_in_whole_percent():
+    assert [odd_sketch.whole_percent(t) for t in (0.85, 0.29, 0.8, 1.0)] == [85, 29, 80, 100]
+    with pytest.raises(ValueError):
+        odd_sketch.whole_percent(0.855)

@@ -10,6 +10,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from postweave.llm import pfor, token_files
+from postweave.llm.batches import file_uri
 from postweave.llm.token_files import FileReader, PieceEncoder
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -22,9 +23,8 @@ def piece_encoder():
 
 @lru_cache(maxsize=1)
 def library():
-    tokenizer = Tokenizer.from_file(PATH)
-    tokenizer.encode_special_tokens = True
-    return tokenizer
+    """The plain library: a special token's name in a text is that token."""
+    return Tokenizer.from_file(PATH)
 
 
 def plain(texts, end=2):
@@ -103,3 +103,31 @@ def test_random_access(spark, documents, tmp_path):
         docs = reader.docs.to_pylist()
         for d in docs[::7]:
             assert reader.ids(d["first"], d["count"]).tolist() == ids[d["doc_id"]]
+
+
+@pytest.mark.parametrize("special_as_text", [False, True])
+def test_names_of_special_tokens(special_as_text):
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(PATH)
+    plain.encode_special_tokens = special_as_text
+    texts = ["<|endoftext|>", "a <|endoftext|> b", "a<|endoftext|>b c", "x  <|endoftext|>  y", "<|endoftext|> <|endoftext|>", "no <|end of|> it"]
+    ids, counts = PieceEncoder(PATH, special_as_text=special_as_text).encode(pa.array(texts))
+    expected = [e.ids + [2] for e in plain.encode_batch(texts, add_special_tokens=False)]
+    assert counts.tolist() == list(map(len, expected)) and ids.tolist() == sum(expected, [])
+
+
+def test_folders_of_tasks_are_those_of_spark(spark):
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    before = conf.get("fs.defaultFS")
+    try:
+        conf.set("fs.defaultFS", "hdfs://names:8020")
+        assert file_uri(spark, "/ckpt/a b") == "hdfs://names:8020/ckpt/a b"
+        conf.set("fs.defaultFS", "file:///")
+        assert file_uri(spark, "/ckpt/x") == "file:///ckpt/x"
+    finally:
+        conf.set("fs.defaultFS", before)
+    assert file_uri(spark, "file:/ckpt/x") == file_uri(spark, "file:///ckpt/x") == "file:///ckpt/x"
+    assert file_uri(spark, "s3a://bucket/x") == "s3://bucket/x"
+    with pytest.raises(ValueError):
+        file_uri(spark, "wasb://c/x")

@@ -85,3 +85,9 @@ def test_awkward_rows(spark):
     chances = tr.fit(tr.written_down(frame))
     parsed = tr.parse_transcripts(spark.createDataFrame([(None, 1), ("", 2), ("hi", 3)], "text string, turns int"), chances).collect()
     assert [len(r.turns) for r in parsed] == [0, 0, 1]
+
+
+@pytest.mark.parametrize("text", ["a <\\| b", "a <| b", "\\", "\\\\|", "<|end|>\n<|user|>", "x\\\ny", "", "<\\\\|"])
+def test_rendering_is_undone(text):
+    turns = [("user", text), ("assistant", text + " b")]
+    assert tr.read_rendered(tr.rendered(turns)) == turns

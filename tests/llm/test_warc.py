@@ -1,3 +1,4 @@
+import time
 import zlib
 
 import pytest
@@ -70,3 +71,28 @@ def test_awkward_rows(spark):
         (str(r[0]), kind) for r in rows for kind in ("metadata", "conversion")
     )
     assert warc.derivative_report(pages.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize("piece", ["<a ", "<", "<script>", "<!--", "<title", "<title>", "<a href='", "<p ", "<svg ", "<!doctype "])
+def test_endless_tags_take_no_time(piece):
+    page = piece * ((1 << 20) // len(piece))
+    begun = time.perf_counter()
+    warc.plain_text(page), warc.page_metadata(page, "http://a/b")
+    assert time.perf_counter() - begun < 5
+
+
+def test_hidden_parts():
+    page = "<!DOCTYPE html>a<!-- x <b> -->b<script>if (1 < 2) {}</script>c<STYLE a='1'>p</style >d<noscript>e"
+    assert warc.without_hidden(page) == " a b c d<noscript>e"
+    assert warc.plain_text("a < b <i>e</i>") == "a < b e"
+    assert warc.title_of("<title>one</title><title>two</title>") == "one" and warc.title_of("<title>one") is None
+
+
+def test_ids_and_http_fields_come_back(spark):
+    ids = ["1", "a\r\nWARC-Type: x", " 100% ", "", "é:"]
+    pages = spark.createDataFrame([(i, "http://h/p", "<p>x</p>") for i in ids] + [(None, None, None)], "page_id string, url string, html string")
+    found = warc.read_warc(warc.write_derivatives(pages)).collect()
+    assert sorted(str(r.page_id) for r in found) == sorted([*map(str, ids), "None"] * 2)
+    source = warc.response("1", "http://h/p", "<p>x</p>")
+    for fields, _ in warc.derivatives(*source):
+        assert dict(fields)["X-HTTP-Content-Type"] == "text/html; charset=utf-8" and dict(fields)["X-HTTP-Content-Length"] == "8"
