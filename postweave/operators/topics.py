@@ -18,8 +18,6 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.mllib.linalg.distributed import RowMatrix
-from pyspark.mllib.util import MLUtils
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -58,6 +56,11 @@ def nonnegative_solve(gram: np.ndarray, target: np.ndarray, rounds: int = ROUNDS
     return result
 
 
+# Directions beyond those asked for and passes of the range finder; scale on which residuals are told.
+EXTRA_DIRECTIONS, RANGE_ROUNDS = 10, 8
+RESIDUAL_SCALE = 10.0 ** np.arange(-15, 4)
+
+
 class _Block:
     """The sparse rows of one Arrow batch."""
 
@@ -139,28 +142,42 @@ def topic_vectors(posts: DataFrame, space: TfidfSpace) -> DataFrame:
     return stored(space.vectors(posts, *keep), "topic-vectors")
 
 
-def inner_products(vectors: DataFrame) -> np.ndarray:
-    """X'X: vocabulary by vocabulary, added up in a tree on the cluster.
+def leading_directions(vectors: DataFrame, size: int, k: int, extra: int = EXTRA_DIRECTIONS, rounds: int = RANGE_ROUNDS) -> tuple[np.ndarray, np.ndarray]:
+    """The first ``k`` singular values and right singular vectors of X, by a randomised range finder.
 
-    Each task holds a partial sum of a fixed size (9 MB for 1500 words), so their number is kept to
-    a few per core, however many splits the table has.
+    Seeded random directions, some more than asked for, are multiplied by X'X in a few passes and made orthogonal in
+    between; X'X itself is never formed. A pass sums vocabulary x (k + extra) numbers.
     """
-    tasks = 4 * vectors.sparkSession.sparkContext.defaultParallelism
-    old_style = MLUtils.convertVectorColumnsFromML(vectors.select("features").coalesce(tasks), "features")
-    return RowMatrix(old_style).computeGramianMatrix().toArray()
+    width = min(size, k + extra)
+    directions = np.random.default_rng(settings.SEED).standard_normal((size, width))
+    for _ in range(rounds):
+        directions = np.linalg.qr(directions)[0]
+
+        def multiplied(block: _Block, directions: np.ndarray = directions) -> np.ndarray:
+            return block.pulled(block.times(directions), size).ravel()
+
+        image = _summed(vectors, multiplied, width * size).reshape(width, size).T
+        before, directions = directions, image
+    small = before.T @ image
+    values, turns = np.linalg.eigh((small + small.T) / 2)
+    top = np.argsort(values)[::-1][:k]
+    right = before @ turns[:, top]
+    # One sign for each vector, so that equal inputs give equal starts.
+    right *= np.where(right[np.abs(right).argmax(axis=0), np.arange(len(top))] < 0, -1.0, 1.0)
+    return np.sqrt(np.maximum(values[top], 0.0)), right
 
 
-def start_weights(vectors: DataFrame, gram: np.ndarray, k: int, documents: int) -> np.ndarray:
+def squared_length(vectors: DataFrame) -> float:
+    """The sum of the squares of all weights."""
+    return float(_summed(vectors, lambda block: np.array([(block.weights**2).sum()]), 1)[0])
+
+
+def start_weights(vectors: DataFrame, size: int, k: int, documents: int) -> np.ndarray:
     """NNDSVD start for H, zeros filled with the mean of X.
 
-    The right singular vectors come from X'X (vocabulary by vocabulary). The left ones are never
-    formed: one pass sums the squares of their positive and negative parts.
+    The left singular vectors are never formed: one pass sums the squares of their positive and negative parts.
     """
-    size = gram.shape[0]
-    values, basis = np.linalg.eigh(gram)
-    top = np.argsort(values)[::-1][:k]
-    singular = np.sqrt(np.maximum(values[top], 0.0))
-    right = basis[:, top]
+    singular, right = leading_directions(vectors, size, k)
 
     def sides(block: _Block) -> np.ndarray:
         left = block.times(right)
@@ -196,9 +213,8 @@ def fit_topics(
     """Factorise the stored vectors until the projected gradient is at most ``tol`` of the first one."""
     size = len(space.vocabulary)
     k = max(1, min(k, space.documents, size))
-    gram = inner_products(vectors)
-    h = start_weights(vectors, gram, k, space.documents)
-    squares = float(np.trace(gram))
+    h = start_weights(vectors, size, k, space.documents)
+    squares = squared_length(vectors)
     objective: list[float] = []
     first = None
     for _ in range(max_iter):
@@ -220,6 +236,45 @@ def fit_topics(
     return TopicModel(space, h, tuple(objective))
 
 
+@dataclass(frozen=True)
+class TopicCertificate:
+    """How far a model is from the conditions that a minimum fulfils.
+
+    ``gradient`` is the norm of the projected gradient of H by that of the start. ``row_residual`` is the greatest violation
+    of the conditions of a post's weights w >= 0: no positive weight has a slope, no zero one a falling slope.
+    """
+
+    posts: int
+    gradient: float
+    row_residual: float
+
+
+def topic_certificate(vectors: DataFrame, model: TopicModel) -> TopicCertificate:
+    """Check a fitted model by one pass over the stored vectors for its weights and one for those of the start."""
+    size, k = len(model.space.vocabulary), model.topics
+
+    def sums(block: _Block, h: np.ndarray) -> np.ndarray:
+        target, hh = block.times(h.T), h @ h.T
+        w = nonnegative_solve(hh, target)
+        slope = w @ hh - target
+        worst = np.abs(np.where(w > 0, slope, np.minimum(slope, 0.0))).max(initial=0.0)
+        # The greatest of all batches comes out of sums of flags on a scale of powers of ten.
+        reached = worst > RESIDUAL_SCALE
+        return np.concatenate([(w.T @ w).ravel(), block.pulled(w, size).ravel(), reached.astype(np.float64), [block.rows]])
+
+    def checked(h: np.ndarray) -> tuple[float, np.ndarray, int]:
+        flat = _summed(vectors, lambda block: sums(block, h), k * k + k * size + len(RESIDUAL_SCALE) + 1)
+        ww, wx = flat[: k * k].reshape(k, k), flat[k * k : k * k + k * size].reshape(k, size)
+        gradient = ww @ h - wx
+        steepness = float(np.linalg.norm(np.where(h > 0, gradient, np.minimum(gradient, 0.0))))
+        return steepness, flat[k * k + k * size : -1], int(flat[-1])
+
+    start, _, _ = checked(start_weights(vectors, size, k, model.space.documents))
+    steepness, reached, posts = checked(model.weights)
+    residual = float(RESIDUAL_SCALE[reached > 0].max(initial=0.0)) * 10
+    return TopicCertificate(posts, steepness / start if start else 0.0, residual)
+
+
 def assign_topics(vectors: DataFrame, model: TopicModel) -> DataFrame:
     """post_topics: the strongest topic of each post (lowest id on a tie), its label and weight."""
     h, hh, labels = model.weights, model.weights @ model.weights.T, model.labels()

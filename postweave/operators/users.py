@@ -206,7 +206,34 @@ def fit_centers(scaled: DataFrame, k: int, starts: int, seed: int, max_iter: int
         moving = moving[shift > tol]
         if not len(moving):
             break
-    return centers[np.lexsort((np.arange(starts), np.round(costs, 9)))[0]]
+    best = centers[np.lexsort((np.arange(starts), np.round(costs, 9)))[0]]
+    # Until no user changes center, so that each center is the mean of its users.
+    for _ in range(max_iter):
+        moved = _move_centers(scaled, best[None])[0][0]
+        if np.allclose(moved, best, rtol=0, atol=1e-12):
+            break
+        best = moved
+    return best
+
+
+def segment_certificate(features: DataFrame, segments: DataFrame, slack: float = 1e-6) -> DataFrame:
+    """One row that tells whether segments are a fixed point of k-means: users, segments, not_nearest, out_of_order.
+
+    ``not_nearest`` counts users whose squared distance to the mean of another segment is less, by more than ``slack``, than to
+    that of their own, in standard deviations. ``out_of_order`` counts segments with a smaller mean total_engagement
+    than the one before. The means are read from the segments alone, whoever made them.
+    """
+    placed = scaled_features(features).join(segments.select("user_id", "segment_id"), "user_id")
+    means = placed.groupBy("segment_id").agg(*(F.avg(c).alias(c) for c in FEATURES)).orderBy("segment_id").collect()
+    apart = [sum((F.pow(F.col(c) - m[c], 2) for c in FEATURES[1:]), F.pow(F.col(FEATURES[0]) - m[FEATURES[0]], 2)) for m in means]
+    own = F.get(F.array(*apart), F.array_position(F.array(*(F.lit(m.segment_id) for m in means)), F.col("segment_id")).cast("int") - 1)
+    falls = sum(b.total_engagement < a.total_engagement - slack for a, b in zip(means, means[1:]))
+    return placed.agg(
+        F.count("*").alias("users"),
+        F.lit(len(means)).cast("long").alias("segments"),
+        F.count(F.when(own - F.array_min(F.array(*apart)) > slack, 1)).alias("not_nearest"),
+        F.lit(falls).cast("long").alias("out_of_order"),
+    )
 
 
 def assign_segments(scaled: DataFrame, centers: np.ndarray, keep: str = "user_id") -> DataFrame:

@@ -184,6 +184,20 @@ def _topic_objective(spark: SparkSession, folder: str) -> DataFrame:
     return spark.createDataFrame(list(enumerate(model.objective, 1)), "pass int, objective double")
 
 
+def _topic_certificate(spark: SparkSession, folder: str) -> DataFrame:
+    """Whether the fitted topics fulfil the conditions of a minimum: bounds that the fit aims at are passed or not."""
+    model = _topic_frames(spark, folder)[1]
+    posts = stored(token_posts(spark, folder).select("post_id", "month", "tokens"), "posts")
+    found = topics.topic_certificate(topics.topic_vectors(posts, model.space), model)
+    row = (found.posts, model.topics, int(found.gradient > settings.TOPIC_TOLERANCE * 1.01), int(found.row_residual > 1e-6))
+    return spark.createDataFrame([row], "posts long, topics int, steep int, rows_off int")
+
+
+def _segment_certificate(spark: SparkSession, folder: str) -> DataFrame:
+    features = stored(_features(spark, folder), "features")
+    return users.segment_certificate(features, stored(users.segment_users(features), "segments"))
+
+
 # Spellings in which ``parse_datetime_formats`` writes dates: weekday, half-day and offset names come on top of formats.
 SPELLINGS = (
     "M/d/yyyy", "M/d/yyyy H:mm", "M/d/yyyy h:mm a", "MM/dd/yyyy hh:mm:ss a", "MM.dd.yyyy", "yyyy.MM.dd", "yyyy/M/d",
@@ -480,6 +494,8 @@ QUERIES: dict[str, Query] = {
     ),
     # topics
     "topic_model": _topic_objective,
+    "topic_certificate": _topic_certificate,
+    "segment_certificate": _segment_certificate,
     "topic_terms": _topic_query("topic_terms"),
     "post_topics": _topic_query("post_topics"),
     "topic_summary": _topic_query("topic_summary"),

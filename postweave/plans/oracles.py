@@ -394,6 +394,9 @@ ORACLES: dict[str, str] = {
       w AS (SELECT post_id, CASE WHEN x >= 0 AND y >= 0 THEN x WHEN t0 * t0 / a >= t1 * t1 / c THEN t0 / a ELSE 0 END AS w0,
         CASE WHEN x >= 0 AND y >= 0 THEN y WHEN t0 * t0 / a >= t1 * t1 / c THEN 0 ELSE t1 / c END AS w1 FROM free)
       SELECT post_id, CAST(CASE WHEN w1 > w0 THEN 1 ELSE 0 END AS INTEGER) AS topic_id, round(greatest(w0, w1), 6) AS topic_weight FROM w""",
+    "topic_certificate": f"WITH {_VECTORS} SELECT count(*) AS posts, 5 AS topics, 0 AS steep, 0 AS rows_off FROM docs",
+    "segment_certificate": f"""WITH {_FEATURES} SELECT count(*) AS users, CAST(3 AS BIGINT) AS segments, CAST(0 AS BIGINT) AS not_nearest,
+      CAST(0 AS BIGINT) AS out_of_order FROM features""",
     "user_segment_labels": f"WITH {_FEATURES} SELECT {_ROUNDED_FEATURES}, segment_label FROM labelled",
     "segment_assignment_of_given": f"""WITH {_FEATURES}, z AS (SELECT user_id, {", ".join(
         f"coalesce(({c} - avg({c}) OVER ()) / nullif(stddev_pop({c}) OVER (), 0), 0) AS {c}" for c in _SEGMENTED)} FROM features),

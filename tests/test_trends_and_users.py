@@ -395,3 +395,56 @@ def test_sinks(spark, result, tmp_path):
 def test_stored_reads_what_was_written(spark):
     df = stored(spark.range(5).withColumn("x", F.array(F.col("id"))), "numbers")
     assert df.count() == 5 and "Range" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_certificate_of_segments(spark):
+    df = spark.range(300).select(
+        F.col("id").cast("string").alias("user_id"), *((F.hash("id", F.lit(c)) % 40 + 40).cast("double").alias(c) for c in users.FEATURES)
+    )
+    segments = users.segment_users(df)
+    assert tuple(users.segment_certificate(df, segments).first()) == (300, 3, 0, 0)
+    moved = segments.withColumn("segment_id", F.when(F.col("user_id") == "7", (F.col("segment_id") + 1) % 3).otherwise(F.col("segment_id")))
+    found = users.segment_certificate(df, moved).first()
+    assert found.not_nearest >= 1
+    turned = segments.withColumn("segment_id", 2 - F.col("segment_id"))
+    assert users.segment_certificate(df, turned).first().out_of_order >= 1
+
+
+def some_vectors(spark, rows=60, size=40):
+    rng = np.random.default_rng(11)
+    texts = [[f"w{k:02}" for k in rng.integers(size // 4 * (r % 4), size // 4 * (r % 4) + size // 2, 12) % size] for r in range(rows)]
+    df = spark.createDataFrame([(str(i), t) for i, t in enumerate(texts)], "post_id string, tokens array<string>")
+    space = tfidf.fit_tfidf(df, 1000)
+    vectors = topics.topic_vectors(df, space)
+    x = np.zeros((rows, len(space.vocabulary)))
+    for r in vectors.collect():
+        x[int(r.post_id)] = r.features.toArray()
+    return vectors, space, x
+
+
+def test_leading_directions_are_those_of_dense_algebra(spark):
+    vectors, space, x = some_vectors(spark)
+    values, right = topics.leading_directions(vectors, x.shape[1], 4)
+    u, s, vt = np.linalg.svd(x, full_matrices=False)
+    assert np.allclose(values, s[:4], rtol=1e-3)
+    assert np.allclose(np.abs((right * vt[:4].T).sum(axis=0)), 1, atol=2e-2)
+    assert topics.squared_length(vectors) == pytest.approx((x**2).sum())
+
+
+def test_certificate_of_topics(spark):
+    vectors, space, x = some_vectors(spark)
+    model = topics.fit_topics(vectors, space, 4)
+    found = topics.topic_certificate(vectors, model)
+    assert found.posts == 60 and found.gradient <= 1.01e-4 and found.row_residual < 1e-6
+    other = topics.TopicModel(space, model.weights + 0.05, ())
+    assert topics.topic_certificate(vectors, other).gradient > 0.01
+
+
+def test_a_vocabulary_of_tens_of_thousands(spark):
+    """No matrix of vocabulary by vocabulary: 40,000 words would take 12.8 GB."""
+    df = spark.range(0, 3000, 1, 2).select(F.col("id").cast("string").alias("post_id"), F.expr("transform(sequence(0, 39), k -> concat('w', cast((id * 13 + k * 997 * (id % 7 + 1)) % 40000 AS string)))").alias("tokens"))
+    space = tfidf.fit_tfidf(df, 40_000)
+    assert len(space.vocabulary) > 20_000
+    vectors = topics.topic_vectors(df, space)
+    model = topics.fit_topics(vectors, space, 3, max_iter=2)
+    assert model.weights.shape == (3, len(space.vocabulary))
