@@ -20,6 +20,7 @@ from postweave import settings
 from postweave.functions.text import sanitize_label
 from postweave.functions.dates import EPOCH_UNITS
 from postweave.functions.values import engagement_bin, is_present
+from postweave.operators.cleaning import ORDER
 from postweave.operators import activity, cleaning, growth, sentiment, terms, tfidf, topics, users
 from postweave.plans.analysis import Options, analyze_posts
 from postweave.plans.quality import quality_counts, quality_report
@@ -135,6 +136,14 @@ def _csv_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     return scan_csv(spark, path)
 
 
+def _multi_line_round_trip(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents as CSV whose texts hold line breaks, quotes and separators, read back in splits."""
+    path = new_path(spark, "documents") + ".csv"
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang", "source", "n_chars")
+    docs.write.csv(path, header=True, sep=",", quote='"', escape='"')
+    return scan_csv(spark, path, ",", "utf-8", multi_line=True, in_splits=True).drop(ORDER)
+
+
 def _json_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     path = new_path(spark, "conversations") + ".json"
     table(spark, folder, "conversations").write.json(path)
@@ -395,6 +404,7 @@ def _fields(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     # readers and stored tables
     "scan_csv": _csv_round_trip,
+    "scan_csv_multi_line": _multi_line_round_trip,
     "scan_json": _json_round_trip,
     "limit_rows": lambda s, f: limit_rows(
         table(s, f, "documents").select("doc_id", "lang", "source", "n_chars").orderBy("doc_id"), 5000

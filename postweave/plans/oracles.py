@@ -251,6 +251,7 @@ _TABLE_ROWS = {
 
 ORACLES: dict[str, str] = {
     "scan_csv": "SELECT CAST(doc_id AS VARCHAR) AS doc_id, text, lang, source, CAST(n_chars AS VARCHAR) AS n_chars FROM documents",
+    "scan_csv_multi_line": "SELECT CAST(doc_id AS VARCHAR) AS doc_id, text, lang, source, CAST(n_chars AS VARCHAR) AS n_chars FROM documents",
     "scan_json": "SELECT CAST(conv_id AS VARCHAR) AS conv_id, CAST(turn AS VARCHAR) AS turn, role, text FROM conversations",
     "limit_rows": "SELECT doc_id, lang, source, n_chars FROM documents ORDER BY doc_id LIMIT 5000",
     "load_dataset": """SELECT doc_id AS post_id, lang AS company, n_chars AS likes_count, text, source, '' AS title,

@@ -14,6 +14,8 @@ from postweave import settings
 from postweave.operators.cleaning import ORDER, with_input_order
 from postweave.plans.storage import stored
 from postweave.sources.columns import ColumnMatch, fill_optional, map_columns
+from postweave.sources.records import scan_multi_line
+
 
 @dataclass(frozen=True)
 class CsvLayout:
@@ -110,8 +112,13 @@ def scan_csv(
     separator: str | None = None,
     encoding: str | None = None,
     multi_line: bool | None = None,
+    in_splits: bool = False,
 ) -> DataFrame:
-    """Delimited text with a header; every column as text. Options left out are found by inspection."""
+    """Delimited text with a header; every column as text. Options left out are found by inspection.
+
+    Files whose quoted fields hold line breaks are read whole by one task each, or, ``in_splits``, by as many as others; the frame
+    then has the place of each record, too (see ``scan_multi_line``).
+    """
     if separator is None or encoding is None or multi_line is None:
         layout = inspect_csv(spark, path)
         separator = layout.separator if separator is None else separator
@@ -120,6 +127,8 @@ def scan_csv(
     java = _java_name(encoding)
     if java.startswith("windows") and spark.conf.get("spark.sql.legacy.javaCharsets") != "true":
         raise ValueError(f"set spark.sql.legacy.javaCharsets to true on the session to read {encoding}")
+    if multi_line and in_splits:
+        return scan_multi_line(spark, path, separator, java)
     return spark.read.csv(
         path, header=True, sep=separator, encoding=java, quote='"', escape='"', multiLine=multi_line
     )
@@ -204,6 +213,8 @@ def load_dataset(
     With ``snapshots`` the raw and the mapped table are also written there. A row limit is stored
     too, as finding the first rows reads all files. ``keep_order`` adds the place of each row in the files, for the dedupe.
     """
+    if (options.get("file_format") or path.rstrip("/").rpartition(".")[2]).lower() == "csv":
+        options.setdefault("in_splits", True)
     raw = read_posts(spark, path, None, **options)
     if keep_order or n_rows is not None:
         raw = with_input_order(raw)
