@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from postweave import settings
-from postweave.functions.text import clean_text, has_text, strip, tokenize
 from postweave.functions.dates import (
     DATETIME_FORMATS,
     EPOCH_UNITS,
@@ -20,10 +19,14 @@ from postweave.functions.dates import (
     unquote,
     with_parsed_datetime,
 )
+from postweave.functions.text import clean_text, has_text, strip, tokenize
 from postweave.functions.values import column_type, is_present, parse_number, to_count
+from postweave.plans.storage import stored
 
 # Column that holds the input order between the scan and the dedupe.
 ORDER = "scan_position"
+# Keys with copies, and characters of them and their files, that may be sent to all tasks.
+LATE_KEYS, LATE_CHARS = 500_000, 128 << 20
 
 
 def required_present() -> Column:
@@ -44,30 +47,63 @@ def with_input_order(df: DataFrame, order_by: Sequence[str] | None = None) -> Da
     """Add the input order: the given columns, or the position in the files. Nulls come last.
 
     Without columns the frame must be a scan of files, projected or filtered only: rows are ordered by file
-    path, place of the split in the file and place in the split, so it does not matter which
-    task reads a split. For other frames there is no order to guess, and an error is raised.
+    path and row in the file where the format tells it, else by place of the split in the file and place in the split,
+    so it does not matter which task reads a split. For other frames there is no order to guess, and an error is raised.
     """
     if ORDER in df.columns:
         return df
     if order_by:
         return df.withColumn(ORDER, F.col(order_by[0]) if len(order_by) == 1 else F.struct(*order_by))
     within = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    for place in (F.col("_metadata.row_index"), within):
+    for place in ([F.col("_metadata.row_index").alias("row_in_file")], [F.col("_metadata.file_block_start"), within.alias("row")]):
         try:
-            return df.withColumn(ORDER, F.struct("_metadata.file_path", "_metadata.file_block_start", place.alias("row")))
+            return df.withColumn(ORDER, F.struct("_metadata.file_path", *place))
         except AnalysisException:
             continue
     raise ValueError("which copy of a post comes first? Name the columns that order the rows (order_by)")
 
 
+def _splits(df: DataFrame) -> int:
+    """Number of tasks that scan a frame without shuffles."""
+    return df._jdf.queryExecution().toRdd().getNumPartitions()
+
+
+def _same_in_every_scan(df: DataFrame) -> bool:
+    """Whether the input order is one of rows in files, which no choice of splits changes."""
+    kind = df.schema[ORDER].dataType
+    return isinstance(kind, T.StructType) and kind.names == ["file_path", "row_in_file"]
+
+
+def _without_late_copies(df: DataFrame) -> DataFrame | None:
+    """The first row of each post_id, without a shuffle of whole rows; None if there are too many keys with copies.
+
+    Only keys and places are grouped. The keys that occur more than once are stored with the place of their first row and, up
+    to a checked number and size, sent to all tasks: a row goes if its key is among them at another place.
+    """
+    placed = df.select("post_id", ORDER).groupBy("post_id").agg(F.min(ORDER).alias("_first"), F.count(F.lit(1)).alias("_copies"))
+    repeated = stored(placed.where("_copies > 1").select(F.col("post_id").alias("_key"), "_first"), "repeated-keys")
+    size = repeated.agg(F.count(F.lit(1)).alias("keys"), F.sum(F.coalesce(F.length("_key"), F.lit(0)) + F.length("_first.file_path")).alias("chars")).first()
+    if size["keys"] > LATE_KEYS or (size["chars"] or 0) > LATE_CHARS:
+        return None
+    if not size["keys"]:
+        return df.drop(ORDER)
+    joined = df.join(F.broadcast(repeated), F.col("post_id").eqNullSafe(F.col("_key")), "left")
+    return joined.where(F.col("_first").isNull() | (F.col(ORDER) == F.col("_first"))).drop("_key", "_first", ORDER)
+
+
 def dedupe_posts(df: DataFrame, order_by: Sequence[str] | None = None) -> DataFrame:
     """Keep the first row of each post_id in input order.
 
-    The filter on the row number sits right on the window, so Spark cuts each map task's output to
-    one row per post_id before the shuffle. A post_id with very many copies therefore reaches the
-    reducer with at most one row per map task.
+    Scans of files that tell each row's place, in at least as many splits as there are cores, are grouped by narrow rows first and
+    read again (see ``_without_late_copies``). Else the filter on the row number sits right on the window, so Spark cuts
+    each map task's output to one row per post_id before the shuffle. Either way a post_id with very
+    many copies reaches the reducer with at most one row per map task.
     """
     ordered = df if ORDER in df.columns else with_input_order(df, order_by)
+    if _same_in_every_scan(ordered) and len(ordered.inputFiles()) and _splits(ordered) >= ordered.sparkSession.sparkContext.defaultParallelism:
+        kept = _without_late_copies(ordered)
+        if kept is not None:
+            return kept
     first = Window.partitionBy("post_id").orderBy(F.asc_nulls_last(ORDER))
     return ordered.withColumn("_copy", F.row_number().over(first)).where("_copy = 1").drop("_copy", ORDER)
 

@@ -427,6 +427,9 @@ QUERIES: dict[str, Query] = {
     # cleaning
     "valid_required": _untidy(lambda d: d.select("event_id", *(is_present(F.col(c)).alias(c) for c in ("post_id", "user_id", "datetime")))),
     "filter_required": _untidy(lambda d: cleaning.filter_required(d).select("event_id", "post_id", "user_id")),
+    "dedupe_scanned": lambda s, f: cleaning.dedupe_posts(
+        table(s, f, "documents").select(F.coalesce("source", F.lit("none")).alias("post_id"), "doc_id", "lang")
+    ),
     "dedupe_posts": _untidy(
         lambda d: cleaning.dedupe_posts(cleaning.trim_keys(cleaning.filter_required(d)), ["event_id"]).select("post_id", "event_id", "title")
     ),

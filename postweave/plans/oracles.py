@@ -276,6 +276,8 @@ ORACLES: dict[str, str] = {
     "valid_required": f"""WITH {_UNTIDY} SELECT event_id, {", ".join(f"{_PRESENT.format(c=c)} AS {c}" for c in ("post_id", "user_id", "datetime"))}
       FROM untidy""",
     "filter_required": f"WITH {_UNTIDY} SELECT event_id, post_id, user_id FROM untidy WHERE {_REQUIRED}",
+    "dedupe_scanned": """SELECT coalesce(source, 'none') AS post_id, doc_id, lang FROM documents
+      QUALIFY row_number() OVER (PARTITION BY coalesce(source, 'none') ORDER BY doc_id) = 1""",
     "dedupe_posts": f"""WITH {_UNTIDY} SELECT trim(post_id, ' ' || chr(9)) AS post_id, min(event_id) AS event_id, nullif(arg_min(coalesce(title, '-'), event_id), '-') AS title
       FROM untidy WHERE {_REQUIRED} GROUP BY 1""",
     "fill_text": f"""WITH {_UNTIDY} SELECT event_id, coalesce(user_id, 'unknown') AS user_id, coalesce(title, '') AS title,

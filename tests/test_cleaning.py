@@ -314,3 +314,43 @@ def test_no_date_is_parsed_by_trial(spark):
     plan = cleaning.filter_datetime(cleaning.parse_datetime_column(df, "format"))._jdf.queryExecution().executedPlan().toString().lower()
     assert "gettimestamp" not in plan and "to_timestamp" not in plan
     assert plan.count("split(") == 2
+
+
+@pytest.fixture(scope="module")
+def scanned(spark, tmp_path_factory):
+    """Sixteen files; a third of all rows under one key, half of the others twice."""
+    folder = str(tmp_path_factory.mktemp("posts") / "p")
+    hot = F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise((F.col("id") % 5000).cast("string"))
+    df = spark.range(12000).select(F.col("id").alias("n"), hot.alias("post_id"), F.repeat(F.lit("text "), 50).alias("text"))
+    df.repartitionByRange(16, "n").write.parquet(folder)
+    return folder
+
+
+def firsts(spark, folder):
+    rows = spark.read.parquet(folder).select("n", "post_id", "_metadata.file_path", "_metadata.row_index").collect()
+    best = {}
+    for r in sorted(rows, key=lambda r: (r.file_path, r.row_index)):
+        best.setdefault(r.post_id, r.n)
+    return best
+
+
+def test_copies_of_a_scan_go_without_a_shuffle_of_texts(spark, scanned, monkeypatch):
+    kept = cleaning.dedupe_posts(spark.read.parquet(scanned))
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning" not in plan and "Window" not in plan and "BroadcastHashJoin" in plan
+    assert kept.columns == ["n", "post_id", "text"]
+    expected = firsts(spark, scanned)
+    assert {r.post_id: r.n for r in kept.collect()} == expected and kept.count() == len(expected)
+    # Too many keys with copies: the way by windows gives the same rows.
+    monkeypatch.setattr(cleaning, "LATE_KEYS", 10)
+    other = cleaning.dedupe_posts(spark.read.parquet(scanned))
+    assert "Window" in other._jdf.queryExecution().executedPlan().toString()
+    assert {r.post_id: r.n for r in other.collect()} == expected
+
+
+def test_scans_without_copies_and_null_keys(spark, scanned):
+    unique = spark.read.parquet(scanned).withColumn("post_id", F.col("n").cast("string"))
+    kept = cleaning.dedupe_posts(unique)
+    assert kept.count() == 12000 and "Exchange" not in kept._jdf.queryExecution().executedPlan().toString()
+    nulls = spark.read.parquet(scanned).withColumn("post_id", F.when(F.col("n") % 2 == 0, F.col("n").cast("string")))
+    assert cleaning.dedupe_posts(nulls).count() == 6001
