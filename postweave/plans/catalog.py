@@ -500,7 +500,7 @@ QUERIES: dict[str, Query] = {
     "user_activity_by_month": _events(users.user_activity_by_month),
     "user_features": lambda s, f: rounded(_features(s, f)),
     "user_segments": _segments,
-    "user_segment_labels": lambda s, f: rounded(_segments(s, f).drop("segment_id")),
+    "user_segment_labels": lambda s, f: rounded(users.with_activity_label(_features(s, f)).select("user_id", *users.FEATURES, "segment_label")),
     "segment_assignment_of_given": _segments_of_given,
     "user_segment_distribution": lambda s, f: rounded(
         users.user_segment_distribution(users.with_activity_label(_features(s, f)))

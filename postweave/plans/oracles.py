@@ -9,18 +9,6 @@ from __future__ import annotations
 from postweave import settings
 from postweave.plans.catalog import TEST_NEGATIVE, TEST_POSITIVE
 
-# The words of three letters and more that Spark's own English stop list contributes.
-BUILT_IN_STOP_WORDS = tuple(
-    """
-    about above after again against all and any are because been before being below between both but
-    can cannot could down during each few for from further had has have her here hers herself him himself his
-    how into its itself more most myself nor not now off once only other our ours ourselves out over
-    own same she should some such than that the their them themselves then there these they this those
-    through too under until very was were what when where which while who whom why will with would you
-    your yours yourself yourselves
-    """.split()
-)
-
 _SPACE = r"\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 
 
@@ -28,7 +16,7 @@ def _listed(words) -> str:
     return ", ".join(f"'{w}'" for w in words)
 
 
-_STOP = _listed(sorted({*BUILT_IN_STOP_WORDS, *settings.EXTRA_STOP_WORDS}))
+_STOP = _listed(sorted(settings.STOP_WORDS))
 
 _POSTS = """posts AS (
   SELECT CAST(d.doc_id AS VARCHAR) AS post_id, CAST(e.user_id AS VARCHAR) AS user_id, o.o_orderdate AS datetime,

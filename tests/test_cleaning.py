@@ -13,7 +13,6 @@ from postweave.functions import dates
 from postweave.functions import values as V
 from postweave.operators import cleaning
 from postweave.plans.analysis import Options, clean_posts
-from postweave.plans.oracles import BUILT_IN_STOP_WORDS
 from postweave.plans.quality import METRICS, quality_counts, quality_report
 from postweave.sources.columns import fill_optional
 
@@ -65,8 +64,9 @@ def test_text_agrees_with_python_on_hostile_strings(spark):
 
 
 def test_stop_words():
-    words = {w for w in settings.default_stop_words() if len(w) >= 3 and w.isalpha()}
-    assert len(words) == 286 and words == {*BUILT_IN_STOP_WORDS, *settings.EXTRA_STOP_WORDS}
+    words = settings.default_stop_words()
+    assert len(words) == len(settings.STOP_WORDS) == 318 and sum(len(w) >= 3 for w in words) == 286
+    assert all(w.isalpha() and w == w.lower() for w in words)
 
 
 def test_extra_stop_words_and_length(spark):
