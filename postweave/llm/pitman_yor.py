@@ -9,10 +9,12 @@ base measure has no atoms: a word there has one table, and what is left goes to
 
 Seatings of pairs are sampled by Gibbs steps in several chains, and the parts of P are averaged over samples.
 
-What grows with the corpus stays in partitions: the counts of all words, in buckets by hash, and
-what texts ask of them. Tables that every task needs hold heavy hitters only: words and pairs with at least a
-given share of all training tokens, so at most 1 / share of each. Customers of a context whose pair is no
-heavy hitter sit alone, so each is a customer of the parent too, and no token is left out of any sum.
+All pairs take part, however rare: their counts and seatings lie in buckets by context (see ``restaurants``), the counts and
+tables of words in buckets by word. Tables that every task needs hold words and pairs with at least a given share of all
+training tokens, so at most 1 / share of each; what texts ask of the others goes to the buckets. The share only decides where a
+number is looked up.
+
+``train`` is the model of such heavy hitters alone, whole in memory: other pairs have one table a customer there.
 """
 
 from __future__ import annotations
@@ -25,24 +27,26 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postweave.llm.batches import hash_words, mix, slabs, text_bytes
+from postweave.llm.restaurants import STRENGTH, Bucket, at as _at, blob as _blob, bucket_bounds as _bucket_bounds
+from postweave.llm.restaurants import Numbered, count_pairs, discard, in_buckets, looked_up, of_held, own_list, planes, seated, shares, whole
 from postweave.llm.seating import Seating
 from postweave.plans.storage import stored
 
 SHARE = 1e-6
-STRENGTH, PARENT_STRENGTH = 1.0, 1.0
+PARENT_STRENGTH = 1.0
 CHAINS, BURN_IN, SAMPLES = 4, 15, 15
 FOLDS, HELD_OUT = 7, 2
 END = np.uint64(0xA0761D6478BD642F)
 # Tokens whose counts a task adds up before it sends them on.
 HELD_TOKENS = 1 << 22
+# The same of tokens whose pairs are counted, with several numbers each.
+HELD_PAIRS = 1 << 21
+# Bytes of text that ask the buckets together: the more, the fewer pairs are asked twice.
+ASKING_BYTES = 8 << 20
 
 COUNTS = "bucket int, keys binary, counts binary"
 
 
-def _blob(values: np.ndarray) -> bytes:
-    return np.ascontiguousarray(values).tobytes()
-
-
 def tokens_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all tokens, an end after each text, and where each text begins."""
     words, bounds = hash_words(*text_bytes(column))
@@ -61,12 +65,6 @@ def _counted(keys: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.nda
     return keys[first], np.add.reduceat(counts[order], first)
 
 
-def _bucket_bounds(ordered: np.ndarray, buckets: int) -> np.ndarray:
-    """Where each bucket begins in ascending hashes; ``buckets`` is a power of two."""
-    edges = np.arange(1, buckets, dtype=np.uint64) << np.uint64(64 - (buckets.bit_length() - 1)) if buckets > 1 else []
-    return np.concatenate([[0], np.searchsorted(ordered, edges), [len(ordered)]]).astype(np.int64)
-
-
 def _send_counts(keys: np.ndarray, buckets: int) -> Iterator[pa.RecordBatch]:
     keys, counts = _counted(keys)
     bounds = _bucket_bounds(keys, buckets)
@@ -139,14 +137,6 @@ def _heavy(gathered: DataFrame, least: float) -> tuple[np.ndarray, np.ndarray]:
     return keys[order], counts[order]
 
 
-def _at(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    """The place of each key in an ascending table, -1 if it has none."""
-    if not len(table):
-        return np.full(len(keys), -1, np.int64)
-    at = np.minimum(np.searchsorted(table, keys), len(table) - 1)
-    return np.where(table[at] == keys, at, -1)
-
-
 # Pair keys are mixed, so that buckets by their leading bits are even; mixing is a bijection.
 def _pair_keys(context: np.ndarray, word: np.ndarray) -> np.ndarray:
     return mix((context.astype(np.uint64) << np.uint64(32)) | word.astype(np.uint64))
@@ -167,14 +157,20 @@ class Model:
         self.alone = np.maximum(counts - discount, 0) / (PARENT_STRENGTH + max(tokens, 1))
         self.parent_total = PARENT_STRENGTH + tokens
         self.pairs, self.kept = np.zeros(0, np.uint64), np.zeros(0)
+        # Hashes of frequent pairs and their chances, where all pairs have a seating (see ``learn``).
+        self.often, self.chances = np.zeros(0, np.uint64), np.zeros(0)
 
     def base(self, counts: np.ndarray) -> np.ndarray:
         return np.log10((counts + 1) / (self.tokens + self.distinct + 1))
 
-    def rare(self, counts: np.ndarray) -> np.ndarray:
-        """log10 P(w) of words that are no heavy hitters, by their training count."""
+    def parent(self, tables: np.ndarray) -> np.ndarray:
+        """P(w) by the number of a word's tables."""
         unseen = PARENT_STRENGTH + self.discount * self.distinct
-        return np.log10(np.where(counts > 0, counts - self.discount, unseen) / self.parent_total)
+        return np.where(tables > 0, tables - self.discount, unseen) / self.parent_total
+
+    def rare(self, counts: np.ndarray) -> np.ndarray:
+        """log10 P(w) of words whose customers sit alone, by their training count."""
+        return np.log10(self.parent(counts))
 
 
 def _chain(seed: int, context, word, customers, counts, tokens: int, discount: float, parent_discount: float):
@@ -229,14 +225,19 @@ def _power_of_two(n: int) -> int:
     return 1 << max(0, (n - 1).bit_length())
 
 
-def train(texts: DataFrame, buckets: int, share: float = SHARE, seed: int = 0) -> tuple[Model, DataFrame]:
-    """The model of the column ``text``, and the counts of all its words by bucket."""
-    spark = texts.sparkSession
+def _vocabulary(texts: DataFrame, buckets: int, share: float) -> tuple[Model, DataFrame, float]:
+    """A model without pairs, the counts of all words by bucket, and the least count of words that every task holds."""
     words = stored(_gathered(_count_in_tasks(texts, lambda column: tokens_of(column)[0], buckets)), "word-counts")
     sums = words.agg(*(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("total", "distinct", "ones", "twos"))).first()
     least = max(1.0, share * sums.total)
-    heavy, counts = _heavy(words, least)
-    model = Model(heavy, counts, sums.total, sums.distinct, _discount(sums.ones, sums.twos))
+    return Model(*_heavy(words, least), sums.total, sums.distinct, _discount(sums.ones, sums.twos)), words, least
+
+
+def train(texts: DataFrame, buckets: int, share: float = SHARE, seed: int = 0) -> tuple[Model, DataFrame]:
+    """The model of heavy hitters alone of the column ``text``, and the counts of all its words by bucket."""
+    spark = texts.sparkSession
+    model, words, least = _vocabulary(texts, buckets, share)
+    heavy = model.words
     if not len(heavy):
         return model, words
 
@@ -272,52 +273,117 @@ def _unmix(x: np.ndarray) -> np.ndarray:
     return unshift(x, 30)
 
 
+def _pair_hashes(context: np.ndarray, word: np.ndarray) -> np.ndarray:
+    return mix(context * np.uint64(0x9E3779B97F4A7C15) + word)
+
+
+def _as_doubles(words: DataFrame) -> DataFrame:
+    def convert(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            counts = [_blob(np.frombuffer(c, np.int64).astype(np.float64)) for c in batch.column("counts").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("bucket"), batch.column("keys"), pa.array(counts, pa.binary())], ["bucket", "keys", "counts"])
+
+    return words.select("bucket", "keys", "counts").mapInArrow(convert, COUNTS)
+
+
+def learn(texts: DataFrame, buckets: int, share: float = SHARE, seed: int = 0) -> tuple[Model, DataFrame, DataFrame, DataFrame]:
+    """The model of all pairs of the column ``text``: what every task holds; by bucket the counts and the tables of all words, as
+    doubles; and the SHARES of all contexts and pairs."""
+    spark = texts.sparkSession
+    model, words, least = _vocabulary(texts, buckets, share)
+    words = _as_doubles(words)
+    held = spark.sparkContext.broadcast(model.words)
+
+    counted = count_pairs(texts, lambda column: tokens_of(column)[0], END, held, buckets, HELD_PAIRS)
+    restaurants = stored(counted, "restaurants")
+    seen = restaurants.agg(F.sum("ones").alias("ones"), F.sum("twos").alias("twos")).first()
+    discount, parent_discount = _discount(seen.ones, seen.twos), model.discount
+
+    def parent(tables: np.ndarray, total: float) -> np.ndarray:
+        return np.maximum(tables - parent_discount, 1e-3) / (PARENT_STRENGTH + total)
+
+    state, tables, total = seated(restaurants, words, model.tokens, held, discount, parent, buckets, seed)
+    model.parent_total = PARENT_STRENGTH + total
+    model.alone = parent(of_held(tables, held), total)
+    found = shares(restaurants, state, held, spark.sparkContext.broadcast(model.alone), discount, least, _pair_hashes)
+    for frame in (restaurants, state):
+        discard(frame)
+    rows = found.select("often", "chances").collect()
+    often = np.concatenate([np.zeros(0, np.uint64), *(np.frombuffer(r.often, np.uint64) for r in rows)])
+    order = np.argsort(often)
+    model.often, model.chances = often[order], np.concatenate([np.zeros(0), *(np.frombuffer(r.chances) for r in rows)])[order]
+    return model, words, tables, found
+
+
+_PAIR_REQUEST = "struct<bucket:int,contexts:binary,runs:binary,refs:binary,rare:binary>"
+_PAIR_TYPE = pa.struct([("bucket", pa.int32()), *((c, pa.binary()) for c in ("contexts", "runs", "refs", "rare"))])
+
+
+def _row_type(rows: int) -> type:
+    return np.uint16 if rows <= 1 << 16 else np.uint32
+
+
 def _asked(docs: DataFrame, model: Model, buckets: int) -> DataFrame:
-    """One row for each slab of documents: sums over heavy words, and the other words, which are asked of the buckets."""
+    """One row for each slab of documents: sums over what every task holds, and the other pairs, which are asked of the buckets.
+
+    ``row`` holds the row of each other token, in the order of its pair, and ``times`` how many belong to a pair; ``far`` and
+    ``word`` the places of pairs whose word is asked, too, and of that word.
+    """
     held = docs.sparkSession.sparkContext.broadcast(model)
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = (
         f"slab long, doc_id array<{kind}>, held_out array<boolean>, n_tokens binary, n_known binary, base binary, score binary,"
-        " word binary, row binary, asked array<struct<bucket:int,keys:binary>>"
+        f" row binary, times binary, far binary, word binary, pairs array<{_PAIR_REQUEST}>, words array<struct<bucket:int,keys:binary>>"
     )
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         m, part = held.value, TaskContext.get().partitionId()
-        end = _at(m.words, np.array([END]))
-        for number, batch in enumerate(slabs(batches)):
+        for number, batch in enumerate(slabs(batches, limit=ASKING_BYTES)):
             tokens, bounds = tokens_of(batch.column("text"))
             rows = batch.num_rows
             row = np.repeat(np.arange(rows), np.diff(bounds))
-            at = _at(m.words, tokens)
-            before = np.concatenate([end, at[:-1]])
-            back = np.where(before >= 0, m.back[before], 1.0) if len(m.words) else np.ones(len(tokens))
+            numbered = Numbered(tokens, END, m.words)
+            at = numbered.place[numbered.number]
             known = at >= 0
-            chance = back.copy()
-            if known.any():
-                chance[known] *= m.alone[at[known]]
-                both = np.flatnonzero(known & (before >= 0))
-                pair = _at(m.pairs, _pair_keys(before[both], at[both]))
-                chance[both[pair >= 0]] += m.kept[pair[pair >= 0]]
             base = np.zeros(len(tokens))
             base[known] = m.base(m.counts[at[known]])
-            other = ~known
-            keys, word = np.unique(tokens[other], return_inverse=True)
-            cuts = _bucket_bounds(keys, buckets)
-            asked = [{"bucket": k, "keys": _blob(keys[a:b])} for k, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])) if b > a]
-            sums = [np.diff(bounds).astype(np.float64), np.bincount(row, known, rows), np.bincount(row, base, rows), np.bincount(row, np.log10(chance), rows)]
+            keys, own = np.unique(numbered.keys(), return_inverse=True)
+            example = np.empty(len(keys), np.int64)
+            example[own] = np.arange(len(own))
+            pair = _at(m.often, _pair_hashes(numbered.names[numbered.before[example]], tokens[example]))
+            log_chance = np.zeros(len(keys))
+            log_chance[pair >= 0] = np.log10(m.chances[pair[pair >= 0]])
+            other = np.flatnonzero((pair < 0)[own])
+            by_pair = other[np.argsort(own[other], kind="stable")]
+            pairs = numbered.pairs(keys[pair < 0])
+            pairs.refs, pairs.rare = own_list(pairs.refs, pairs.rare, len(m.words))
+            far = np.flatnonzero(pairs.refs >= len(m.words))
+            places = [
+                row[by_pair].astype(_row_type(rows)),
+                np.bincount(own, minlength=len(keys))[pair < 0].astype(np.uint32),
+                far.astype(np.uint32),
+                (pairs.refs[far] - np.uint32(len(m.words))).astype(np.uint32),
+            ]
+            sums = [
+                np.diff(bounds).astype(np.float64),
+                np.bincount(row, known, rows),
+                np.bincount(row, base, rows),
+                np.bincount(row, log_chance[own], rows),
+            ]
+            asked = [dict(zip(_PAIR_TYPE.names, r)) for r in pairs.rows(buckets, np.zeros(len(pairs.refs), np.uint8))]
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([(part << 32) | number]),
                     _as_list(batch.column("doc_id")),
                     _as_list(batch.column("held_out")),
                     *(pa.array([_blob(s)], pa.binary()) for s in sums),
-                    pa.array([_blob(word.astype(np.uint32))], pa.binary()),
-                    pa.array([_blob(row[other].astype(np.uint32))], pa.binary()),
-                    pa.array([asked], pa.list_(pa.struct([("bucket", pa.int32()), ("keys", pa.binary())]))),
+                    *(pa.array([planes(s)], pa.binary()) for s in places),
+                    pa.array([asked], pa.list_(_PAIR_TYPE)),
+                    pa.array([in_buckets(pairs.rare, buckets)], pa.list_(pa.struct([("bucket", pa.int32()), ("keys", pa.binary())]))),
                 ],
-                names=["slab", "doc_id", "held_out", "n_tokens", "n_known", "base", "score", "word", "row", "asked"],
+                names=["slab", "doc_id", "held_out", "n_tokens", "n_known", "base", "score", "row", "times", "far", "word", "pairs", "words"],
             )
 
     return docs.mapInArrow(ask, schema)
@@ -327,52 +393,74 @@ def _as_list(column: pa.Array) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array([0, len(column)], pa.int32()), column)
 
 
-def _answers(asked: DataFrame, words: DataFrame) -> DataFrame:
-    """The training counts of what each slab asked of each bucket, in the order asked."""
-    requests = asked.select("slab", F.explode("asked").alias("a")).select("slab", "a.bucket", F.col("a.keys").alias("wanted"))
+def _pair_answers(asked: DataFrame, found: DataFrame, model: Model) -> DataFrame:
+    """(slab, bucket, found, back), in the order asked: P(w | u) of pairs with a word that every task holds; of others the
+    kept share, and in ``back`` what goes to the parent."""
+    held = asked.sparkSession.sparkContext.broadcast(model.alone)
+    requests = asked.select("slab", F.explode("pairs").alias("p")).select("slab", "p.*")
 
     def answer(left: pa.Table, right: pa.Table) -> pa.Table:
-        keys, counts = (
-            np.concatenate([np.zeros(0, t), *(np.frombuffer(b, t) for b in right.column(c).to_pylist())])
-            for c, t in (("keys", np.uint64), ("counts", np.int64))
+        chances = held.value
+        table = Bucket(right, len(chances))
+        back, kept = (
+            np.concatenate([np.zeros(0), *(np.frombuffer(b, t) for b in right.column(c).to_pylist())]) for c, t in (("back", np.float64), ("kept", np.float32))
         )
-        found = []
-        for wanted in left.column("wanted").to_pylist():
-            at = _at(keys, np.frombuffer(wanted, np.uint64))
-            found.append(_blob(np.where(at >= 0, counts[at] if len(counts) else 0, 0).astype(np.uint32)))
-        return pa.table({"slab": left.column("slab"), "bucket": left.column("bucket"), "found": pa.array(found, pa.binary())})
-
-    pairs = requests.groupBy("bucket").cogroup(words.select("bucket", "keys", "counts").groupBy("bucket"))
-    return pairs.applyInArrow(answer, "slab long, bucket int, found binary")
+        values, backs = [], []
+        for contexts, runs, refs, rare in zip(*(left.column(c).to_pylist() for c in ("contexts", "runs", "refs", "rare"))):
+            context = np.repeat(_at(table.contexts, np.frombuffer(contexts, np.uint64)), whole(runs, np.uint32))
+            ref = whole(refs, np.uint32).astype(np.int64)
+            far = ref >= len(chances)
+            its_chance = np.where(far, 0.0, chances[np.where(far, 0, ref)] if len(chances) else 0.0)
+            there = _at(table.rare, np.frombuffer(rare, np.uint64))[ref[far] - len(chances)]
+            ref[far] = np.where(there >= 0, len(chances) + there, -1)
+            pair = _at(table.keys, (context.astype(np.uint64) << np.uint64(32)) | ref.astype(np.uint64))
+            pair[(context < 0) | (ref < 0)] = -1
+            share = np.where(context >= 0, back[context] if len(back) else 1.0, 1.0)
+            value = np.where(pair >= 0, kept[pair] if len(kept) else 0.0, 0.0) + share * its_chance
+            values.append(_blob(value.astype(np.float32)))
+            backs.append(_blob(share[far].astype(np.float32)))
+        return pa.Table.from_arrays([left.column("slab"), left.column("bucket"), pa.array(values, pa.binary()), pa.array(backs, pa.binary())], ["slab", "bucket", "found", "back"])
+
+    right = found.select("bucket", "contexts", "runs", "refs", "rare", "back", "kept").groupBy("bucket")
+    return requests.groupBy("bucket").cogroup(right).applyInArrow(answer, "slab long, bucket int, found binary, back binary")
 
 
 def _finished(asked: DataFrame, answers: DataFrame, model: Model, doc_type: str) -> DataFrame:
-    """One row for each document."""
+    """One row for each document. ``answers`` are those of pairs and, of words, counts and tables: ``kind`` 0, 1 and 2."""
     small = Model(np.zeros(0, np.uint64), np.zeros(0), model.tokens, model.distinct, model.discount)
     small.parent_total = model.parent_total
 
     def finish(left: pa.Table, right: pa.Table) -> pa.Table:
-        order = np.argsort(right.column("bucket").to_numpy())
-        found = right.column("found").to_pylist()
-        counts = np.concatenate([np.zeros(0, np.uint32), *(np.frombuffer(found[k], np.uint32) for k in order)]).astype(np.int64)
+        kinds, buckets = (right.column(c).to_numpy() for c in ("kind", "bucket"))
+
+        def joined(kind: int, column: str, dtype) -> np.ndarray:
+            own = np.flatnonzero(kinds == kind)
+            parts = right.column(column).take(pa.array(own[np.argsort(buckets[own])])).to_pylist()
+            return np.concatenate([np.zeros(0), *(np.frombuffer(p, dtype) for p in parts)])
+
         one = {c: left.column(c)[0] for c in left.column_names}
         sums = {c: np.frombuffer(one[c].as_py()) for c in ("n_tokens", "n_known", "base", "score")}
-        word, row = (np.frombuffer(one[c].as_py(), np.uint32) for c in ("word", "row"))
         rows = len(sums["n_tokens"])
-        add = lambda values: np.bincount(row, values[word], rows) if len(row) else 0
-        doc_ids = left.column("doc_id").combine_chunks().flatten()
+        times, far, word = (whole(one[c].as_py(), np.uint32) for c in ("times", "far", "word"))
+        row = whole(one["row"].as_py(), _row_type(rows)).astype(np.int64)
+        counts, tables = joined(1, "found", np.float64), joined(2, "found", np.float64)
+        chance = joined(0, "found", np.float32)
+        chance[far] += joined(0, "back", np.float32) * small.parent(tables)[word]
+        base, known = np.zeros(len(times)), np.zeros(len(times))
+        base[far], known[far] = small.base(counts)[word], (counts > 0)[word]
+        add = lambda values: np.bincount(row, np.repeat(values, times), rows)
         return pa.table(
             {
-                "doc_id": doc_ids,
+                "doc_id": left.column("doc_id").combine_chunks().flatten(),
                 "held_out": left.column("held_out").combine_chunks().flatten(),
                 "n_tokens": sums["n_tokens"].astype(np.int64),
-                "n_known": (sums["n_known"] + add(counts > 0)).astype(np.int64),
-                "base_score": sums["base"] + add(small.base(counts)),
-                "score": sums["score"] + add(small.rare(counts)),
+                "n_known": (sums["n_known"] + add(known)).astype(np.int64),
+                "base_score": sums["base"] + add(base),
+                "score": sums["score"] + add(np.log10(chance)),
             }
         )
 
-    slabs_ = asked.drop("asked").groupBy("slab").cogroup(answers.groupBy("slab"))
+    slabs_ = asked.drop("pairs", "words").groupBy("slab").cogroup(answers.groupBy("slab"))
     schema = f"doc_id {doc_type}, held_out boolean, n_tokens long, n_known long, base_score double, score double"
     return slabs_.applyInArrow(finish, schema)
 
@@ -390,9 +478,13 @@ def language_scores(docs: DataFrame, share: float = SHARE, seed: int = 0, doc_id
     """
     plain = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), held_out(F.col(doc_id)).alias("held_out"))
     buckets = _power_of_two(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    model, words = train(plain.where(~F.col("held_out")).select("text"), buckets, share, seed)
+    model, words, tables, found = learn(plain.where(~F.col("held_out")).select("text"), buckets, share, seed)
     asked = stored(_asked(plain, model, buckets), "asked")
-    out = _finished(asked, _answers(asked, words), model, docs.schema[doc_id].dataType.simpleString())
+    requests = asked.select("slab", F.explode("words").alias("w")).select("slab", "w.*")
+    answers = _pair_answers(asked, found, model).withColumn("kind", F.lit(0))
+    for kind, table in ((1, words), (2, tables)):
+        answers = answers.unionByName(looked_up(requests, table).withColumns({"back": F.lit(None).cast("binary"), "kind": F.lit(kind)}))
+    out = _finished(asked, answers, model, docs.schema[doc_id].dataType.simpleString())
     return out.select(
         "doc_id",
         "held_out",

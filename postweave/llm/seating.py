@@ -46,14 +46,17 @@ def log_stirling_rows(wanted: np.ndarray, discount: float) -> dict[int, np.ndarr
 
 
 class Seating:
-    """``tables`` of all pairs; ``chance`` is that of a pair's dish in the parent."""
+    """``tables`` of all pairs; ``chance`` is that of a pair's dish in the parent.
 
-    def __init__(self, restaurant: np.ndarray, customers: np.ndarray, discount: float, strength: float, chance: np.ndarray, seed: int):
+    ``strength`` is one number or one for each restaurant. ``tables`` takes up a seating where it was left.
+    """
+
+    def __init__(self, restaurant: np.ndarray, customers: np.ndarray, discount: float, strength, chance: np.ndarray, seed, tables: np.ndarray | None = None):
         self.rng = np.random.default_rng(seed)
         self.restaurant, self.customers = restaurant, customers.astype(np.int64)
-        self.discount, self.strength = discount, strength
         self.restaurants = int(restaurant.max()) + 1 if len(restaurant) else 0
-        self.tables = self._first(chance)
+        self.discount, self.strength = discount, np.broadcast_to(strength, max(self.restaurants, np.size(strength)))[: self.restaurants]
+        self.tables = self._first(chance) if tables is None else tables
 
         sizes = np.unique(self.customers)
         rows = log_stirling_rows(np.unique(np.minimum(sizes, EXACT)), discount)
@@ -82,8 +85,8 @@ class Seating:
         seated = tables
         for k in range(math.ceil(math.log(max(self.customers, default=1), RUN)) - 1, -1, -1):
             there = np.maximum(seated, np.round(self.customers / RUN**k).astype(np.int64))
-            of_restaurant = np.bincount(self.restaurant, tables, self.restaurants)[self.restaurant]
-            opens = (self.strength + self.discount * of_restaurant) * chance
+            of_restaurant = np.bincount(self.restaurant, tables, self.restaurants)
+            opens = (self.strength + self.discount * of_restaurant)[self.restaurant] * chance
             new = self.rng.binomial(there - seated, opens / (seated - self.discount * tables + opens))
             tables, seated = tables + new, there
         return tables
@@ -104,7 +107,7 @@ class Seating:
         self._move(np.arange(len(self.many)), lambda t: t * log_opens)
         # The largest pair of each restaurant once more, with the restaurant's own weight in place of y.
         pairs = self.many[self.largest]
-        rest = self.strength / self.discount + (self.tables_of_restaurants()[self.restaurant[pairs]] - self.tables[pairs])
+        rest = (self.strength / self.discount + self.tables_of_restaurants())[self.restaurant[pairs]] - self.tables[pairs]
         factor = np.log(self.discount * np.maximum(chance[pairs], 1e-300))
         self._move(self.largest, lambda t: _log_gamma(rest + t) + t * factor)
 
