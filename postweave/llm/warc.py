@@ -110,19 +110,22 @@ def title_of(page: str) -> str | None:
     return page[first.end() : last.start()] if last else None
 
 
-def plain_text(page: str) -> str:
-    """Text of a page: no scripts, styles or comments; block elements begin lines; entities resolved."""
-    text = TAG.sub("", BREAK.sub("\n", without_hidden(page)))
-    lines = (BLANKS.sub(" ", line).strip() for line in html.unescape(text).split("\n"))
+def plain_text(page: str, shown: str | None = None) -> str:
+    """Text of a page: no scripts, styles or comments; block elements begin lines; entities resolved.
+
+    ``shown`` is the page without hidden parts, where it is known.
+    """
+    text = TAG.sub("", BREAK.sub("\n", without_hidden(page) if shown is None else shown))
+    lines = (line.strip() for line in BLANKS.sub(" ", html.unescape(text)).split("\n"))
     return "\n".join(line for line in lines if line)
 
 
-def page_metadata(page: str, url: str | None) -> Fields:
-    """Title, language and links in the order of the page."""
+def page_metadata(page: str, url: str | None, shown: str | None = None) -> Fields:
+    """Title, language and links in the order of the page; ``shown`` as in ``plain_text``."""
     title, language = title_of(page), LANGUAGE.search(page)
     out = [("title", _one_line(html.unescape(TAG.sub("", title))))] if title is not None else []
     out += [("language", language[1].lower())] if language else []
-    for found in LINK.finditer(without_hidden(page)):
+    for found in LINK.finditer(without_hidden(page) if shown is None else shown):
         target = html.unescape(next(g for g in found.groups() if g is not None)).strip()
         try:
             target = urljoin(url or "", target)
@@ -143,10 +146,11 @@ def derivatives(fields: Fields, block: bytes) -> list[tuple[Fields, bytes]]:
     source = dict(fields)
     head, body = payload_of(block)
     page, url = body.decode("utf-8", "replace"), source.get("WARC-Target-URI")
-    about = [("http-status", head.split(b"\r\n")[0].decode("latin-1"))] + page_metadata(page, url)
+    shown = without_hidden(page)
+    about = [("http-status", head.split(b"\r\n")[0].decode("latin-1"))] + page_metadata(page, url, shown)
     blocks = {
         "metadata": ("application/warc-fields", "".join(f"{k}: {v}\r\n" for k, v in about).encode()),
-        "conversion": ("text/plain; charset=utf-8", plain_text(page).encode()),
+        "conversion": ("text/plain; charset=utf-8", plain_text(page, shown).encode()),
     }
     out = []
     for kind, (content_type, data) in blocks.items():

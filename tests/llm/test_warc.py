@@ -96,3 +96,13 @@ def test_ids_and_http_fields_come_back(spark):
     source = warc.response("1", "http://h/p", "<p>x</p>")
     for fields, _ in warc.derivatives(*source):
         assert dict(fields)["X-HTTP-Content-Type"] == "text/html; charset=utf-8" and dict(fields)["X-HTTP-Content-Length"] == "8"
+
+
+def test_hidden_parts_of_a_page_are_looked_for_once(monkeypatch):
+    calls, plain = [], warc.without_hidden
+    monkeypatch.setattr(warc, "without_hidden", lambda page: calls.append(page) or plain(page))
+    page = "<html><title>t</title><!-- <a href='no'> --><p>a \t b  c <br> d</p><a href='x'>e</a></html>"
+    made = warc.derivatives(*warc.response(1, "http://h/", page))
+    assert len(calls) == 1
+    assert [block.decode() for _, block in made][1] == "t\na b c\nd\ne"
+    assert b"outlink: http://h/x\r\n" in made[0][1] and b"no" not in made[0][1]
