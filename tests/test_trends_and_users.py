@@ -448,3 +448,16 @@ def test_a_vocabulary_of_tens_of_thousands(spark):
     vectors = topics.topic_vectors(df, space)
     model = topics.fit_topics(vectors, space, 3, max_iter=2)
     assert model.weights.shape == (3, len(space.vocabulary))
+
+
+def test_posts_are_dealt_to_more_tasks_the_larger_the_files(spark, tmp_path, monkeypatch):
+    """A task that counts phrases gets a bounded part of the texts, however few cores there are."""
+    docs = spark.range(400).select(F.col("id").alias("doc_id"), F.sha2(F.col("id").cast("string"), 512).alias("text"))
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    size = sum(f.stat().st_size for f in (tmp_path / "documents.parquet").rglob("*") if f.is_file())
+    monkeypatch.setattr(catalog, "DEALT_BYTES", size // 30)
+    dealt = catalog.dealt(spark.read.parquet(f"{tmp_path}/documents.parquet"), "doc_id", str(tmp_path), "documents")
+    assert 30 <= dealt.rdd.getNumPartitions() <= 31
+    assert sorted(r.doc_id for r in dealt.collect()) == list(range(400))
+    monkeypatch.setattr(catalog, "DEALT_BYTES", size)
+    assert catalog.dealt(spark.read.parquet(f"{tmp_path}/documents.parquet"), "doc_id", str(tmp_path), "documents").rdd.getNumPartitions() <= 8
