@@ -450,6 +450,38 @@ def test_a_vocabulary_of_tens_of_thousands(spark):
     assert model.weights.shape == (3, len(space.vocabulary))
 
 
+def test_vectors_are_packed_into_few_rows_without_loss(spark, monkeypatch):
+    vectors, space, x = some_vectors(spark)
+    monkeypatch.setattr(topics, "BLOCK_ENTRIES", 50)
+    vectors = stored(vectors.coalesce(1), "one-task")
+    order = [r.features.toArray() for r in vectors.collect()]
+    blocks = topics.packed(vectors)
+    assert topics.packed(blocks) is blocks and blocks.columns == ["lengths", "terms", "weights"]
+    found, most = [], 0
+    for r in blocks.collect():
+        lengths, terms_, weights = np.frombuffer(r.lengths, np.int32), np.frombuffer(r.terms, np.int32), np.frombuffer(r.weights)
+        most = max(most, len(terms_))
+        ends = np.cumsum(lengths)
+        for start, stop in zip(ends - lengths, ends):
+            row = np.zeros(x.shape[1])
+            row[terms_[start:stop]] = weights[start:stop]
+            found.append(row)
+    assert np.array_equal(found, order) and 12 < most <= 50
+    assert topics.squared_length(blocks) == pytest.approx((x**2).sum())
+
+
+def test_products_of_a_block_by_slices(monkeypatch):
+    monkeypatch.setattr(topics, "SLICE_ENTRIES", 20)
+    rng = np.random.default_rng(5)
+    x = rng.random((40, 30)) * (rng.random((40, 30)) < 0.3)
+    x[[0, 7, 8, 39]] = 0
+    x[20] = 1.0  # alone longer than a slice
+    row, term = np.nonzero(x)
+    block = topics._Block((x > 0).sum(axis=1).astype(np.int32), term.astype(np.int32), x[row, term])
+    right, left = rng.random((30, 3)), rng.random((40, 3))
+    assert np.allclose(block.times(right), x @ right) and np.allclose(block.pulled(left, 30), left.T @ x)
+
+
 def test_posts_are_dealt_to_more_tasks_the_larger_the_files(spark, tmp_path, monkeypatch):
     """A task that counts phrases gets a bounded part of the texts, however few cores there are."""
     docs = spark.range(400).select(F.col("id").alias("doc_id"), F.sha2(F.col("id").cast("string"), 512).alias("text"))
