@@ -12,6 +12,8 @@ import pyarrow.compute as pc
 from pyspark.sql import SparkSession
 
 SLAB_BYTES = 2 << 20
+# Bytes whose running sums are made at once.
+HASH_BYTES = 1 << 18
 
 SPACES = np.zeros(256, dtype=bool)
 SPACES[[0x20, *range(0x09, 0x0E)]] = True
@@ -41,18 +43,37 @@ def _power_tables(length: int, base: int = BASE) -> tuple[np.ndarray, np.ndarray
     """base**i and its inverse modulo 2**64, for i below ``length``."""
     found = _powers.get(base)
     if found is None or len(found[0]) < length:
-        factors = np.empty((2, max(length, SLAB_BYTES + 1)), np.uint64)
+        factors = np.empty((2, max(length, HASH_BYTES + 1)), np.uint64)
         factors[:, 0], factors[0, 1:], factors[1, 1:] = 1, base, pow(base, -1, 1 << 64)
         found = _powers[base] = tuple(np.cumprod(factors, axis=1, dtype=np.uint64))
     return found
 
 
 def hash_spans(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int = BASE) -> np.ndarray:
-    """A polynomial hash of each span of bytes, taken from one running sum over all of them."""
+    """A polynomial hash of each span of bytes; starts and ends ascend.
+
+    The sums run over HASH_BYTES at a time, so that their memory does not grow with the texts; a longer span has its own.
+    """
+    out = np.empty(len(starts), np.uint64)
+    at = 0
+    while at < len(starts):
+        begin = int(starts[at])
+        stop = max(at + 1, int(np.searchsorted(ends, begin + HASH_BYTES, "right")))
+        out[at:stop] = _hash_some(values[begin : int(ends[stop - 1])], starts[at:stop] - begin, ends[at:stop] - begin, base)
+        at = stop
+    return out
+
+
+def _hash_some(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int) -> np.ndarray:
+    """The hashes of spans, taken from one running sum over all bytes."""
     power, inverse = _power_tables(len(values) + 1, base)
     sums = np.empty(len(values) + 1, np.uint64)
     sums[0] = 0
-    np.cumsum((values.astype(np.uint64) + np.uint64(1)) * power[: len(values)], out=sums[1:])
+    terms = sums[1:]
+    terms[:] = values
+    terms += np.uint64(1)
+    terms *= power[: len(values)]
+    np.cumsum(terms, out=terms)
     return mix((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(np.uint64) * LENGTH)
 
 
