@@ -32,6 +32,8 @@ VERSION = "WARC/1.1"
 DATE = "2024-01-01T00:00:00Z"
 NAMESPACE = uuid.UUID("9f2c1f6e-6a53-4f0c-8a53-6d1f3f0f7a11")
 READ_BYTES = 4 << 20
+# Bytes given to a decompressor at once; what lies behind a record's end is copied, so these are few.
+UNZIP_BYTES = 16 << 10
 # The field that carries the id of a page from its row to its records.
 PAGE_ID = "X-Page-ID"
 
@@ -45,7 +47,8 @@ LANGUAGE = re.compile(r"<html[^<>]*?\blang\s*=\s*[\"']?([\w-]+)", re.I)
 LINK = re.compile(r"<a\b[^<>]*?\bhref\s*=\s*(?:\"([^\"<]*)\"|'([^'<]*)'|([^\s<>]+))", re.I)
 BREAK = re.compile(r"</?(?:p|div|br|li|ul|ol|tr|table|h[1-6]|article|section|header|footer|nav|main|aside|blockquote|pre|head|body|title)\b[^<>]*>", re.I)
 TAG = re.compile(r"<[^<>]*>")
-BLANKS = re.compile(r"[^\S\n]+")
+# A path from the root, without dot segments, empty ones or further parts, stays as it is when it is joined to a URL.
+PLAIN_PATH = re.compile(r"(?:/[\w-][\w.-]*)+")
 
 
 def digest(data: bytes) -> str:
@@ -60,13 +63,14 @@ def record_id(*parts: str | None) -> str:
 def response(page_id, url: str | None, page: str | None) -> tuple[Fields, bytes]:
     """The response record of a page; a null page is an empty one, a null url leaves the target out."""
     payload = (page or "").encode()
+    payload_digest = digest(payload)
     head = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n"
     block = head.encode() + payload
-    fields = [("WARC-Type", "response"), ("WARC-Record-ID", record_id("response", str(page_id), url, digest(payload))), ("WARC-Date", DATE)]
+    fields = [("WARC-Type", "response"), ("WARC-Record-ID", record_id("response", str(page_id), url, payload_digest)), ("WARC-Date", DATE)]
     fields += [("WARC-Target-URI", _one_line(url))] if url is not None else []
     fields += [(PAGE_ID, quote(str(page_id), safe=""))] if page_id is not None else []
     fields += [("Content-Type", "application/http; msgtype=response"), ("WARC-Identified-Payload-Type", "text/html")]
-    fields += [("WARC-Payload-Digest", digest(payload)), ("WARC-Block-Digest", digest(block)), ("Content-Length", str(len(block)))]
+    fields += [("WARC-Payload-Digest", payload_digest), ("WARC-Block-Digest", digest(block)), ("Content-Length", str(len(block)))]
     return fields, block
 
 
@@ -116,7 +120,7 @@ def plain_text(page: str, shown: str | None = None) -> str:
     ``shown`` is the page without hidden parts, where it is known.
     """
     text = TAG.sub("", BREAK.sub("\n", without_hidden(page) if shown is None else shown))
-    lines = (line.strip() for line in BLANKS.sub(" ", html.unescape(text)).split("\n"))
+    lines = (_one_line(line) for line in html.unescape(text).split("\n"))
     return "\n".join(line for line in lines if line)
 
 
@@ -125,16 +129,22 @@ def page_metadata(page: str, url: str | None, shown: str | None = None) -> Field
     title, language = title_of(page), LANGUAGE.search(page)
     out = [("title", _one_line(html.unescape(TAG.sub("", title))))] if title is not None else []
     out += [("language", language[1].lower())] if language else []
+    root = _joined(url, "/")
     for found in LINK.finditer(without_hidden(page) if shown is None else shown):
-        target = html.unescape(next(g for g in found.groups() if g is not None)).strip()
-        try:
-            target = urljoin(url or "", target)
-        except ValueError:
-            pass
+        target = html.unescape(found[found.lastindex]).strip()
+        target = root + target[1:] if PLAIN_PATH.fullmatch(target) else _joined(url, target)
         out.append(("outlink", _one_line(target)))
     return out
 
 
+def _joined(url: str | None, target: str) -> str:
+    """The target as seen from the URL; as it is, if one of them is no URL."""
+    try:
+        return urljoin(url or "", target)
+    except ValueError:
+        return target
+
+
 def http_fields(head: bytes) -> Fields:
     """The fields of an HTTP head, each in one line, under names that tell them from those of the record."""
     lines = head.decode("latin-1").split("\r\n")[1:]
@@ -146,7 +156,7 @@ def derivatives(fields: Fields, block: bytes) -> list[tuple[Fields, bytes]]:
     source = dict(fields)
     head, body = payload_of(block)
     page, url = body.decode("utf-8", "replace"), source.get("WARC-Target-URI")
-    shown = without_hidden(page)
+    shown, of_http = without_hidden(page), http_fields(head)
     about = [("http-status", head.split(b"\r\n")[0].decode("latin-1"))] + page_metadata(page, url, shown)
     blocks = {
         "metadata": ("application/warc-fields", "".join(f"{k}: {v}\r\n" for k, v in about).encode()),
@@ -161,7 +171,7 @@ def derivatives(fields: Fields, block: bytes) -> list[tuple[Fields, bytes]]:
             ("WARC-Refers-To-Date", source["WARC-Date"]),
             ("WARC-Source-Payload-Digest", source["WARC-Payload-Digest"]),
             ("WARC-Source-Content-Type", source["WARC-Identified-Payload-Type"]),
-            *http_fields(head),
+            *of_http,
             ("Content-Type", content_type),
             ("WARC-Block-Digest", digest(data)),
             ("Content-Length", str(len(data))),
@@ -193,14 +203,17 @@ def read_records(path: str) -> Iterator[bytes]:
     """The records of a file, one gzip member at a time."""
     filesystem, inner = fs.FileSystem.from_uri(path)
     with filesystem.open_input_stream(inner, compression=None) as file:
-        held, unzip = b"", zlib.decompressobj(31)
+        unzip = zlib.decompressobj(31)
         parts: list[bytes] = []
-        while data := held or file.read(READ_BYTES):
-            parts.append(unzip.decompress(data))
-            held = b""
-            if unzip.eof:
-                yield b"".join(parts)
-                held, parts, unzip = unzip.unused_data, [], zlib.decompressobj(31)
+        while data := file.read(READ_BYTES):
+            at = 0
+            while at < len(data):
+                some = data[at : at + UNZIP_BYTES]
+                parts.append(unzip.decompress(some))
+                at += len(some) - len(unzip.unused_data)
+                if unzip.eof:
+                    yield b"".join(parts)
+                    parts, unzip = [], zlib.decompressobj(31)
         if any(parts):
             raise ValueError(f"{path} ends within a record")
 
