@@ -65,7 +65,10 @@ def _counted(keys: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.nda
     return keys[first], np.add.reduceat(counts[order], first)
 
 
-def _send_counts(keys: np.ndarray, buckets: int) -> Iterator[pa.RecordBatch]:
+def _send_counts(held: list[np.ndarray], buckets: int) -> Iterator[pa.RecordBatch]:
+    """COUNTS of the keys held, which are let go."""
+    keys = np.concatenate(held)
+    held.clear()
     keys, counts = _counted(keys)
     bounds = _bucket_bounds(keys, buckets)
     rows = [(k, _blob(keys[a:b]), _blob(counts[a:b].astype(np.uint32))) for k, (a, b) in enumerate(zip(bounds[:-1], bounds[1:])) if b > a]
@@ -83,10 +86,10 @@ def _count_in_tasks(texts: DataFrame, keys_of, buckets: int) -> DataFrame:
             held.append(keys_of(batch.column("text")))
             size += len(held[-1])
             if size >= HELD_TOKENS:
-                yield from _send_counts(np.concatenate(held), buckets)
-                held, size = [], 0
+                yield from _send_counts(held, buckets)
+                size = 0
         if held:
-            yield from _send_counts(np.concatenate(held), buckets)
+            yield from _send_counts(held, buckets)
 
     return texts.mapInArrow(count, COUNTS)
 

@@ -101,7 +101,12 @@ class Numbered:
     ``place`` each name's among the words that every task holds, -1 for others."""
 
     def __init__(self, tokens: np.ndarray, first: np.uint64, held: np.ndarray):
-        names, number = np.unique(np.append(tokens, first), return_inverse=True)
+        tokens = np.append(tokens, first)
+        order = np.argsort(tokens)
+        tokens = tokens[order]
+        new = np.append(True, tokens[1:] != tokens[:-1])
+        names, number = tokens[new], np.empty(len(order), np.uint32)
+        number[order] = np.cumsum(new, dtype=np.uint32) - np.uint32(1)
         self.names, self.number, self.before, self.held = names, number[:-1], np.append(number[-1], number[:-2]), len(held)
         self.place = at(held, names)
         self.ref = self.place.copy()
@@ -109,13 +114,17 @@ class Numbered:
 
     def keys(self) -> np.ndarray:
         """Numbers of each token's pair, that ascend by its context's name and its word's ref."""
-        return self.before * (self.held + len(self.names)) + self.ref[self.number]
+        keys = self.before.astype(np.int64)
+        keys *= self.held + len(self.names)
+        keys += self.ref[self.number]
+        return keys
 
     def pairs(self, keys: np.ndarray) -> Pairs:
         """The pairs of some distinct, ascending keys."""
-        context, refs = np.divmod(keys, self.held + len(self.names))
-        used, own = np.unique(context, return_inverse=True)
-        return Pairs(self.names[used], own, refs.astype(np.uint32), self.names[self.place < 0], self.held)
+        context = keys // (self.held + len(self.names))
+        refs = (keys - context * (self.held + len(self.names))).astype(np.uint32)
+        new = np.append(True, context[1:] != context[:-1])[: len(context)]
+        return Pairs(self.names[context[new]], np.cumsum(new) - 1, refs, self.names[self.place < 0], self.held)
 
 
 class Bucket:
@@ -157,11 +166,18 @@ def count_pairs(texts: DataFrame, tokens_of, first: np.uint64, held, buckets: in
     from postweave.llm.batches import slabs
 
     def rows_of(parts: list[np.ndarray]) -> pa.RecordBatch:
-        numbered = Numbered(np.concatenate(parts), first, held.value)
-        keys = np.sort(numbered.keys())
+        tokens = np.concatenate(parts)
+        parts.clear()
+        numbered = Numbered(tokens, first, held.value)
+        del tokens
+        keys = numbered.keys()
+        # The tokens' numbers, which are long, are in the keys.
+        del numbered.number, numbered.before
+        keys.sort()
         begins = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
         counts = np.diff(np.append(begins, len(keys))).astype(np.uint32)
-        columns = list(map(list, zip(*numbered.pairs(keys[begins]).rows(buckets, counts))))
+        keys = keys[begins]
+        columns = list(map(list, zip(*numbered.pairs(keys).rows(buckets, counts))))
         return pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int32()), *(pa.array(c, pa.binary()) for c in columns[1:])], [f.split()[0] for f in PAIRS.split(", ")])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -21,7 +21,10 @@ import numpy as np
 DRAWN, EXACT, MOVES = 64, 4096, 8
 RUN = 1.1
 # Cells of a table of chances that are made at once.
-CELLS = 1 << 21
+CELLS = 1 << 17
+# Of the rows of Stirling numbers, those of so many customers and its multiples are kept for the next restaurants.
+KEPT = 8
+_kept: dict[float, dict[int, np.ndarray]] = {}
 
 
 def _log_gamma(x: np.ndarray) -> np.ndarray:
@@ -33,18 +36,35 @@ def _log_gamma(x: np.ndarray) -> np.ndarray:
 
 
 def log_stirling_rows(wanted: np.ndarray, discount: float) -> dict[int, np.ndarray]:
-    """log S(c, t), t = 0 to c, of each c that is wanted."""
-    rows, row = {}, np.zeros(1)
-    keep = set(wanted.tolist())
-    for c in range(int(max(wanted, default=0))):
-        with np.errstate(divide="ignore"):
-            stays = np.log(c - discount * np.arange(c + 1)) + row if c else np.full(1, -np.inf)
-        row = np.append(np.logaddexp(stays, np.append(-np.inf, row[:-1])), 0.0)
-        if c + 1 in keep:
-            rows[c + 1] = row
+    """log S(c, t), t = 0 to c, of each c that is wanted.
+
+    A worker keeps some rows up to EXACT of one discount, at most EXACT / KEPT of them, so that the recursion takes few steps to any other.
+    """
+    if discount not in _kept:
+        _kept.clear()
+        _kept[discount] = {0: np.zeros(1)}
+    kept, rows = _kept[discount], {}
+    c, row = 0, kept[0]
+    for goal in sorted(set(wanted.tolist())):
+        near = min(goal // KEPT * KEPT, max(kept))
+        if near > c:
+            c, row = near, kept[near]
+        while c < goal:
+            row = _next_row(row, c, discount)
+            c += 1
+            if c % KEPT == 0 and c <= EXACT:
+                kept[c] = row
+        rows[goal] = row
     return rows
 
 
+def _next_row(row: np.ndarray, c: int, discount: float) -> np.ndarray:
+    """The row of one customer more, from that of ``c``."""
+    with np.errstate(divide="ignore"):
+        stays = np.log(c - discount * np.arange(c + 1)) + row if c else np.full(1, -np.inf)
+    return np.append(np.logaddexp(stays, np.append(-np.inf, row[:-1])), 0.0)
+
+
 class Seating:
     """``tables`` of all pairs; ``chance`` is that of a pair's dish in the parent.
 
