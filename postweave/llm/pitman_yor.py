@@ -20,6 +20,7 @@ number is looked up.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -43,6 +44,8 @@ HELD_TOKENS = 1 << 22
 HELD_PAIRS = 1 << 21
 # Bytes of text that ask the buckets together: the more, the fewer pairs are asked twice.
 ASKING_BYTES = 8 << 20
+# Parts of the documents that are scored one after another, so that what they ask and are answered is on disk for one at a time.
+PARTS = 4
 
 COUNTS = "bucket int, keys binary, counts binary"
 
@@ -468,6 +471,18 @@ def _finished(asked: DataFrame, answers: DataFrame, model: Model, doc_type: str)
     return slabs_.applyInArrow(finish, schema)
 
 
+def _scored(docs: DataFrame, model: Model, words: DataFrame, tables: DataFrame, found: DataFrame, buckets: int, doc_type: str) -> DataFrame:
+    """One stored row for each document; what was asked is deleted."""
+    asked = stored(_asked(docs, model, buckets), "asked")
+    requests = asked.select("slab", F.explode("words").alias("w")).select("slab", "w.*")
+    answers = _pair_answers(asked, found, model).withColumn("kind", F.lit(0))
+    for kind, table in ((1, words), (2, tables)):
+        answers = answers.unionByName(looked_up(requests, table).withColumns({"back": F.lit(None).cast("binary"), "kind": F.lit(kind)}))
+    out = stored(_finished(asked, answers, model, doc_type), "scores")
+    discard(asked)
+    return out
+
+
 def held_out(doc_id: Column) -> Column:
     """crc32 of the id as text leaves HELD_OUT modulo FOLDS; false for null."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % FOLDS == HELD_OUT, F.lit(False))
@@ -482,12 +497,14 @@ def language_scores(docs: DataFrame, share: float = SHARE, seed: int = 0, doc_id
     plain = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), held_out(F.col(doc_id)).alias("held_out"))
     buckets = _power_of_two(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     model, words, tables, found = learn(plain.where(~F.col("held_out")).select("text"), buckets, share, seed)
-    asked = stored(_asked(plain, model, buckets), "asked")
-    requests = asked.select("slab", F.explode("words").alias("w")).select("slab", "w.*")
-    answers = _pair_answers(asked, found, model).withColumn("kind", F.lit(0))
-    for kind, table in ((1, words), (2, tables)):
-        answers = answers.unionByName(looked_up(requests, table).withColumns({"back": F.lit(None).cast("binary"), "kind": F.lit(kind)}))
-    out = _finished(asked, answers, model, docs.schema[doc_id].dataType.simpleString())
+    kind = docs.schema[doc_id].dataType.simpleString()
+    scored = []
+    for k in range(PARTS):
+        part = plain.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(PARTS)) == k)
+        scored.append(_scored(part, model, words, tables, found, buckets, kind))
+    for frame in (words, tables, found):
+        discard(frame)
+    out = reduce(DataFrame.unionByName, scored)
     return out.select(
         "doc_id",
         "held_out",
