@@ -44,6 +44,8 @@ HELD_TOKENS = 1 << 22
 HELD_PAIRS = 1 << 21
 # Bytes of text that ask the buckets together: the more, the fewer pairs are asked twice.
 ASKING_BYTES = 8 << 20
+# Training tokens for each bucket of words.
+WORD_TOKENS = 1 << 22
 # Parts of the documents that are scored one after another, so that what they ask and are answered is on disk for one at a time.
 PARTS = 4
 
@@ -283,21 +285,32 @@ def _pair_hashes(context: np.ndarray, word: np.ndarray) -> np.ndarray:
     return mix(context * np.uint64(0x9E3779B97F4A7C15) + word)
 
 
-def _as_doubles(words: DataFrame) -> DataFrame:
-    def convert(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            counts = [_blob(np.frombuffer(c, np.int64).astype(np.float64)) for c in batch.column("counts").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("bucket"), batch.column("keys"), pa.array(counts, pa.binary())], ["bucket", "keys", "counts"])
+def _word_buckets(tokens: int, buckets: int) -> int:
+    """In how many buckets the words are: by the texts' size, and at most as many as the restaurants have."""
+    return min(buckets, _power_of_two(-(-tokens // WORD_TOKENS)))
+
+
+def _as_doubles(words: DataFrame, buckets: int, fewer: int) -> DataFrame:
+    """The counts as doubles, in fewer buckets: each takes up neighbours of the former ones."""
 
-    return words.select("bucket", "keys", "counts").mapInArrow(convert, COUNTS)
+    def convert(table: pa.Table) -> pa.Table:
+        rows = sorted(zip(*(table.column(c).to_pylist() for c in ("bucket", "keys", "counts"))))
+        counts = _blob(np.concatenate([np.frombuffer(c, np.int64) for _, _, c in rows]).astype(np.float64))
+        values = [pa.array([rows[0][0] // (buckets // fewer)], pa.int32()), pa.array([b"".join(k for _, k, _ in rows)], pa.binary()), pa.array([counts], pa.binary())]
+        return pa.Table.from_arrays(values, ["bucket", "keys", "counts"])
+
+    whole_bucket = F.floor(F.col("bucket") / (buckets // fewer))
+    return words.select("bucket", "keys", "counts").groupBy(whole_bucket).applyInArrow(convert, COUNTS)
 
 
 def learn(texts: DataFrame, buckets: int, share: float = SHARE, seed: int = 0) -> tuple[Model, DataFrame, DataFrame, DataFrame]:
     """The model of all pairs of the column ``text``: what every task holds; by bucket the counts and the tables of all words, as
     doubles; and the SHARES of all contexts and pairs."""
     spark = texts.sparkSession
-    model, words, least = _vocabulary(texts, buckets, share)
-    words = _as_doubles(words)
+    model, counts, least = _vocabulary(texts, buckets, share)
+    fewer = _word_buckets(model.tokens, buckets)
+    words = stored(_as_doubles(counts, buckets, fewer), "word-counts")
+    discard(counts)
     held = spark.sparkContext.broadcast(model.words)
 
     counted = count_pairs(texts, lambda column: tokens_of(column)[0], END, held, buckets, HELD_PAIRS)
@@ -308,7 +321,7 @@ def learn(texts: DataFrame, buckets: int, share: float = SHARE, seed: int = 0) -
     def parent(tables: np.ndarray, total: float) -> np.ndarray:
         return np.maximum(tables - parent_discount, 1e-3) / (PARENT_STRENGTH + total)
 
-    state, tables, total = seated(restaurants, words, model.tokens, held, discount, parent, buckets, seed)
+    state, tables, total = seated(restaurants, words, model.tokens, held, discount, parent, fewer, seed)
     model.parent_total = PARENT_STRENGTH + total
     model.alone = parent(of_held(tables, held), total)
     found = shares(restaurants, state, held, spark.sparkContext.broadcast(model.alone), discount, least, _pair_hashes)
@@ -378,6 +391,7 @@ def _asked(docs: DataFrame, model: Model, buckets: int) -> DataFrame:
                 np.bincount(row, base, rows),
                 np.bincount(row, log_chance[own], rows),
             ]
+            words = in_buckets(pairs.rare, _word_buckets(m.tokens, buckets))
             asked = [dict(zip(_PAIR_TYPE.names, r)) for r in pairs.rows(buckets, np.zeros(len(pairs.refs), np.uint8))]
             yield pa.RecordBatch.from_arrays(
                 [
@@ -387,7 +401,7 @@ def _asked(docs: DataFrame, model: Model, buckets: int) -> DataFrame:
                     *(pa.array([_blob(s)], pa.binary()) for s in sums),
                     *(pa.array([planes(s)], pa.binary()) for s in places),
                     pa.array([asked], pa.list_(_PAIR_TYPE)),
-                    pa.array([in_buckets(pairs.rare, buckets)], pa.list_(pa.struct([("bucket", pa.int32()), ("keys", pa.binary())]))),
+                    pa.array([words], pa.list_(pa.struct([("bucket", pa.int32()), ("keys", pa.binary())]))),
                 ],
                 names=["slab", "doc_id", "held_out", "n_tokens", "n_known", "base", "score", "row", "times", "far", "word", "pairs", "words"],
             )

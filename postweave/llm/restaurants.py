@@ -7,7 +7,9 @@ stored but not sampled.
 
 Seatings are sampled in rounds. Within a round each bucket's restaurants are seated several times with the chances of words
 at the parent as they were after the round before; then the mean numbers of tables are summed by word, in buckets by word, and
-give the next chances. Frequent words' chances are sent to all tasks, those of others are asked of the words' buckets.
+give the next chances. Frequent words' chances are sent to all tasks, those of others are asked of the words' buckets. These are
+as many as the texts need, not as the restaurants have, and a task adds up the sums of its restaurants before it deals them to
+the words' buckets: else each bucket of restaurants sent a row to each of words.
 """
 
 from __future__ import annotations
@@ -24,11 +26,13 @@ from postweave.plans.storage import delete, stored
 
 STRENGTH = 1.0
 ROUNDS, SWEEPS = 3, 5
+# Sums by word, of several buckets of restaurants, that a task holds before it sends them on.
+HELD_SUMS = 1 << 21
 LOW = np.uint64(0xFFFFFFFF)
 
 PAIRS = "bucket int, contexts binary, runs binary, refs binary, rare binary, counts binary"
 ASKED = "array<struct<bucket:int,keys:binary>>"
-SUMS = "array<struct<bucket:int,keys:binary,counts:binary>>"
+SUMS = "bucket int, keys binary, counts binary"
 
 
 def blob(values: np.ndarray) -> bytes:
@@ -222,24 +226,29 @@ def looked_up(requests: DataFrame, table: DataFrame) -> DataFrame:
     return pairs.applyInArrow(answer, "slab long, bucket int, found binary")
 
 
-def _by_word(refs: np.ndarray, amounts: np.ndarray, held: np.ndarray, rare: np.ndarray, buckets: int) -> list[dict]:
-    """Sums of amounts by word, as entries of SUMS."""
+def _by_word(refs: np.ndarray, amounts: np.ndarray, held: np.ndarray, rare: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Words, ascending, and the sums of their amounts."""
     used, place = np.unique(refs, return_inverse=True)
     sums = np.bincount(place, amounts, len(used))
     far = used >= len(held)
     words = np.empty(len(used), np.uint64)
     words[~far], words[far] = held[used[~far]], rare[used[far].astype(np.int64) - len(held)]
     order = np.argsort(words)
-    return in_buckets(words[order], buckets, counts=sums[order])
+    return words[order], sums[order]
 
 
-STATE = f"bucket int, alone binary, runs binary, refs binary, asked {ASKED}, customers binary, tables binary, means binary, sums {SUMS}"
-_SUM = pa.list_(pa.struct([("bucket", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary())]))
+def _added(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys of all parts, ascending, and the sums of their counts."""
+    keys, place = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
+    return keys, np.bincount(place, np.concatenate([c for _, c in parts]), len(keys))
+
+
+STATE = f"bucket int, alone binary, runs binary, refs binary, asked {ASKED}, customers binary, tables binary, means binary, words binary, sums binary"
 _ASK = pa.list_(pa.struct([("bucket", pa.int32()), ("keys", pa.binary())]))
 
 
 def _first_state(restaurants: DataFrame, held, buckets: int) -> DataFrame:
-    """Pairs seen more than once, without tables; ``sums`` are the tables of those seen once."""
+    """Pairs seen more than once, without tables; ``sums`` by ``words`` are the tables of those seen once."""
 
     def begin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -251,6 +260,7 @@ def _first_state(restaurants: DataFrame, held, buckets: int) -> DataFrame:
                 alone = np.bincount(context[once], minlength=len(runs))
                 more = np.bincount(context[~once], minlength=len(runs)).astype(np.uint32)
                 own, names = own_list(refs[~once], rare, len(held.value))
+                words, sums = _by_word(refs[once], np.ones(int(once.sum())), held.value, rare)
                 values = {
                     "bucket": pa.array([row["bucket"]], pa.int32()),
                     "alone": [planes(alone)],
@@ -260,14 +270,15 @@ def _first_state(restaurants: DataFrame, held, buckets: int) -> DataFrame:
                     "customers": [planes(counts[~once])],
                     "tables": [b""],
                     "means": [b""],
-                    "sums": pa.array([_by_word(refs[once], np.ones(int(once.sum())), held.value, rare, buckets)], _SUM),
+                    "words": [blob(words)],
+                    "sums": [blob(sums)],
                 }
                 yield pa.RecordBatch.from_arrays([pa.array(v, pa.binary()) if isinstance(v, list) else v for v in values.values()], list(values))
 
     return restaurants.mapInArrow(begin, STATE)
 
 
-def _round(state: DataFrame, answers: DataFrame, held, chances, of_rare, discount: float, buckets: int, seed: int) -> DataFrame:
+def _round(state: DataFrame, answers: DataFrame, held, chances, of_rare, discount: float, seed: int) -> DataFrame:
     """The state after SWEEPS seatings of each bucket's restaurants; ``means`` are over all but the first."""
 
     def sit(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -286,30 +297,58 @@ def _round(state: DataFrame, answers: DataFrame, held, chances, of_rare, discoun
         for _ in range(SWEEPS - 1):
             seating.step(chance)
             means += seating.tables / (SWEEPS - 1)
-        row |= {"tables": planes(seating.tables), "means": blob(means.astype(np.float32)), "sums": _by_word(refs, means, held.value, names, buckets)}
-        kinds = {"bucket": pa.int32(), "asked": _ASK, "sums": _SUM}
+        words, sums = _by_word(refs, means, held.value, names)
+        row |= {"tables": planes(seating.tables), "means": blob(means.astype(np.float32)), "words": blob(words), "sums": blob(sums)}
+        kinds = {"bucket": pa.int32(), "asked": _ASK}
         return pa.Table.from_arrays([pa.array([v], kinds.get(c, pa.binary())) for c, v in row.items()], list(row))
 
     # Keys of one type, as Spark deals the two by their hashes.
     own = answers.withColumn("slab", F.col("slab").cast("int"))
-    state = state.drop("means", "sums")
+    state = state.drop("means", "words", "sums")
     return state.groupBy("bucket").cogroup(own.groupBy("slab")).applyInArrow(sit, STATE)
 
 
-def _tables_by_word(sums: DataFrame, *gathered: DataFrame) -> DataFrame:
+def _dealt_sums(state: DataFrame, buckets: int) -> DataFrame:
+    """SUMS of a state by word: a task adds up those of its rows, and sends one row to each bucket of words whenever it holds many."""
+
+    def sent(words: np.ndarray, sums: np.ndarray) -> Iterator[pa.RecordBatch]:
+        rows = in_buckets(words, buckets, counts=sums)
+        if rows:
+            kinds = {"bucket": pa.int32(), "keys": pa.binary(), "counts": pa.binary()}
+            yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], kind) for c, kind in kinds.items()], list(kinds))
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts, size = [], 0
+        for batch in batches:
+            for words, sums in zip(batch.column("words"), batch.column("sums")):
+                parts.append((np.frombuffer(words.as_buffer(), np.uint64), np.frombuffer(sums.as_buffer())))
+                size += len(parts[-1][0])
+                if size < HELD_SUMS:
+                    continue
+                parts = [_added(parts)]
+                size = len(parts[0][0])
+                if size > HELD_SUMS // 2:
+                    yield from sent(*parts[0])
+                    parts, size = [], 0
+        if parts:
+            yield from sent(*_added(parts))
+
+    return state.select("words", "sums").mapInArrow(deal, SUMS)
+
+
+def _tables_by_word(state: DataFrame, buckets: int, *gathered: DataFrame) -> DataFrame:
     """One row for each bucket of words: keys, their tables over all contexts (doubles) and the sum of these; with those that are
     ``gathered`` by bucket."""
-    parts = sums.select(F.explode("sums").alias("s")).select("s.*")
+    parts = _dealt_sums(state, buckets)
     for frame in gathered:
         parts = parts.unionAll(frame.select("bucket", "keys", "counts"))
 
     def gather(rows: pa.Table) -> pa.Table:
-        keys, place = np.unique(np.concatenate([np.frombuffer(k, np.uint64) for k in rows.column("keys").to_pylist()]), return_inverse=True)
-        counts = np.bincount(place, np.concatenate([np.frombuffer(c) for c in rows.column("counts").to_pylist()]), len(keys))
+        keys, counts = _added([(np.frombuffer(k, np.uint64), np.frombuffer(c)) for k, c in zip(*(rows.column(c).to_pylist() for c in ("keys", "counts")))])
         values = [pa.array([rows.column("bucket")[0].as_py()], pa.int32()), pa.array([blob(keys)], pa.binary()), pa.array([blob(counts)], pa.binary())]
         return pa.Table.from_arrays([*values, pa.array([float(counts.sum())])], ["bucket", "keys", "counts", "total"])
 
-    return stored(parts.groupBy("bucket").applyInArrow(gather, "bucket int, keys binary, counts binary, total double"), "tables-by-word")
+    return stored(parts.groupBy("bucket").applyInArrow(gather, f"{SUMS}, total double"), "tables-by-word")
 
 
 def discard(frame: DataFrame) -> None:
@@ -338,19 +377,19 @@ def of_held(table: DataFrame, held) -> np.ndarray:
 def seated(restaurants: DataFrame, words: DataFrame, tokens: int, held, discount: float, parent, buckets: int, seed: int):
     """Mean tables of all pairs seen more than once (STATE), and of all words over all contexts by bucket, with their sum.
 
-    ``words`` holds the training counts of words as doubles, from which the chances start; ``parent(tables, total)`` gives
-    the chances of words at the parent.
+    ``words`` holds the training counts of words as doubles in ``buckets`` by word, from which the chances start;
+    ``parent(tables, total)`` gives the chances of words at the parent.
     """
     spark = restaurants.sparkSession
     state = stored(_first_state(restaurants, held, buckets), "seated")
-    once = _tables_by_word(state)
+    once = _tables_by_word(state, buckets)
     tables, total = words, float(tokens)
     for k in range(ROUNDS):
         chances = spark.sparkContext.broadcast(parent(of_held(tables, held), total))
         of_rare = lambda found, total=total: parent(found, total)
         requests = state.select(F.col("bucket").cast("long").alias("slab"), F.explode("asked").alias("a")).select("slab", "a.*")
-        before, state = (state, tables), stored(_round(state, looked_up(requests, tables), held, chances, of_rare, discount, buckets, seed * ROUNDS + k), "seated")
-        tables = _tables_by_word(state, once)
+        before, state = (state, tables), stored(_round(state, looked_up(requests, tables), held, chances, of_rare, discount, seed * ROUNDS + k), "seated")
+        tables = _tables_by_word(state, buckets, once)
         total = tables.agg(F.coalesce(F.sum("total"), F.lit(0.0))).first()[0]
         for frame in before[: 2 if k else 1]:
             discard(frame)

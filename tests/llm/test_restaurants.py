@@ -1,9 +1,11 @@
 import zlib
 
+from collections import Counter
+
 import numpy as np
 import pytest
 
-from postweave.llm import pitman_yor
+from postweave.llm import pitman_yor, restaurants
 from postweave.llm.restaurants import Bucket, Numbered, planes, whole
 
 
@@ -82,3 +84,45 @@ def test_rows_of_a_bucket_are_added_up():
 def test_planes_are_undone():
     x = np.random.default_rng(1).integers(0, 2**60, 99)
     assert (whole(planes(x), np.int64) == x).all() and len(whole(planes(x[:0]), np.int64)) == 0
+
+
+def test_sums_are_added_up_before_they_are_dealt(spark):
+    """A task sends a row to each bucket of words when it holds many sums, not one for each bucket of restaurants."""
+    rng, rows, expected = np.random.default_rng(3), [], Counter()
+    for _ in range(64):
+        words = np.unique(rng.integers(0, 2**64, 300, np.uint64) & ~np.uint64(0xFFFFFFFFFFFFF))
+        sums = rng.integers(0, 99, len(words)) / 4
+        expected.update(dict(zip(words.tolist(), sums.tolist())))
+        rows.append((bytearray(words.tobytes()), bytearray(sums.tobytes())))
+    rows.append((bytearray(), bytearray()))
+    state = spark.createDataFrame(rows, "words binary, sums binary").repartition(3)
+    for held, most in ((1 << 21, 3 * 64), (1000, 25 * 64)):
+        kept, restaurants.HELD_SUMS = restaurants.HELD_SUMS, held
+        try:
+            assert 64 <= restaurants._dealt_sums(state, 64).count() <= most
+            tables = restaurants._tables_by_word(state, 64, restaurants._dealt_sums(state, 64)).collect()
+        finally:
+            restaurants.HELD_SUMS = kept
+        found = {}
+        for r in tables:
+            keys = np.frombuffer(r["keys"], np.uint64)
+            assert (keys >> np.uint64(58) == r.bucket).all() and (keys[1:] > keys[:-1]).all()
+            found |= dict(zip(keys.tolist(), np.frombuffer(r["counts"]).tolist()))
+            assert r.total == np.frombuffer(r["counts"]).sum()
+        assert found == {w: 2 * s for w, s in expected.items()}
+
+
+def test_words_have_buckets_by_the_size_of_texts(documents, monkeypatch):
+    """Restaurants may have more: rows between the two do not grow with the square of their buckets, and results are the same."""
+    docs = documents(texts_of(200)).select("text")
+    found = {}
+    for tokens in (1 << 22, 4000, 1):
+        monkeypatch.setattr(pitman_yor, "WORD_TOKENS", tokens)
+        model, words, tables, shares = pitman_yor.learn(docs, 16, 5e-3)
+        sets = [sorted((r.bucket, bytes(r["keys"]), bytes(r["counts"])) for r in frame.collect()) for frame in (words, tables)]
+        fewer = pitman_yor._word_buckets(model.tokens, 16)
+        assert fewer == {1 << 22: 1, 4000: 4, 1: 16}[tokens] and [{b for b, _, _ in s} for s in sets] == [set(range(fewer))] * 2
+        join = lambda s: [b"".join(r[k] for r in s) for k in (1, 2)]
+        found[tokens] = [*map(join, sets), sorted(map(tuple, shares.collect())), model.parent_total]
+    assert found[1] == found[4000] == found[1 << 22]
+    assert np.frombuffer(found[1][0][1]).sum() == model.tokens
